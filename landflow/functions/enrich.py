@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landflow.config import ConfigError
+from landflow.functions.literals import moment
 
 #: Text standing for null in the null-safe row hash.
 NULL_MARK = "\\N"
@@ -75,7 +76,7 @@ def audit_columns(
     watermark_column: str | None = None,
 ) -> dict[str, Column]:
     """Load stamps, all from the run's own timestamp so that a rerun gives equal rows."""
-    stamp = F.lit(run_ts).cast("timestamp")
+    stamp = moment(run_ts)
     columns = {
         "batch_run_dt": stamp,
         "created_by": F.lit(created_by),

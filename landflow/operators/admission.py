@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landflow.functions.enrich import lookup
+from landflow.functions.literals import moment
 from landflow.operators.audit import HANDLED_STATUSES, VALIDATION_STEP
 
 #: Sidecar files carry this prefix unless the configuration names another.
@@ -179,7 +180,7 @@ def admission_verdict(
     size_ok = F.coalesce(F.col("length") == F.col("declared_size"), F.lit(False))
     ext_ok = F.coalesce(extension(name) == F.lower(expected), F.lit(False))
     age_hours = (
-        F.unix_micros(F.lit(run_ts).cast("timestamp"))
+        F.unix_micros(moment(run_ts))
         - F.unix_micros(F.col("modificationTime").cast("timestamp"))
     ) / F.lit(3_600_000_000)
     any_repeat = (

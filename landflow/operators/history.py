@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landflow.functions.literals import moment
 from landflow.operators.joins import key_columns, with_keys
 from landflow.operators.projection import cols, quoted
 
@@ -62,14 +63,14 @@ def first_load(staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime) -> Da
 
 def _fresh(spec: HistorySpec, run_ts: dt.datetime, version: Column) -> dict[str, Column]:
     values: dict[str, Column] = {
-        spec.start: F.lit(run_ts),
+        spec.start: moment(run_ts),
         spec.end: F.lit(None),
         spec.flag: F.lit(spec.flag_on),
     }
     if spec.version:
         values[spec.version] = version
     if spec.updated:
-        values[spec.updated] = F.lit(run_ts)
+        values[spec.updated] = moment(run_ts)
     types = spec.generated()
     return {name: value.cast(types[name]) for name, value in values.items()}
 
@@ -111,9 +112,9 @@ def merge_history(
             return fresh[name]
         return n[name].cast(types[name]) if name in supplied else F.lit(None).cast(types[name])
 
-    closing = {spec.end: F.lit(run_ts), spec.flag: F.lit(spec.flag_off)}
+    closing = {spec.end: moment(run_ts), spec.flag: F.lit(spec.flag_off)}
     if spec.updated:
-        closing[spec.updated] = F.lit(run_ts)
+        closing[spec.updated] = moment(run_ts)
 
     def old_value(name: str) -> Column:
         return closing[name].cast(types[name]) if name in closing else o[name]
@@ -213,7 +214,7 @@ def as_of_view(
     table: DataFrame, at: dt.datetime, start: str = "effective_ts", end: str = "end_ts"
 ) -> DataFrame:
     """Versions in force at a moment; intervals are half open."""
-    s, e, t = F.col(quoted(start)), F.col(quoted(end)), F.lit(at)
+    s, e, t = F.col(quoted(start)), F.col(quoted(end)), moment(at)
     return table.filter((s <= t) & (e.isNull() | (t < e)))
 
 
@@ -233,7 +234,7 @@ def rollback_to(
     table: DataFrame, at: dt.datetime | Column, spec: HistorySpec
 ) -> DataFrame:
     """The table as it was just before ``at``: later versions vanish, what they closed reopens."""
-    t = F.lit(at) if isinstance(at, dt.datetime) else at
+    t = moment(at)
     start, end = F.col(quoted(spec.start)), F.col(quoted(spec.end))
     reopened = end.isNull() | (end >= t)
     kept = table.filter(start < t)
@@ -278,7 +279,7 @@ def scd2_defaults(
     run_ts: dt.datetime, created_by: str = "landflow", source_nm: str = "landflow"
 ) -> dict[str, Column]:
     """Audit columns of a newly inserted version."""
-    stamp = F.lit(run_ts).cast("timestamp")
+    stamp = moment(run_ts)
     return {
         "record_hash": F.col("record_hash"),
         "start_date": stamp,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from landflow.functions import clean
 from landflow.functions.enrich import row_hash
+from landflow.functions.literals import moment
 from landflow.operators.projection import cols, quoted
 
 REJECTS = "_rejects"
@@ -52,7 +53,7 @@ def timestamp_rule(name: str, fmt: str) -> Rule:
 def watermark_rule(name: str, lower: dt.datetime, upper: dt.datetime) -> Rule:
     """Missing, before ``lower`` or after ``upper`` (the run's own time)."""
     c = F.col(quoted(name)).cast("timestamp")
-    bad = c.isNull() | (c < F.lit(lower)) | (c > F.lit(upper))
+    bad = c.isNull() | (c < moment(lower)) | (c > moment(upper))
     return Rule(f"{name}_watermark_out_of_bounds", name, bad)
 
 

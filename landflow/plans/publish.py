@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from pyspark.storagelevel import StorageLevel
 
 from landflow.operators.history import HistorySpec, first_load, merge_history, split_merged
 from landflow.operators.joins import key_columns
+from landflow.operators.projection import quoted
 
 PART = "part"
 
@@ -31,22 +33,22 @@ def hash_part(spec: HistorySpec, parts: int) -> Column:
     return F.pmod(F.xxhash64(*key_columns(spec.keys, spec.date_keys).values()), F.lit(parts)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, empty before the first batch."""
+    try:
+        found = spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    return found.select(*[quoted(f.name) for f in schema.fields])
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-    if not _exists(spark, f"{path}/current"):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(f"{path}/current")
+    located = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
+    return _read(spark, f"{path}/current", located)
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not _exists(spark, f"{path}/history"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/history")
+    return _read(spark, f"{path}/history", schema)
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -60,6 +62,19 @@ def published_schema(staging: DataFrame, spec: HistorySpec) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in loaded.fields])
 
 
+#: Up to this many touched parts are named in the scan's partition filter.
+NAMED_PARTS = 10_000
+
+
+def _touched(current: DataFrame, located: DataFrame) -> DataFrame:
+    """Rows of the parts a batch touches, pruned by partition wherever the list is short."""
+    touched = located.select(PART).distinct()
+    named = [row[0] for row in touched.limit(NAMED_PARTS + 1).collect()]
+    if len(named) > NAMED_PARTS:
+        return current.join(touched, PART, "left_semi").select(*current.columns)
+    return current.filter(F.col(PART).isin(*named)) if named else current.limit(0)
+
+
 def publish_history(
     staging: DataFrame,
     path: str,
@@ -77,10 +92,7 @@ def publish_history(
     spark = staging.sparkSession
     schema = published_schema(staging, spec)
     located = staging.withColumn(PART, part if part is not None else hash_part(spec, parts))
-    touched = located.select(PART).distinct()
-    current = read_current(spark, path, schema).join(touched, PART, "left_semi").select(
-        *[f"`{f.name}`" for f in schema.fields], PART
-    )
+    current = _touched(read_current(spark, path, schema), located)
     merged = merge_history(current, located, spec, run_ts).persist(StorageLevel.DISK_ONLY)
     try:
         live, closed = split_merged(merged, spec)

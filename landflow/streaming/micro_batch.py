@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from landflow.functions.literals import moment
 from landflow.operators.projection import cols, quoted
 
 
@@ -65,13 +66,12 @@ def stale_guard(
     Nothing is dropped: late rows go to the reject sink with their reason.
     """
     t = F.col(quoted(event_time)).cast("timestamp")
-    run = F.lit(now) if isinstance(now, dt.datetime) else now
-    age = F.unix_micros(run.cast("timestamp")) - F.unix_micros(t)
+    age = F.unix_micros(moment(now)) - F.unix_micros(t)
     return df.withColumn(
         "stale_reason",
         F.when(t.isNull(), "missing")
-        .when(t > run, "future")
-        .when(t < F.lit(lower), "before_lower_bound")
+        .when(t > moment(now), "future")
+        .when(t < moment(lower), "before_lower_bound")
         .when(age > int(max_age_hours * 3_600_000_000), "late"),
     )
 
