@@ -175,6 +175,7 @@ def read_manifest(
     lines = (
         spark.read.option("pathGlobFilter", f"{prefix}*").text(path)
         .select(
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_name").alias("manifest_name"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_seq"),
@@ -183,7 +184,7 @@ def read_manifest(
         )
         .filter(F.trim("value") != "")
     )
-    first = lines.groupBy("manifest_name").agg(
+    first = lines.groupBy("path", "manifest_name").agg(
         F.min_by("_parts", F.struct("_block", "_seq")).alias("_parts")
     )
     return first.select(
