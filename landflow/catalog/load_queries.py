@@ -16,6 +16,7 @@ from landflow.operators.history import HistorySpec
 from landflow.operators.report import report_rollup
 from landflow.plans import entity_load, publish
 from landflow.session import scratch_path
+from landflow.sources import sinks
 
 REVENUE = EntityConfig.from_dict(
     {
@@ -93,7 +94,9 @@ def raw_revenue(spark, d, number: int | None = None):
 
 
 def prepared_revenue(spark, d, run_ts, number: int | None = None, source: str = "revenue.csv"):
-    checked = entity_load.check_entity(raw_revenue(spark, d, number), REVENUE)
+    checked = entity_load.check_entity(
+        raw_revenue(spark, d, number), REVENUE, one_per_key_follows=True
+    )
     order = entity_load.dedup_by_priority(
         "cp_backlog_sni_revenue", "sum_of_sales_order_base_quantity", "sum_of_cp_gross_revenue_(usd)"
     )
@@ -159,7 +162,8 @@ def publish_two_extracts(spark, d, path):
     schema = None
     for number, run in ((1, RUN_1), (2, RUN_2)):
         prepared = prepared_revenue(spark, d, run, number, f"revenue_{number}.csv")
-        schema = publish.publish_history(prepared, path, _SPEC, run, f"batch_{number}", parts=8)
+        staged = sinks.stage_overwrite(prepared, f"{path}/curated")
+        schema = publish.publish_history(staged, path, _SPEC, run, f"batch_{number}", parts=8)
     return publish.read_published(spark, path, schema)
 
 

@@ -15,6 +15,8 @@ NBSP = "\u00a0"
 SYMBOLS = "$@#,"
 PLACEHOLDERS = ("0", "#", "-", "X", "TB-ADV", "Not available")
 
+CONTROL_CHARS = r"[\x00-\x1f\x7f-\x9f]"
+
 #: Day zero of spreadsheet serial dates.
 SERIAL_EPOCH = dt.date(1899, 12, 30)
 #: Serial number used as an open end date.
@@ -30,7 +32,8 @@ def trim_spaces(c: Column) -> Column:
 
 
 def strip_control_chars(c: Column) -> Column:
-    return F.regexp_replace(c, r"[\x00-\x1f\x7f-\x9f]", "")
+    # most values hold none, and testing is cheaper than rebuilding the text
+    return F.when(c.rlike(CONTROL_CHARS), F.regexp_replace(c, CONTROL_CHARS, "")).otherwise(c)
 
 
 def strip_symbols(c: Column, replacement: Mapping[str, str] | None = None) -> Column:

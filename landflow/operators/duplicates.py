@@ -50,7 +50,11 @@ def expand_copies(df: DataFrame, copies: str, piece: int = COPIES_PER_PIECE) ->
         "_piece", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / piece)))
     )
     sized = pieces.withColumn("_size", F.least(F.lit(piece), n - F.col("_piece") * piece))
-    big = _repeat(sized.repartition(*cols(names), F.col("_piece")), F.col("_size")).select(*cols(names))
+    # a number is given because adaptive execution would merge these small partitions
+    # again: it sees the size of the pieces, not of the rows they stand for
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = sized.repartition(tasks, *cols(names), F.col("_piece"))
+    big = _repeat(spread, F.col("_size")).select(*cols(names))
     return small.unionAll(big)
 
 

@@ -104,12 +104,13 @@ def clean_declared(df: DataFrame, config: EntityConfig) -> DataFrame:
     def cleaned(name: str, type_text: str) -> Column:
         c = F.col(quoted(name))
         numeric = type_text.startswith(("decimal", "numeric"))
+        if numeric and checks.remove_alpha_from_numeric:
+            # leaves digits, sign and point, so the other steps have nothing left to do
+            return clean.numeric_chars_only(c).alias(name)
         if checks.trim_spaces:
             c = clean.trim_spaces(c)
         if checks.remove_special_characters:
             c = clean.strip_control_chars(c)
-        if checks.remove_alpha_from_numeric and numeric:
-            c = clean.numeric_chars_only(c)
         if checks.decimal_column_normalization and numeric:
             c = clean.strip_thousands(c)
         return c.alias(name)

@@ -47,22 +47,29 @@ def entity_rules(config: EntityConfig) -> list[R.Rule]:
     return found
 
 
-def check_entity(raw: DataFrame, config: EntityConfig, region: str = "") -> CheckedEntity:
-    """Clean, de-duplicate, apply the rules and type the passing rows."""
+def check_entity(
+    raw: DataFrame, config: EntityConfig, region: str = "", one_per_key_follows: bool = False
+) -> CheckedEntity:
+    """Clean, de-duplicate, apply the rules and type the passing rows.
+
+    When ``prepare_for_publish`` reduces the rows to one per key anyway,
+    ``one_per_key_follows`` saves the shuffle that removes equal copies first.
+    """
     config.require_checks()
     if config.column_type_map:
-        return _check_declared(raw, config)
+        return _check_declared(raw, config, one_per_key_follows)
     return _check_listed(raw, config, region)
 
 
-def _check_declared(raw: DataFrame, config: EntityConfig) -> CheckedEntity:
+def _check_declared(raw: DataFrame, config: EntityConfig, keep_copies: bool) -> CheckedEntity:
     text = cleaning.clean_declared(raw, config)
-    if config.dq_checks.row_duplicate_check:
+    if config.dq_checks.row_duplicate_check and not keep_copies:
         text = drop_duplicates(text)
-    checked = R.apply_rules(text, entity_rules(config))
+    rules = entity_rules(config)
+    checked = R.apply_rules(text, rules)
     return CheckedEntity(
         checked=checked,
-        clean=cleaning.cast_declared(R.passed(checked), config),
+        clean=cleaning.cast_declared(R.passing(text, rules), config),
         rejects=R.failed(checked),
         counts=R.step_counts(checked),
     )
@@ -72,7 +79,8 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
     text = cleaning.clean_columns(drop_null_subset(raw, config.drop_null_data_columns), config)
     policy = choose_policy(region, config.duplicate_policy, config.allow_duplicates)
     kept, surplus = row_duplicate_policy(text, policy)
-    checked = R.apply_rules(kept, entity_rules(config))
+    rules = entity_rules(config)
+    checked = R.apply_rules(kept, rules)
     if policy is DuplicatePolicy.REJECT:
         copies = surplus.select(
             *cols(text.columns),
@@ -85,7 +93,7 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
         checked = checked.unionByName(copies)
     return CheckedEntity(
         checked=checked,
-        clean=cleaning.standardize_times(R.passed(checked), config),
+        clean=cleaning.standardize_times(R.passing(kept, rules), config),
         rejects=R.failed(checked),
         counts=R.step_counts(checked),
     )

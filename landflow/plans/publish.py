@@ -86,6 +86,7 @@ def publish_history(
 ) -> T.StructType:
     """Merge a batch into the table at ``path``; returns the table's schema.
 
+    ``staging`` is read more than once, so it should be a staged (curated) table.
     ``part`` may name another function of the key columns, such as the month of
     a key date, so that hourly batches touch few parts.
     """
