@@ -122,7 +122,7 @@ def parse_lines(lines: DataFrame, names: Sequence[str], sep: str = ",") -> DataF
 def header_columns(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
     """Number of columns in each file's first line: ``path, header_columns``."""
     first = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
+        _same_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
         F.size(F.split("value", F.lit("\\Q" + sep + "\\E"))).alias("header_columns"),
@@ -159,13 +159,26 @@ def read_tables(
 
 
 def list_landing(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """``path, length, modificationTime`` of landed files; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .select("path", "length", "modificationTime")
+    """``path, length, modificationTime`` of landed files; contents are not read.
+
+    Spark skips empty files when it scans, and an empty file is what one of the
+    admission rules looks for, so the names Spark itself listed are joined in:
+    a name without a scanned row is an empty file, its time unknown.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    scanned = found.select(_same_path(F.col("path")).alias("path"), "length", "modificationTime")
+    encoded = F.replace(F.col("uri"), F.lit("+"), F.lit("%2B"))
+    listed = spark.createDataFrame([(uri,) for uri in found.inputFiles()], "uri string").select(
+        _same_path(F.url_decode(encoded)).alias("path")
     )
+    return listed.join(scanned, "path", "left").select(
+        "path", F.coalesce("length", F.lit(0)).alias("length"), "modificationTime"
+    )
+
+
+def _same_path(c: Column) -> Column:
+    """Local paths are written with one or three slashes; settle for one."""
+    return F.regexp_replace(c, "^file:/+", "file:/")
 
 
 def read_manifest(
