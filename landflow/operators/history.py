@@ -86,7 +86,6 @@ def merge_history(
     """
     keys = list(key_columns(spec.keys))
     names = current.columns
-    supplied = set(staging.columns)
     old = with_keys(current, spec.keys, spec.date_keys).select(
         *keys, F.struct(*cols(names)).alias("_old")
     )
@@ -105,24 +104,31 @@ def merge_history(
 
     last_version = F.coalesce(o[spec.version], F.lit(0)) if spec.version else F.lit(0)
     fresh = _fresh(spec, run_ts, last_version + 1)
-    types = dict(current.dtypes)
+    judged = joined.withColumns(
+        {"_changed": changed, "_inserted": inserted, **{f"_fresh_{c}": v for c, v in fresh.items()}}
+    )
+    # wide rows are written as one SQL text: a Column per field costs a call to the JVM each
+    types, given = dict(current.dtypes), dict(staging.dtypes)
 
-    def new_value(name: str) -> Column:
+    def new_field(name: str) -> str:
         if name in fresh:
-            return fresh[name]
-        return n[name].cast(types[name]) if name in supplied else F.lit(None).cast(types[name])
-
+            return quoted(f"_fresh_{name}")
+        if name not in given:
+            return f"CAST(NULL AS {types[name]})"
+        value = f"_new.{quoted(name)}"
+        return value if given[name] == types[name] else f"CAST({value} AS {types[name]})"
+
+    fields = ", ".join(f"{new_field(c)} AS {quoted(c)}" for c in names)
+    live = F.when(F.col("_inserted"), F.expr(f"struct({fields})")).otherwise(o)
     closing = {spec.end: moment(run_ts), spec.flag: F.lit(spec.flag_off)}
     if spec.updated:
         closing[spec.updated] = moment(run_ts)
-
-    def old_value(name: str) -> Column:
-        return closing[name].cast(types[name]) if name in closing else o[name]
-
-    live = F.when(inserted, F.struct(*[new_value(c).alias(c) for c in names])).otherwise(o)
-    closed = F.when(changed, F.struct(*[old_value(c).alias(c) for c in names]))
-    rows = joined.select(F.explode(F.array_compact(F.array(live, closed))).alias("_row"))
-    return rows.select(*[F.col("_row")[c].alias(c) for c in names])
+    ended = o
+    for name, value in closing.items():
+        ended = ended.withField(quoted(name), value.cast(types[name]))
+    closed = F.when(F.col("_changed"), ended)
+    rows = judged.select(F.explode(F.array_compact(F.array(live, closed))).alias("_row"))
+    return rows.select("_row.*")
 
 
 def split_merged(merged: DataFrame, spec: HistorySpec) -> tuple[DataFrame, DataFrame]:

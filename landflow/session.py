@@ -16,6 +16,10 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Worth setting where the session is built.  Recording the call site of every Column is a
+#: debugging aid that slows down building plans over hundreds of columns.
+ADVISED_STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`REQUIRED_CONF` to an existing session."""
