@@ -17,7 +17,6 @@ from landflow.catalog.cleaning_queries import CALENDAR_SQL, calendar
 from landflow.functions.enrich import row_hash
 from landflow.operators import history as H
 from landflow.operators import joins, snapshot
-from landflow.operators.duplicates import priority_dedup
 from landflow.plans import regional
 
 T1, T2 = "TIMESTAMP '2024-03-01 06:00:00'", "TIMESTAMP '2024-03-02 06:00:00'"
@@ -34,16 +33,20 @@ def extract(spark, d, number: int):
     return rows.withColumn("record_hash", row_hash(["return_flag", "line_status"]))
 
 
-def batch(spark, d, number: int):
-    """One row per key: the latest of the extract."""
+HASH_SPEC = H.HistorySpec(keys=tuple(LINE_KEYS), change_column="record_hash")
+TIME_SPEC = H.HistorySpec(keys=tuple(LINE_KEYS), change_column="modified")
+
+
+def keyed_batch(spark, d, number: int):
+    """One row per key: the latest of the extract, partitioned for the merge."""
     columns = ["return_flag", "line_status", "quantity", "price"]
-    return priority_dedup(
-        extract(spark, d, number), LINE_KEYS, [F.col("modified").desc()], tiebreak=columns
-    )
+    return H.one_per_key(extract(spark, d, number), HASH_SPEC, [F.col("modified").desc()], columns)
+
+
+def batch(spark, d, number: int):
+    return keyed_batch(spark, d, number).select(*BUSINESS)
 
 
-HASH_SPEC = H.HistorySpec(keys=tuple(LINE_KEYS), change_column="record_hash")
-TIME_SPEC = H.HistorySpec(keys=tuple(LINE_KEYS), change_column="modified")
 VERSIONED = H.versioned_spec(LINE_KEYS, "record_hash")
 
 
@@ -67,13 +70,13 @@ def _merge_sql(marker: str) -> str:
 
 @query("scd2_hash", "J1", _merge_sql("record_hash"))
 def scd2_hash(spark, d):
-    return H.merge_history(published(spark, d), batch(spark, d, 2), HASH_SPEC, RUN_2)
+    return H.merge_history(published(spark, d), keyed_batch(spark, d, 2), HASH_SPEC, RUN_2)
 
 
 @query("scd2_watermark", "J2", _merge_sql("modified"))
 def scd2_watermark(spark, d):
     current = H.first_load(batch(spark, d, 1), TIME_SPEC, RUN_1)
-    return H.merge_history(current, batch(spark, d, 2), TIME_SPEC, RUN_2)
+    return H.merge_history(current, keyed_batch(spark, d, 2), TIME_SPEC, RUN_2)
 
 
 @query(
@@ -83,7 +86,7 @@ def scd2_watermark(spark, d):
 )
 def scd2_idempotent(spark, d):
     """The second batch merged twice: nothing is closed the second time."""
-    staging = batch(spark, d, 2)
+    staging = keyed_batch(spark, d, 2)
     once, _ = H.split_merged(H.merge_history(published(spark, d), staging, HASH_SPEC, RUN_2), HASH_SPEC)
     twice = H.merge_history(once, staging, HASH_SPEC, utc("2024-03-03 06:00:00"))
     return twice.select("order_id", "line_no", "record_hash", "version", "is_current_fg")
@@ -98,7 +101,7 @@ _VERSIONED_SQL = f"""versions AS (SELECT * EXCLUDE (start_date, end_date, is_cur
 def versions(spark, d):
     """All versions after both batches, with the file each came from."""
     first = batch(spark, d, 1).withColumn("source_file", F.lit("lines_20240301060000.csv"))
-    second = batch(spark, d, 2).withColumn("source_file", F.lit("lines_20240302060000.csv"))
+    second = keyed_batch(spark, d, 2).withColumn("source_file", F.lit("lines_20240302060000.csv"))
     return H.merge_history(H.first_load(first, VERSIONED, RUN_1), second, VERSIONED, RUN_2)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landflow.functions.literals import moment
+from landflow.operators.duplicates import priority_dedup
 from landflow.operators.joins import key_columns, with_keys
 from landflow.operators.projection import cols, quoted
 
@@ -58,7 +59,7 @@ def versioned_spec(keys: Sequence[str], change_column: str, **more) -> HistorySp
 
 def first_load(staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime) -> DataFrame:
     """``current`` after the first batch: everything is version 1."""
-    return staging.withColumns(_fresh(spec, run_ts, F.lit(1)))
+    return staging.drop(*key_columns(spec.keys)).withColumns(_fresh(spec, run_ts, F.lit(1)))
 
 
 def _fresh(spec: HistorySpec, run_ts: dt.datetime, version: Column) -> dict[str, Column]:
@@ -75,22 +76,36 @@ def _fresh(spec: HistorySpec, run_ts: dt.datetime, version: Column) -> dict[str,
     return {name: value.cast(types[name]) for name, value in values.items()}
 
 
+def one_per_key(
+    staging: DataFrame, spec: HistorySpec, order: Sequence[Column] = (), tiebreak: Sequence[str] | None = None
+) -> DataFrame:
+    """First row per *normalised* key by ``order``; the key texts stay as columns.
+
+    Rows whose keys differ only in blanks or in null against blank count as one
+    key, as they do in the merge, and the merge reuses this partitioning.
+    """
+    rest = staging.columns if tiebreak is None else tiebreak
+    keyed = with_keys(staging, spec.keys, spec.date_keys)
+    return priority_dedup(keyed, list(key_columns(spec.keys)), list(order), tiebreak=list(rest))
+
+
 def merge_history(
     current: DataFrame, staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime
 ) -> DataFrame:
     """Current rows after the batch, and the versions it closed, in one DataFrame.
 
-    ``staging`` holds at most one row per key (see ``priority_dedup``).  Rows with
+    ``staging`` holds at most one row per key (see ``one_per_key``).  Rows with
     ``spec.flag`` on replace ``current``; the others are appended to the history.
     Merging the same batch again closes nothing and changes nothing.
     """
     keys = list(key_columns(spec.keys))
-    names = current.columns
+    names = [c for c in current.columns if c not in keys]
+    offered = [c for c in staging.columns if c not in keys]
     old = with_keys(current, spec.keys, spec.date_keys).select(
         *keys, F.struct(*cols(names)).alias("_old")
     )
     new = with_keys(staging, spec.keys, spec.date_keys).select(
-        *keys, F.struct(*cols(staging.columns)).alias("_new")
+        *keys, F.struct(*cols(offered)).alias("_new")
     )
     joined = old.join(new, keys, "full_outer")
 

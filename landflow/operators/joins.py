@@ -30,7 +30,9 @@ def key_columns(keys: Sequence[str], date_keys: Iterable[str] = ()) -> dict[str,
 
 
 def with_keys(df: DataFrame, keys: Sequence[str], date_keys: Iterable[str] = ()) -> DataFrame:
-    return df.withColumns(key_columns(keys, date_keys))
+    """Add the key texts; a frame that has them keeps them, and its partitioning by them."""
+    wanted = key_columns(keys, date_keys)
+    return df if set(wanted) <= set(df.columns) else df.withColumns(wanted)
 
 
 def _current(target: DataFrame, flag: str) -> DataFrame:

@@ -21,7 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from landflow.operators.history import HistorySpec, first_load, merge_history, split_merged
+from landflow.operators.history import (
+    HistorySpec,
+    first_load,
+    merge_history,
+    one_per_key,
+    split_merged,
+)
 from landflow.operators.joins import key_columns
 from landflow.operators.projection import quoted
 
@@ -87,6 +93,7 @@ def publish_history(
     """Merge a batch into the table at ``path``; returns the table's schema.
 
     ``staging`` is read more than once, so it should be a staged (curated) table.
+    Should it hold several rows of a key, the newest by ``spec.order_column`` wins.
     ``part`` may name another function of the key columns, such as the month of
     a key date, so that hourly batches touch few parts.
     """
@@ -94,7 +101,9 @@ def publish_history(
     schema = published_schema(staging, spec)
     located = staging.withColumn(PART, part if part is not None else hash_part(spec, parts))
     current = _touched(read_current(spark, path, schema), located)
-    merged = merge_history(current, located, spec, run_ts).persist(StorageLevel.DISK_ONLY)
+    newest = [F.col(quoted(spec.order_column)).desc_nulls_last()] if spec.order_column else []
+    unique = one_per_key(located, spec, newest)
+    merged = merge_history(current, unique, spec, run_ts).persist(StorageLevel.DISK_ONLY)
     try:
         live, closed = split_merged(merged, spec)
         (

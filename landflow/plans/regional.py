@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landflow.functions import clean, enrich
-from landflow.operators.duplicates import priority_dedup
 from landflow.operators.filters import business_exclusions
-from landflow.operators.history import HistorySpec, merge_history
+from landflow.operators.history import HistorySpec, merge_history, one_per_key
 from landflow.operators.joins import calendar_lookup
 from landflow.operators.projection import quoted
 from landflow.operators.report import report_rollup
@@ -71,7 +70,7 @@ class RegionalSpec:
 
 
 def deduplicate(curated: DataFrame, spec: RegionalSpec) -> DataFrame:
-    """One row per key by priority; ids lose their leading zeros."""
+    """One row per normalised key by priority; ids lose their leading zeros first."""
     order = [
         enrich.type_priority(F.col(quoted(spec.kind))),
         enrich.quantity_priority(
@@ -81,7 +80,8 @@ def deduplicate(curated: DataFrame, spec: RegionalSpec) -> DataFrame:
     ids = {
         name: clean.strip_leading_zeros(F.col(quoted(name))) for name in (spec.order_id, spec.line_id)
     }
-    return priority_dedup(curated.withColumns(ids), spec.keys, order)
+    rest = [c for c in curated.columns if c not in spec.keys] + list(spec.keys)
+    return one_per_key(curated.withColumns(ids), spec.history, order, rest)
 
 
 def admitted(rows: DataFrame, spec: RegionalSpec, regions: Sequence[Region]) -> DataFrame:

@@ -66,6 +66,15 @@ def test_publish_resumes_after_a_crash_between_the_two_writes(spark, tmp_path, m
     assert rows(publish.read_published(spark, root, schema)) == rows(publish.read_published(spark, clean_root, schema))
 
 
+def test_publish_keeps_one_row_of_a_repeated_key(spark, tmp_path):
+    """Keys that differ only in blanks are one key, and the newest row of it wins."""
+    spec = HistorySpec(keys=("k",), change_column="h", order_column="v")
+    df = spark.createDataFrame([("a", "x", 1), (" a", "y", 3), ("a ", "z", 2), (None, "n", 1), ("", "m", 2)], "k string, h string, v int")
+    schema = publish.publish_history(df, str(tmp_path / "t"), spec, RUNS[0], "b1", parts=2)
+    got = publish.read_published(spark, str(tmp_path / "t"), schema).select("h", "version")
+    assert rows(got) == [("m", 1), ("y", 1)]
+
+
 def test_publish_rewrites_only_touched_parts(spark, tmp_path):
     root = str(tmp_path / "t")
     part = F.substring("k", 1, 1).cast("int")
