@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.llm import exact_dedup, sharding, token_counts
+from landflow.llm import exact_dedup, parity_join, sharding, token_counts
 from landflow.llm.common import table
 from landflow.session import configure
 
@@ -55,6 +55,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_parity_join")
+def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parity_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=9, den=10)
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 @query("op9_byte_shards")
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
