@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.llm import exact_dedup, parity_join, sharding, token_counts
+from landflow.llm import exact_dedup, parity_join, prefix_free, sharding, token_counts
 from landflow.llm.common import table
 from landflow.session import configure
 
@@ -55,6 +55,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_prefix_free")
+def op6_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_free.remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op7_parity_join")
 def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parity_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=9, den=10)
