@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.llm import exact_dedup, parity_join, prefix_free, sharding, token_counts
+from landflow.llm import chunk_bpe, exact_dedup, parity_join, prefix_free, sharding, token_counts
 from landflow.llm.common import table
 from landflow.session import configure
 
@@ -78,3 +78,19 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op10_chunk_bpe")
+def op10_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    encoded = chunk_bpe.encode(docs, path)
+    return encoded.select(
+        F.col("id").alias("doc_id"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(chunk_bpe.decoded(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"),
+    )
