@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.llm import chunk_bpe, exact_dedup, parity_join, prefix_free, sharding, token_counts
-from landflow.llm.common import table
+from landflow.llm import chunk_bpe, exact_dedup, parity_join, prefix_free, quality, sharding, token_counts, warc
+from landflow.llm.common import scratch_path, table
 from landflow.session import configure
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +23,15 @@ BUILDS: dict[str, Build] = {}
 SQL: dict[str, str] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Arrow batches of whole texts must be small: a worker holds a few of them at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return configure(spark)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     def add(build: Build) -> Build:
-        BUILDS[name] = lambda spark, sf_dir: build(configure(spark), sf_dir)
+        BUILDS[name] = lambda spark, sf_dir: build(prepared(spark), sf_dir)
         if sql:
             SQL[name] = sql
         return build
@@ -33,6 +39,23 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return add
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows whose labels no model may learn from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+
+
+@query("op1_quality_ranking")
+def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ranker = quality.fit(docs, labels.where(~held_out()))
+    return quality.with_score(docs, ranker).select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query(
     "op3_exact_dedup",
     """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -55,9 +78,23 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_warc_revisits")
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    rows = warc.with_payload_size(warc.read_archives(spark, path))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound")
+
+
 @query("op6_prefix_free")
 def op6_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_free.remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return prefix_free.remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 @query("op7_parity_join")
