@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.llm import chunk_bpe, exact_dedup, parity_join, prefix_free, quality, sharding, token_counts, warc
-from landflow.llm.common import scratch_path, table
+from landflow.llm import chunk_bpe, exact_dedup, mixing, parity_join, prefix_free, quality, sharding, token_counts, voronoi_knn, warc
+from landflow.llm.common import scratch_path, table, text_of
 from landflow.session import configure
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,29 @@ def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Domains by the number that ends a source's name; weights by domain, language and source.
+DOMAIN = """CASE WHEN regexp_extract(source, '([0-9]+)$', 1) = '' THEN 'other'
+                 WHEN CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) < 10 THEN 'web'
+                 WHEN CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) < 15 THEN 'reference'
+                 ELSE 'forum' END"""
+WEIGHTS = ({"web": 5, "reference": 3, "forum": 2}, {"en": 6, "de": 2, "fr": 2}, {"src0": 2})
+MIX = mixing.Mix(WEIGHTS, num=1, den=2, epochs=4)
+
+
+@query("op2_source_mix", mixing.mix_sql(MIX, DOMAIN))
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return mixing.with_epochs(docs, MIX, F.expr(DOMAIN)).select(
+        "doc_id",
+        F.coalesce(F.expr(DOMAIN), F.lit("")).alias("domain"),
+        blank("lang").alias("lang"),
+        blank("source").alias("source"),
+        F.regexp_count(text_of(), F.lit(mixing.WORD)).cast("long").alias("n_tokens"),
+        "epochs",
+    )
+
+
 @query(
     "op3_exact_dedup",
     """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -103,6 +126,23 @@ def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+@query(
+    "op8_voronoi_knn",
+    """WITH v AS (
+           SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+       scored AS (
+           SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+       SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+       WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+       QUALIFY row_number() OVER w <= 20""",
+)
+def op8_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op9_byte_shards")
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
