@@ -12,15 +12,15 @@ corpus order down to that depth matters, and only its classes of equal strings:
   windows of the other occurrences start earlier, too; the first ones are the dictionary, each entry
   standing for its place in the corpus.
 * *Dictionary order*: only phrases with a common trigger can share suffixes.  Where a trigger has
-  several phrases, their suffixes, cut to ``width`` bytes, are sorted by content and place; all but
-  the first of equal ones start earlier as well.
+  several phrases, their suffixes are first compared in blocks of neighbours by the bytes that all
+  suffixes of a block have in common.  Of blocks that agree so far, the suffixes, cut to ``width``
+  bytes, are sorted by content and place; all but the first of equal ones start earlier as well.
 
 Repetitive text is thus resolved phrase by phrase; suffixes are listed only around its edges.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -30,12 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landflow.llm.common import settled, shuffle_partitions
-from landflow.llm.hashing import Rolling, blocks
+from landflow.llm.hashing import Rolling, blocks, mix
 
 _U = np.uint64
 #: Bits of a position in a piece; longer texts are cut into pieces that overlap by ``width - 1``.
 _PLACE = 28
 PIECE = 4 << 20
+#: Blocks into which a trigger's suffixes are divided.
+BLOCKS = 4
+#: A phrase's shape holds its number of windows and, above these bits, the trigger's distance from its start.
+_SHAPE = 12
 
 
 def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
@@ -47,7 +51,7 @@ def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of every phrase: its text, start, number of windows, trigger and content."""
+    """Of every phrase: its text, start, shape, trigger and content."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
     offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -71,7 +75,8 @@ def phrases(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, ...]
     counts = np.diff(np.concatenate([opens, [len(at)]]))
     text = np.searchsorted(offsets, starts, "right") - 1
     content = rolling.spans(starts, starts + counts + width - 1)
-    return text, starts - offsets[text], counts, grams[named[opens]].view(np.int64), content.view(np.int64)
+    shape = counts + ((named[opens] - starts) << _SHAPE)
+    return text, starts - offsets[text], shape, grams[named[opens]].view(np.int64), content.view(np.int64)
 
 
 def _pieces(text: bytes, width: int) -> list[tuple[int, bytes]]:
@@ -80,7 +85,14 @@ def _pieces(text: bytes, width: int) -> list[tuple[int, bytes]]:
     return [(a, text[a : a + PIECE + width - 1]) for a in range(0, len(text) - width + 1, PIECE)]
 
 
-_ENTRY = "trigger long, content long, id long, start int, windows int"
+_ENTRY = "trigger long, content long, id long, start int, shape int"
+_NAMES = ["trigger", "content", "id", "start", "shape"]
+
+
+def _entries(trigger, content, ids, start, shape) -> pa.RecordBatch:
+    columns = [trigger, content, ids, start.astype(np.int32), shape.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _NAMES)
+
 
 
 def _parse(batches: Iterator[pa.RecordBatch], width: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -89,9 +101,8 @@ def _parse(batches: Iterator[pa.RecordBatch], width: int, gram: int) -> Iterator
         for first, texts in blocks(batch.column(1).to_pylist()):
             cut = [(row, a, piece) for row, t in enumerate(texts, first) for a, piece in _pieces(t, width)]
             rows, shift = (np.array(c, np.int64) for c in ([c[0] for c in cut], [c[1] for c in cut]))
-            text, start, windows, trigger, content = phrases([c[2] for c in cut], width, gram)
-            columns = [trigger, content, ids[rows[text]], (start + shift[text]).astype(np.int32), windows.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["trigger", "content", "id", "start", "windows"])
+            text, start, shape, trigger, content = phrases([c[2] for c in cut], width, gram)
+            yield _entries(trigger, content, ids[rows[text]], start + shift[text], shape)
 
 
 def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,16 +110,15 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     content (``entry`` false), and the first ones of triggers with several contents (``entry`` true)."""
     held: list[np.ndarray] | None = None  # the first entry of the content read last
     shared = False  # whether its trigger had another content before
-    names = ["trigger", "content", "id", "start", "windows"]
 
     def out(columns: list[np.ndarray], entry: bool) -> pa.RecordBatch:
         arrays = [pa.array(c) for c in (columns[0], columns[2], columns[3], columns[4])]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(columns[0]), entry))], ["trigger", "id", "start", "windows", "entry"])
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(columns[0]), entry))], ["trigger", "id", "start", "shape", "entry"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(n).to_numpy() for n in names]
+        columns = [batch.column(n).to_numpy() for n in _NAMES]
         if held is not None:
             columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
         trigger, content, ids, start, _ = columns
@@ -129,57 +139,109 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held, True)
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of entries sorted by trigger and content: those with the same of both as another one."""
+    held: list[np.ndarray] | None = None  # the last entry, if its content has not been met again so far
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(n).to_numpy() for n in _NAMES]
+        if held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
+        trigger, content = columns[:2]
+        again = np.concatenate([[last == (trigger[0], content[0])], (trigger[1:] == trigger[:-1]) & (content[1:] == content[:-1])])
+        out = again | np.concatenate([again[1:], [False]])
+        held = None if out[-1] else [c[-1:] for c in columns]
+        last = (trigger[-1], content[-1]) if out[-1] else None
+        if out.any():
+            yield _entries(*(c[out] for c in columns))
+
+
+def _listed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, ...]]]:
+    """Of each text that has listed phrases: its id, its bytes, and their triggers, starts and shapes."""
+    ids, lists = batch.column(0).to_numpy(), batch.column(2)
+    for first, texts in blocks(batch.column(1).to_pylist()):
+        for row, text in enumerate(texts, first):
+            if lists[row].is_valid:
+                trigger, start, shape = (c.to_numpy() for c in lists[row].values.flatten())
+                yield ids[row], np.frombuffer(text, np.uint8), (trigger, start.astype(np.int64), shape.astype(np.int64))
+
+
+def _fits(data: np.ndarray, found: tuple[np.ndarray, ...], width: int) -> tuple[np.ndarray, ...]:
+    fits = found[1] + (found[2] & ((1 << _SHAPE) - 1)) + width - 1 <= len(data)
+    return tuple(c[fits] for c in found)
+
+
+def _cores(batches: Iterator[pa.RecordBatch], width: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of the listed phrases' suffixes, each named by the bytes common to its suffixes."""
+    size = -(-(width - gram + 1) // BLOCKS)
+    for batch in batches:
+        for doc, data, found in _listed(batch):
+            trigger, start, shape = _fits(data, found, width)
+            if not len(start):
+                continue
+            windows, ahead = shape & ((1 << _SHAPE) - 1), shape >> _SHAPE
+            place = start + ahead - (width - gram)  # where the trigger's first block would begin
+            parts = []
+            for block in range(BLOCKS):
+                low = np.maximum(start, place + block * size)
+                high = np.minimum(start + windows, place + (block + 1) * size)
+                some = low < high
+                core = place[some] + (block + 1) * size - 1
+                parts.append((trigger[some], np.full(some.sum(), block), core, place[some] + block * size + width, low[some], (high - low)[some]))
+            trigger, block, begin, end, low, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+            content = mix(Rolling(data).spans(begin, end) + block.astype(np.uint64)).view(np.int64)
+            yield _entries(trigger, content, np.full(len(low), doc), low, count)
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Every suffix of the listed phrases of each text, cut to ``width`` bytes and hashed."""
+    """Every suffix of the listed blocks, cut to ``width`` bytes."""
     for batch in batches:
-        ids, lists = batch.column(0).to_numpy(), batch.column(2)
-        for first, texts in blocks(batch.column(1).to_pylist()):
-            for row, text in enumerate(texts, first):
-                found = lists[row].values.flatten()
-                trigger, start, windows = (c.to_numpy() for c in found)
-                fits = start + windows + width - 1 <= len(text)
-                trigger, start, windows = trigger[fits], start[fits].astype(np.int64), windows[fits].astype(np.int64)
-                if not len(start):
-                    continue
-                begins = np.cumsum(windows) - windows
-                at = np.arange(windows.sum()) - np.repeat(begins - start, windows)
-                content = Rolling(np.frombuffer(text, np.uint8)).spans(at, at + width).view(np.int64)
-                columns = [np.repeat(trigger, windows), content, np.full(len(at), ids[row]), at.astype(np.int32), np.ones(len(at), np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["trigger", "content", "id", "start", "windows"])
+        for doc, data, found in _listed(batch):
+            trigger, start, windows = _fits(data, found, width)
+            if not len(start):
+                continue
+            at = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows - start, windows)
+            content = Rolling(data).spans(at, at + width).view(np.int64)
+            yield _entries(np.repeat(trigger, windows), content, np.full(len(at), doc), at, np.ones(len(at), np.int32))
 
 
-_CUT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_CUT = "id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"
 
 
-def _cut(batches: Iterator[pa.RecordBatch], width: int, texts_too: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
     for batch in batches:
-        rows = []
+        sizes, spans, kept, ids = [], [], [], batch.column(0)
         for first, texts in blocks(batch.column(1).to_pylist()):
             for row, text in enumerate(texts, first):
                 depth = np.zeros(len(text) + 1, np.int64)
                 if batch.column(2)[row].is_valid:
-                    start, windows = (c.to_numpy().astype(np.int64) for c in batch.column(2)[row].values.flatten())
+                    start, shape = (c.to_numpy().astype(np.int64) for c in batch.column(2)[row].values.flatten())
+                    windows = shape & ((1 << _SHAPE) - 1)
                     np.add.at(depth, np.minimum(start, len(text)), 1)
                     np.add.at(depth, np.minimum(start + windows + width - 1, len(text)), -1)
-                gone = np.cumsum(depth[:-1]) > 0
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                out = (len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
-                rows.append((*out, kept) if texts_too else out)
-        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * texts_too]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * texts_too]
-        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *names])
-
-
-def _sorted_entries(entries: DataFrame) -> DataFrame:
-    keys = ["trigger", "content"]
+                gone = np.concatenate([[False], np.cumsum(depth[:-1]) > 0, [False]])
+                edge = np.flatnonzero(gone[1:] != gone[:-1])
+                sizes.append(len(text))
+                spans.append([{"start": x, "end": y} for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)])
+                kept.append(np.frombuffer(text, np.uint8)[~gone[1:-1]].tobytes())
+        columns = [ids, pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "spans", "kept"])
+
+
+_FIRSTS = "trigger long, id long, start int, shape int, entry boolean"
+
+
+def _in_order(entries: DataFrame, *keys: str) -> DataFrame:
     parts = shuffle_partitions(entries.sparkSession)
-    return (
-        entries.repartition(parts, "trigger")
-        .sortWithinPartitions(*keys, "id", "start")
-        .mapInArrow(_firsts, "trigger long, id long, start int, windows int, entry boolean")
-    )
+    return entries.repartition(parts, *keys).sortWithinPartitions("trigger", "content", "id", "start")
+
+
+def _lists(entries: DataFrame, *columns: str) -> DataFrame:
+    """The entries of each text; a text has a bounded number of them for its length."""
+    return entries.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("list")).hint("shuffle_hash")
 
 
 def remove_repeats(
@@ -188,9 +250,8 @@ def remove_repeats(
     text: str = "text",
     width: int = 100,
     gram: int = 32,
-    texts_too: bool = False,
 ) -> DataFrame:
-    """One row per document: ``id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` (and ``kept``, the bytes).
+    """One row per document: ``id``, ``n_bytes``, the removed ``spans`` and the ``kept`` bytes.
 
     Texts are UTF-8 bytes (null: empty); strings never cross documents.  Earlier means a smaller id,
     or the same text and an earlier start; all strings are judged on the input.  Texts shorter than
@@ -198,21 +259,16 @@ def remove_repeats(
     repeated row is the same document again and gets the same result; texts that share an id get each
     other's removals, within their length.  Other columns don't matter; an empty table stays empty.
     """
-    parts = shuffle_partitions(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     parsed = docs.where("id is not null").mapInArrow(partial(_parse, width=width, gram=gram), _ENTRY)
-    found = settled(_sorted_entries(parsed), "phrases")
-    texts = docs.repartition(parts, "id")
-    listed = found.where("entry").groupBy("id").agg(F.collect_list(F.struct("trigger", "start", "windows")).alias("list"))
-    suffixes = texts.join(listed.hint("shuffle_hash"), "id").mapInArrow(partial(_suffixes, width=width), _ENTRY)
-    edges = (
-        suffixes.repartition(parts, "trigger", "content")
-        .sortWithinPartitions("trigger", "content", "id", "start")
-        .mapInArrow(_firsts, "trigger long, id long, start int, windows int, entry boolean")
-    )
-    gone = found.where("not entry").union(edges.where("not entry"))
-    spans = gone.groupBy("id").agg(F.collect_list(F.struct("start", "windows")).alias("list"))
-    kinds = _CUT + (", kept binary" if texts_too else "")
-    return texts.join(spans.hint("shuffle_hash"), "id", "left").mapInArrow(
-        partial(_cut, width=width, texts_too=texts_too), kinds
-    )
+    found = settled(_in_order(parsed, "trigger").mapInArrow(_firsts, _FIRSTS), "phrases")
+    # all joins are left joins, so that they read one shuffle of the texts
+    texts = docs.repartition(shuffle_partitions(docs.sparkSession), "id")
+    entries = _lists(found.where("entry"), "trigger", "start", "shape")
+    cores = texts.join(entries, "id", "left").mapInArrow(partial(_cores, width=width, gram=gram), _ENTRY)
+    cores = _in_order(cores, "trigger", "content").mapInArrow(_shared, _ENTRY)
+    suffixes = texts.join(_lists(cores, "trigger", "start", "shape"), "id", "left")
+    suffixes = suffixes.mapInArrow(partial(_suffixes, width=width), _ENTRY)
+    edges = _in_order(suffixes, "trigger", "content").mapInArrow(_firsts, _FIRSTS)
+    spans = _lists(found.where("not entry").union(edges.where("not entry")), "start", "shape")
+    return texts.join(spans, "id", "left").mapInArrow(partial(_cut, width=width), _CUT)
