@@ -37,11 +37,11 @@ LEAST, ABOUT, MOST = 256, 1024, 8192
 #: Bytes that the rolling hash sees.
 GRAM = 48
 #: Units that a worker's cache holds, and the longest that it keeps.
-HELD, KEPT_CHARS = 500_000, 64
+HELD, KEPT_CHARS = 300_000, 64
 
 _UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space that only some definitions have; next to it no place counts as safe.
-_ODD = "\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏ -  ⁠　﻿"
+_ODD = "\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff"
 _HAS_ODD = re.compile(f"[{_ODD}]")
 _SAFE = re.compile(rf"(?<=[^ \t\n\r{_ODD}])[ \t\n\r]")
 
@@ -167,6 +167,18 @@ def encoder(path: str) -> Encoder:
 # ------------------------------------------------------------------ inside tasks
 
 
+def _packed(ids: bytes, press: zstandard.ZstdCompressor) -> bytes:
+    """Ids for a shuffle: two bytes each where they fit, compressed."""
+    wide = np.frombuffer(ids, "<u4")
+    fits = not len(wide) or wide.max() < 1 << 16
+    return (b"n" + press.compress(wide.astype("<u2").tobytes())) if fits else b"w" + press.compress(ids)
+
+
+def _unpacked(packed: bytes, unpack: zstandard.ZstdDecompressor) -> bytes:
+    plain = unpack.decompress(packed[1:])
+    return np.frombuffer(plain, "<u2").astype("<u4").tobytes() if packed[:1] == b"n" else plain
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The digest of every chunk."""
     for batch in batches:
@@ -200,15 +212,18 @@ def _read(batch: pa.RecordBatch, row: int, unpack) -> tuple[bytes, list[int]]:
 
 
 def _encode_shared(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    unpack, own = zstandard.ZstdDecompressor(), encoder(path)
+    press, unpack, own = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor(), encoder(path)
     for batch in batches:
         digest, ids = [], []
         for row, listed in enumerate(batch.column("list").to_pylist()):
+            if not listed:
+                continue
             text, ends = _read(batch, row, unpack)
             parts = _parts(text, ends)
             for entry in listed:
                 digest.append(entry["digest"])
-                ids.append(own.encode(parts[entry["nth"]].decode("utf-8", "surrogatepass")))
+                own_ids = own.encode(parts[entry["nth"]].decode("utf-8", "surrogatepass"))
+                ids.append(_packed(own_ids, press))
         yield pa.RecordBatch.from_pydict({"digest": pa.array(digest, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
 
@@ -219,7 +234,7 @@ def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
         for row in range(batch.num_rows):
             text, ends = _read(batch, row, unpack)
             listed = batch.column("list")[row].as_py()
-            ids.append(own.joined(text, ends, {e["nth"]: e["ids"] for e in listed or ()}))
+            ids.append(own.joined(text, ends, {e["nth"]: _unpacked(e["ids"], unpack) for e in listed or ()}))
             size += len(ids[-1])
             if size > 8 << 20 or row == batch.num_rows - 1:
                 part = batch.column("id").slice(first, len(ids))
@@ -254,11 +269,13 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
     owners = owners.withColumn("list", F.array_distinct("list"))
     pressed = rows.mapInArrow(_pressed, f"id {rows.schema['id'].dataType.simpleString()}, k1 long, k2 long, body binary, cuts binary")
     pressed = pressed.repartition(parts, "k1", "k2")
-    once = pressed.join(owners.hint("shuffle_hash"), ["k1", "k2"]).mapInArrow(
+    # left joins both, so that both read one shuffle of the texts
+    once = pressed.join(owners.hint("shuffle_hash"), ["k1", "k2"], "left").mapInArrow(
         partial(_encode_shared, path=tokenizer_path), "digest binary, ids binary"
     )
     once = once.groupBy("digest").agg(F.first("ids").alias("ids"))  # repeated rows encode alike
-    uses = chunks.join(once, "digest").select("k1", "k2", "nth", "ids").dropDuplicates(["k1", "k2", "nth"])
+    uses = chunks.join(once, "digest").select("k1", "k2", "nth", "ids")
+    uses = uses.repartition(parts, "k1", "k2").dropDuplicates(["k1", "k2", "nth"])
     uses = uses.groupBy("k1", "k2").agg(F.collect_list(F.struct("nth", "ids")).alias("list"))
     return pressed.join(uses.hint("shuffle_hash"), ["k1", "k2"], "left").mapInArrow(
         partial(_encode_rows, path=tokenizer_path), f"id {rows.schema['id'].dataType.simpleString()}, ids binary"
