@@ -160,7 +160,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _listed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, ...]]]:
     """Of each text that has listed phrases: its id, its bytes, and their triggers, starts and shapes."""
-    ids, lists = batch.column(0).to_numpy(), batch.column(2)
+    ids, lists = batch.column(0).fill_null(0).to_numpy(), batch.column(2)  # rows without id have no list
     for first, texts in blocks(batch.column(1).to_pylist()):
         for row, text in enumerate(texts, first):
             if lists[row].is_valid:
