@@ -14,7 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landflow.llm.common import settled, text_of
@@ -36,9 +36,10 @@ def sha1_base32(data: Column) -> Column:
     return F.translate(F.concat(*groups), HEX32, BASE32)
 
 
-def record_id(page_id: Column, copy: Column) -> Column:
-    """A URN that the page's id and the number of its copy decide."""
-    h = F.md5(F.concat_ws("|", F.coalesce(page_id.cast("string"), F.lit("null")), copy.cast("string")).cast("binary"))
+def record_id(page_id: Column, digest: Column, copy: Column) -> Column:
+    """A URN that the page's id, its payload and the number of its copy decide."""
+    named = F.concat_ws("|", F.coalesce(page_id.cast("string"), F.lit("null")), digest, copy.cast("string"))
+    h = F.md5(named.cast("binary"))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -56,7 +57,7 @@ def payload_headers(pages: DataFrame, id_column: str = "page_id", payload: str =
 def originals(headers: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Of every payload of ``least_bytes`` or more that occurs at least twice, the smallest page id.
 
-    Null ids come last, so they are originals only of payloads that no other page has.
+    Null ids count as larger than any, so they are originals only of payloads that no other page has.
     """
     return (
         headers.where(F.col("bytes") >= least_bytes)
@@ -85,8 +86,7 @@ def resolved(pages: DataFrame, id_column: str, payload: str, url: str, least_byt
     keyed = keyed.withColumn("digest", sha1_base32(F.col("payload").cast("binary")))
     keyed = keyed.withColumn("bytes", F.octet_length("payload").cast("long"))
     rows = keyed.join(first, ["digest", "bytes"], "left")
-    again = F.coalesce("page_id", F.lit(-1)) != F.coalesce("origin", F.lit(-1))
-    revisit = F.coalesce((F.col("bytes") >= least_bytes) & F.col("origin").isNotNull() & again, F.lit(False))
+    revisit = F.col("origin").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("origin"))
     rows = rows.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
     rows = rows.withColumn("copy", F.lit(0))
     if repeats.isEmpty():
@@ -102,8 +102,6 @@ def resolved(pages: DataFrame, id_column: str, payload: str, url: str, least_byt
 
 
 def _copy_number() -> Column:
-    from pyspark.sql import Window
-
     return F.row_number().over(Window.partitionBy("page_id", "digest", "bytes").orderBy("url")) - 1
 
 
@@ -115,7 +113,7 @@ def records(rows: DataFrame, date: str) -> DataFrame:
     head = [
         F.lit(VERSION + BREAK),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", record_id(F.col("page_id"), F.col("copy"))),
+        line("WARC-Record-ID", record_id(F.col("page_id"), F.col("digest"), F.col("copy"))),
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", clean_url),
         F.when(F.col("page_id").isNotNull(), line("WARC-Page-ID", F.col("page_id").cast("string"))).otherwise(""),
@@ -124,7 +122,7 @@ def records(rows: DataFrame, date: str) -> DataFrame:
             revisit,
             F.concat(
                 line("WARC-Profile", F.lit(SAME_PAYLOAD)),
-                line("WARC-Refers-To", record_id(F.col("origin"), F.lit(0))),
+                line("WARC-Refers-To", record_id(F.col("origin"), F.col("digest"), F.lit(0))),
             ),
         ).otherwise(""),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -148,10 +146,10 @@ def write_archives(
     """Writes a record per page into gzip-compressed archives below ``path``.
 
     Of equal payloads of ``least_bytes`` or more the smallest page id is the response and the others
-    are revisits; smaller payloads are all responses.  A null payload is empty, a null url blank;
-    pages without an id come last, and among themselves the first response of a payload is chosen per
-    copy; repeated rows become revisits of the first; other columns don't matter; an empty table
-    writes no record.
+    are revisits; smaller payloads are all responses.  A null payload is empty, a null url blank.  A
+    null id counts as larger than any; of rows that repeat id and payload the one with the smallest
+    url comes first and the others are revisits.  Other columns don't matter; an empty table writes no
+    record.
     """
     rows = resolved(pages, id_column, payload, url, least_bytes)
     total = pages.select(F.sum(F.octet_length(text_of(payload)).cast("long") + 512)).first()[0] or 0
