@@ -9,23 +9,24 @@ lower bound of their symmetric difference.
   ``d`` segments, so a linked pair agrees in one whole segment (pigeonhole).  A set enters its own
   band, and the next lower one if a partner can be there.  A segment is very wide and nearly empty,
   so its key is the XOR of its shingles' 64-bit hashes: the same parity, stored in one number.
-* Buckets of equal keys are read in sorted order; every member is paired with the bucket's first.
-  These pairs pass a Hamming test on a 256-bit sketch and are then verified on the texts.
+* Buckets of equal keys are read in sorted order; every member is paired with the bucket's first
+  and, in larger buckets, with its neighbours in a few orders by sketch.  These pairs pass a Hamming
+  test on a 256-bit sketch and are then verified on the texts.
 * Members of a bucket that are still in different components are paired with one another, tested
-  and verified too, so no link is lost; a group of copies costs one pair a member, not all pairs.
+  and verified too, so no link is lost; a group of copies costs a few pairs a member, not all pairs.
 
 Documents with equal sets are one class from the start (128-bit hash of the set).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landflow.llm.common import settled, shuffle_partitions
@@ -251,12 +252,27 @@ def _verified(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) ->
 SKETCH = ["s0", "s1", "s2", "s3"]
 
 
-def _may_link(num: int, den: int) -> Column:
+def _may_link(num: int, den: int, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
     """Sizes allow a link, and the sketches differ in no more bits than linked sets can."""
-    a, b = F.col("n_a"), F.col("n_b")
-    apart = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH), F.lit(0))
-    sizes = (F.least(a, b) * den >= F.greatest(a, b) * num) & (a > 0)
-    return sizes & (apart * (den + num) <= (a + b) * (den - num))
+    apart = sum((F.bit_count(a(s).bitwiseXOR(b(s))) for s in SKETCH), F.lit(0))
+    sizes = (F.least(a("n"), b("n")) * den >= F.greatest(a("n"), b("n")) * num) & (a("n") > 0)
+    return sizes & (apart * (den + num) <= (a("n") + b("n")) * (den - num))
+
+
+def _named(side: str) -> Callable[[str], Column]:
+    return lambda column: F.col(f"{column}_{side}")
+
+
+def _neighbours(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a bucket's members that are next to one another by one of the sketch's parts."""
+    whole = F.struct("rep", "n", *SKETCH)
+    before = []
+    for k in range(len(SKETCH)):
+        order = Window.partitionBy("key").orderBy(*SKETCH[k:], *SKETCH[:k], "rep")
+        before.append(F.lag(whole).over(order))
+    rows = members.withColumn("_before", F.array(*before))
+    near = F.filter("_before", lambda p: p.isNotNull() & _may_link(num, den, p.getField, F.col))
+    return rows.select(F.col("rep").alias("rep_a"), F.explode(near).alias("p")).select("rep_a", F.col("p.rep").alias("rep_b"))
 
 
 def _side(classes: DataFrame, side: str) -> DataFrame:
@@ -322,24 +338,25 @@ def near_duplicates(
     )
     named = stars.join(_side(classes, "a"), ["hi_a", "lo_a"]).join(_side(classes, "b"), ["hi_b", "lo_b"])
     named = settled(named.drop("hi_a", "lo_a", "hi_b", "lo_b"), "stars")
-    first_pairs = settled(_ordered(named.where(_may_link(num, den))), "pairs")
+    larger = named.where("rank >= 2").select("key").distinct()
+    sides = [F.struct(*[F.col(f"{c}_{s}").alias(c) for c in ("rep", "n", *SKETCH)]) for s in ("a", "b")]
+    members = named.join(larger, "key", "left_semi").select("key", F.explode(F.array(*sides)).alias("m"))
+    members = settled(members.select("key", "m.*").distinct(), "members")
+    with_first = named.where(_may_link(num, den, _named("a"), _named("b"))).select("rep_a", "rep_b")
+    first_pairs = settled(_ordered(with_first), "pairs").union(settled(_ordered(_neighbours(members, num, den)), "pairs"))
+    first_pairs = settled(first_pairs.distinct(), "pairs")
     links = _links(first_pairs, docs, classes, k, num, den)
 
-    # what a bucket's first member has not joined is compared within the bucket
-    larger = named.where("rank >= 2").select("key").distinct()
-    members = named.join(larger, "key", "left_semi")
-    sides = [
-        members.select("key", *[F.col(f"{c}_{s}").alias(c) for c in ("rep", "n", *SKETCH)]) for s in ("a", "b")
-    ]
+    # what is still apart within a bucket is compared pair by pair
     labels = components(links).select(F.col("id").alias("rep"), "component")
-    members = sides[0].union(sides[1]).distinct().join(labels, "rep", "left")
-    members = members.withColumn("component", F.coalesce("component", "rep"))
+    members = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     parted = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    members = settled(members.join(parted.where("low < high").select("key"), "key", "left_semi"), "members")
+    members = settled(members.join(parted.where("low < high").select("key"), "key", "left_semi"), "apart")
     one, two = (
         members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", *SKETCH)]) for s in ("a", "b")
     )
-    rest = one.join(two, (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b")) & _may_link(num, den))
+    apart = (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b"))
+    rest = one.join(two, apart & _may_link(num, den, _named("a"), _named("b")))
     rest = _ordered(rest).join(first_pairs, ["a", "b"], "left_anti")
     more = _links(rest, docs, classes, k, num, den)
     labels = components(links.union(more)).select(F.col("id").alias("rep"), "component")
