@@ -15,7 +15,9 @@ def load_all() -> dict[str, Query]:
         file_queries,
         history_queries,
         load_queries,
+        publish_queries,
         rule_queries,
+        run_queries,
         stream_queries,
     )
 

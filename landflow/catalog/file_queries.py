@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from landflow.catalog.base import DIRTY_ORDERS_SQL, dirty_orders, query, table
+from landflow.catalog.base import DIRTY_ORDERS_SQL, RUN_1, dirty_orders, query, table
 from landflow.catalog.rule_queries import RECORD, _ANY_BAD, _REASONS, _checked
 from landflow.config import EntityConfig
 from landflow.operators import audit as A
 from landflow.operators import rules as R
-from landflow.operators.admission import split_listing
+from landflow.operators.admission import MANIFEST_PREFIX, admission_verdict, split_listing
+from landflow.plans import entity_load
 from landflow.session import scratch_path
 from landflow.sources import readers, sinks
 
@@ -68,7 +69,7 @@ def skip_header_rows(spark, d):
     config = EntityConfig(
         required_column_list=tuple(_NAMES), header_row_number_to_select=1, remove_trailer_rows=-1
     )
-    return readers.read_entity(spark, path, config).drop(readers.SOURCE_FILE)
+    return readers.read_entity(spark, path, config).select(*_NAMES)
 
 
 @query("read_tables", "A13", f"SELECT 'narrow' AS part, id, priority FROM ({_TEXT_SQL}) UNION ALL SELECT 'renamed', id, priority FROM ({_TEXT_SQL})")
@@ -197,3 +198,83 @@ def write_snapshot(spark, d):
     return latest_snapshot(spark.read.parquet(path))
 
 
+
+
+# ---------------------------------------------------------------- records and headers that are not as declared
+
+
+def _quoted(c):
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+@query(
+    "quoted_text", "A1",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'say "' || o_orderpriority || '", twice' || chr(10) || 'and again' AS priority,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM orders""",
+)
+def quoted_text(spark, d):
+    """Text with quotes, separators and line breaks in it."""
+    path = scratch_path(spark, "quoted")
+    said = F.concat(F.lit('say "'), "priority", F.lit('", twice\nand again'))
+    lines = _orders_text(spark, d).select(F.concat_ws(",", "id", _quoted(said), "price").alias("value"))
+    lines.write.text(path)
+    return readers.read_delimited(spark, path, _NAMES, header=False, multi_line=True)
+
+
+_RAGGED = EntityConfig.from_dict(
+    {"required_column_list": _NAMES, "notnull_columns": ["id"], "input_file_extension": "csv"}
+)
+
+
+@query(
+    "malformed_rows", "A1 C1 I1",
+    """SELECT CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority
+                   WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',1,more'
+                   ELSE CAST(o_orderkey AS VARCHAR) END AS record,
+              CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 THEN 'record_malformed' END AS reason FROM orders""",
+)
+def malformed_rows(spark, d):
+    """Records with a field too few or too many are rejected whole, with their text; the others pass."""
+    path = scratch_path(spark, "ragged")
+    key = F.col("id").cast("bigint")
+    fields = F.when(key % 7 == 0, F.concat_ws(",", "id", "priority")).when(
+        key % 5 == 0, F.concat_ws(",", "id", "priority", F.lit("1"), F.lit("more"))
+    ).otherwise(F.concat_ws(",", "id", "priority", F.lit("1")))
+    _orders_text(spark, d).select(fields.alias("value")).write.text(path)
+    rows = readers.read_delimited(spark, path, _NAMES, header=False, with_source=True, malformed=readers.MALFORMED)
+    found = entity_load.check_entity(rows, _RAGGED)
+    bad = found.rejects.select(F.col(readers.MALFORMED).alias("record"), F.col("reject_reason")[0].alias("reason"))
+    return found.clean.select(F.col("id").alias("record"), F.lit(None).cast("string").alias("reason")).union(bad)
+
+
+@query(
+    "header_parses", "B11",
+    """SELECT 'orders' || f || '_20240301050000.csv' AS file_name,
+              CASE WHEN f % 3 = 0 THEN 'File integrity check failed' END AS reason
+       FROM (SELECT DISTINCT o_custkey % 10 AS f FROM orders)""",
+)
+def header_parses(spark, d):
+    """Every third file has a column more in its header than the entity declares."""
+    path = scratch_path(spark, "headers")
+    rows = table(spark, d, "orders").select(
+        (F.col("o_custkey") % 10).alias("file"), F.concat_ws(",", "o_orderkey", "o_orderpriority", "o_orderstatus").alias("value")
+    )
+    header = F.when(F.col("file") % 3 == 0, "id,priority,status,more").otherwise("id,priority,status")
+    lines = rows.select("file", F.lit(1).alias("rank"), "value").unionByName(
+        rows.select("file").distinct().select("file", F.lit(0).alias("rank"), header.alias("value"))
+    )
+    lines.repartition(1, "file").sortWithinPartitions("file", "rank").select("file", "value").write.partitionBy("file").text(path)
+    found = readers.header_columns(spark, f"{path}/*")
+    number = F.regexp_extract("path", "file=([0-9]+)", 1)
+    name = F.concat(F.lit("orders"), number, F.lit("_20240301050000.csv"))
+    listing = found.select(name.alias("file_name"), name.alias("path"), "header_columns")
+    data = listing.select("file_name", "path", F.lit(10).cast("long").alias("length"), F.lit(RUN_1).alias("modificationTime"))
+    manifest = listing.select(
+        F.concat(F.lit(MANIFEST_PREFIX), "file_name").alias("manifest_name"),
+        F.col("file_name").alias("listed_name"), F.lit(10).cast("long").alias("declared_size"),
+    )
+    judged = admission_verdict(
+        data, manifest, RUN_1, {"orders": "csv"}, prefixes=["orders"], aliases=["orders"],
+        header_columns=listing.select("path", "header_columns"), column_counts={"orders": 3},
+    )
+    return judged.select("file_name", "reason")

@@ -143,37 +143,45 @@ def rollback_before_file(spark, d):
 
 # ---------------------------------------------------------------- batch against target
 
-_EXTRACTS_SQL = f"""{LINE_EXTRACT_SQL}, target AS (SELECT *, 'Y' AS is_current_fg FROM first_extract),
-    staging AS (SELECT * EXCLUDE (extract_no) FROM extract WHERE extract_no = 2)"""
+_EXTRACTS_SQL = f"""{LINE_EXTRACT_SQL}, target AS (SELECT *, 'Y' AS is_current_fg, nullif(return_flag, 'A') AS marker FROM first_extract),
+    staging AS (SELECT * EXCLUDE (extract_no), nullif(return_flag, 'A') AS marker FROM extract WHERE extract_no = 2)"""
 _ON = "t.order_id = s.order_id AND t.line_no = s.line_no"
 
 
+#: A change marker that is null for some rows of either side.
+_MARKER = "nullif(return_flag, 'A')"
+
+
 def _target(spark, d):
-    return batch(spark, d, 1).withColumn("is_current_fg", F.lit("Y"))
+    return batch(spark, d, 1).withColumns({"is_current_fg": F.lit("Y"), "marker": F.expr(_MARKER)})
+
+
+def _batch_2(spark, d):
+    return extract(spark, d, 2).withColumn("marker", F.expr(_MARKER))
 
 
 @query(
     "expire_join", "E1",
-    f"WITH {_EXTRACTS_SQL} SELECT * FROM target t WHERE EXISTS (SELECT 1 FROM staging s WHERE {_ON} AND s.record_hash <> t.record_hash)",
+    f"WITH {_EXTRACTS_SQL} SELECT * FROM target t WHERE EXISTS (SELECT 1 FROM staging s WHERE {_ON} AND s.marker IS DISTINCT FROM t.marker)",
 )
 def expire_join(spark, d):
-    return joins.expire_join(_target(spark, d), extract(spark, d, 2), LINE_KEYS, "record_hash")
+    return joins.expire_join(_target(spark, d), _batch_2(spark, d), LINE_KEYS, "marker")
 
 
 @query(
     "insert_left_join", "E2",
-    f"WITH {_EXTRACTS_SQL} SELECT s.* FROM staging s LEFT JOIN target t ON {_ON} WHERE t.order_id IS NULL OR t.record_hash <> s.record_hash",
+    f"WITH {_EXTRACTS_SQL} SELECT s.* FROM staging s LEFT JOIN target t ON {_ON} WHERE t.order_id IS NULL OR t.marker IS DISTINCT FROM s.marker",
 )
 def insert_left_join(spark, d):
-    return joins.insert_left_join(extract(spark, d, 2), _target(spark, d), LINE_KEYS, "record_hash")
+    return joins.insert_left_join(_batch_2(spark, d), _target(spark, d), LINE_KEYS, "marker")
 
 
 @query(
     "insert_not_exists", "E3",
-    f"WITH {_EXTRACTS_SQL} SELECT * FROM staging s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE {_ON} AND t.record_hash = s.record_hash)",
+    f"WITH {_EXTRACTS_SQL} SELECT * FROM staging s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE {_ON} AND t.marker IS NOT DISTINCT FROM s.marker)",
 )
 def insert_not_exists(spark, d):
-    return joins.insert_not_exists(extract(spark, d, 2), _target(spark, d), LINE_KEYS, "record_hash")
+    return joins.insert_not_exists(_batch_2(spark, d), _target(spark, d), LINE_KEYS, "marker")
 
 
 _EVENT_KEYS_SQL = """batch AS (SELECT user_id, date_trunc('hour', ts) AS hour, event_type, value FROM events),

@@ -163,8 +163,8 @@ def publish_two_extracts(spark, d, path):
     for number, run in ((1, RUN_1), (2, RUN_2)):
         prepared = prepared_revenue(spark, d, run, number, f"revenue_{number}.csv")
         staged = sinks.stage_overwrite(prepared, f"{path}/curated")
-        schema = publish.publish_history(staged, path, _SPEC, run, f"batch_{number}", parts=8)
-    return publish.read_published(spark, path, schema)
+        done = publish.publish_history(staged, path, _SPEC, run, f"batch_{number}", parts=8)
+    return publish.read_published(spark, path, done.schema)
 
 
 _CHANGED = " AND ".join(f"t.{k} = s.{k}" for k in _LOAD_KEYS.split(", "))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from landflow.catalog.base import query, table, utc
-from landflow.operators.duplicates import priority_dedup
 from landflow.operators.history import HistorySpec
 from landflow.plans import publish
 from landflow.session import scratch_path
@@ -27,14 +28,18 @@ def _land(spark, d, path, times: int = 1):
 
 @query(
     "stream_scd2", "M1 M3 J2",
-    """SELECT user_id, event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-       FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-29 00:00:00') WHERE rn = 1""",
+    """WITH usable AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-29 00:00:00')
+       SELECT user_id, event_id, event_type, CAST(row_number() OVER w AS INTEGER) AS version, ts AS start_date, lead(ts) OVER w AS end_date,
+              CASE WHEN lead(event_id) OVER w IS NULL THEN 'Y' ELSE 'N' END AS is_current_fg
+       FROM usable WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+       UNION ALL SELECT user_id, event_id, event_type, NULL, ts, NULL, 'rejected' FROM events
+       WHERE ts < TIMESTAMP '2024-01-05 00:00:00' OR ts > TIMESTAMP '2024-01-29 00:00:00'""",
 )
 def stream_scd2(spark, d):
-    """Each micro-batch is checked, reduced to one row per key and merged by time; stale rows go to a reject folder."""
+    """Each micro-batch is checked and merged, all versions of a key in it; stale rows go to a reject folder."""
     root = scratch_path(spark, "stream")
     schema = _land(spark, d, f"{root}/landing")
-    spec = HistorySpec(keys=("user_id",), change_column="ts", order_column="ts")
+    spec = HistorySpec(keys=("user_id",), change_column="event_id", order_column="ts", start_from="ts")
 
     def handle(rows, epoch):
         guarded = M.stale_guard(rows, "ts", _NOW, 24 * 365, _LOWER)
@@ -42,25 +47,31 @@ def stream_scd2(spark, d):
             f"{root}/rejects/epoch={epoch}"
         )
         usable = guarded.filter("stale_reason IS NULL").drop("stale_reason")
-        latest = priority_dedup(usable, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
-        publish.publish_history(latest, f"{root}/published", spec, _NOW, f"epoch_{epoch}", parts=4)
+        run = _NOW + dt.timedelta(hours=epoch)
+        publish.publish_history(usable, f"{root}/published", spec, run, f"epoch_{epoch}", parts=4)
 
     stream = M.file_stream(spark, f"{root}/landing", schema, "parquet", files_per_trigger=2)
     M.run_available(stream, handle, f"{root}/checkpoint")
-    published = spark.read.parquet(f"{root}/published/current")
-    return published.select("user_id", "event_id", "event_type", "ts")
+    versions = publish.read_published(spark, f"{root}/published", publish.stored_schema(spark, f"{root}/published"))
+    rejects = spark.read.parquet(f"{root}/rejects").withColumns(
+        {
+            "version": F.lit(None).cast("int"), "start_date": F.col("ts"), "end_date": F.lit(None).cast("timestamp"),
+            "is_current_fg": F.lit("rejected"),
+        }
+    )
+    wanted = ["user_id", "event_id", "event_type", "version", "start_date", "end_date", "is_current_fg"]
+    return versions.select(*wanted).union(rejects.select(*wanted))
 
 
 @query("replay_dedup_stream", "M2", "SELECT event_id, ts, user_id, event_type FROM events")
 def replay_dedup_stream(spark, d):
-    """Every file lands twice; each row comes out once."""
+    """Every file lands twice, one file a trigger and in no order of time; each row comes out once."""
     root = scratch_path(spark, "replay")
     schema = _land(spark, d, f"{root}/landing", times=2)
-    stream = M.file_stream(spark, f"{root}/landing", schema, "parquet")
-    unique = M.replay_dedup_stream(stream, ["event_id"], "ts")
+    stream = M.file_stream(spark, f"{root}/landing", schema, "parquet", files_per_trigger=1)
     M.run_available(
-        unique,
-        lambda rows, epoch: rows.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}"),
+        stream,
+        lambda rows, epoch: M.replay_dedup_batch(rows, epoch, f"{root}/out", ["event_id"], "ts"),
         f"{root}/checkpoint",
     )
     return spark.read.schema(schema).parquet(f"{root}/out").select(*schema.names)
@@ -84,17 +95,14 @@ def stale_guard(spark, d):
        FROM events GROUP BY 1, 2""",
 )
 def hourly_metrics_stream(spark, d):
-    """The streaming counts end equal to the batch counts."""
+    """Counts appended trigger by trigger, rows late or not, add up to the batch counts."""
     root = scratch_path(spark, "hourly")
     schema = _land(spark, d, f"{root}/landing")
-    stream = M.file_stream(spark, f"{root}/landing", schema, "parquet")
-    counts = M.hourly_metrics(stream, "ts", F.col("user_id") % 2 == 0, ["event_type"])
-    query_ = (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(lambda rows, epoch: rows.write.mode("overwrite").parquet(f"{root}/out"))
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
+    stream = M.file_stream(spark, f"{root}/landing", schema, "parquet", files_per_trigger=1)
+    even = F.col("user_id") % 2 == 0
+    M.run_available(
+        stream,
+        lambda rows, epoch: M.hourly_batch(rows, epoch, f"{root}/out", "ts", even, ["event_type"]),
+        f"{root}/checkpoint",
     )
-    query_.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return M.hourly_totals(spark, f"{root}/out", ["event_type"])

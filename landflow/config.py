@@ -32,6 +32,10 @@ _SIMPLE_TYPES: dict[str, T.DataType] = {
 }
 
 
+#: Fixed value: the reason for refusing a file that nothing would check.
+NO_CHECKS = "no data-quality check is enabled"
+
+
 class ConfigError(ValueError):
     """The configuration cannot be used."""
 
@@ -127,20 +131,24 @@ class EntityConfig:
 
     @property
     def date_key_columns(self) -> list[str]:
-        """Key columns typed ``date`` (their missing value is a date, not blank)."""
-        return [c for c in self.primary_key_columns if self.column_type_map.get(c) == "date"]
+        """Key columns typed ``date`` (their missing value is a date, not blank).
+
+        Both key lists count, and so do the date columns of a rule-list configuration.
+        """
+        keys = dict.fromkeys([*self.primary_key_columns, *self.partition_cols])
+        return [c for c in keys if self.column_type_map.get(c) == "date" or c in self.date_columns]
+
+    @property
+    def has_checks(self) -> bool:
+        """K10: whether any check is enabled; a list of columns alone is none."""
+        if self.dq_checks is not None and self.dq_checks.any_enabled:
+            return True
+        return any((self.notnull_columns, self.int_columns, self.date_columns, self.timestamp_columns, self.column_cleanup_columns))
 
     def require_checks(self) -> None:
         """K10: a configuration that enables no check at all rejects the file."""
-        gen1 = (
-            self.notnull_columns, self.int_columns, self.date_columns, self.timestamp_columns,
-            self.column_cleanup_columns, self.required_column_list,
-        )
-        if self.dq_checks is not None:
-            if not self.dq_checks.any_enabled:
-                raise ConfigError("no data-quality check is enabled")
-        elif not any(gen1):
-            raise ConfigError("no data-quality check is enabled")
+        if not self.has_checks:
+            raise ConfigError(NO_CHECKS)
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any]) -> EntityConfig:

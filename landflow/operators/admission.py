@@ -63,7 +63,7 @@ def manifest_target(name: Column, prefix: str = MANIFEST_PREFIX) -> Column:
     """Stem of the data file a manifest describes."""
     return F.when(
         name.startswith(prefix) & name.endswith(".csv"),
-        F.regexp_replace(F.substring(name, len(prefix) + 1, 10_000), r"\.csv$", ""),
+        F.regexp_replace(name.substr(F.lit(len(prefix) + 1), F.length(name)), r"\.csv$", ""),
     )
 
 
@@ -150,6 +150,7 @@ def admission_verdict(
     aliases: Sequence[str] = (),
     name_pattern: str | None = None,
     header_columns: DataFrame | None = None,
+    column_counts: Mapping[str, int] | None = None,
     max_sla_hours: float = 2,
     manifest_prefix: str = MANIFEST_PREFIX,
     match_by: str = "stem",
@@ -161,7 +162,8 @@ def admission_verdict(
     ``extensions`` maps entity keys to their expected file extension and so
     lists the configured entities.  ``header_columns`` (``path``,
     ``header_columns``) comes from reading the first lines; without it the
-    header rule is not applied.  With ``duplicate_scope='landing'`` one repeated
+    header rule is not applied.  A header must have as many columns as
+    ``column_counts`` lists for the entity, or at least one where it lists none.  With ``duplicate_scope='landing'`` one repeated
     base name fails every file of the landing, otherwise only the repeated ones.
     """
     name = F.col("file_name")
@@ -201,7 +203,9 @@ def admission_verdict(
         (~ext_ok, "File extension is not matched"),
     ]
     if header_columns is not None:
-        rules.append((F.coalesce(F.col("header_columns"), F.lit(0)) <= 0, "File integrity check failed"))
+        found = F.coalesce(F.col("header_columns"), F.lit(0))
+        counted = lookup(F.col("entity"), {k: str(n) for k, n in (column_counts or {}).items()}).cast("int")
+        rules.append((F.coalesce(found != counted, found <= 0), "File integrity check failed"))
     rules += [
         (age_hours > max_sla_hours, "File timeliness/SLA check failed"),
         (any_repeat, "Duplicate check failed"),

@@ -37,6 +37,8 @@ class HistorySpec:
     flag_off: object = "N"
     version: str | None = "version"
     updated: str | None = "last_update_dt"
+    #: a version starts at the value of this column; at the run's time if none is named
+    start_from: str | None = None
 
     def generated(self) -> dict[str, str]:
         """Columns this module fills, with their types."""
@@ -146,6 +148,90 @@ def merge_history(
     return rows.select("_row.*")
 
 
+def versions_of_batch(
+    current: DataFrame, staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime
+) -> DataFrame:
+    """Every row that ``current`` and a batch with any number of rows per key lead to.
+
+    A key's rows line up behind its current row: by ``spec.order_column`` and change marker, and
+    each becomes a version if its marker is not that of the row before it.  A version ends where the
+    next one starts.  Column ``_kind`` of the result tells what becomes of a row:
+
+    * ``current``: in force afterwards; ``closed``: ended by this batch;
+    * ``unchanged``: a repeat of the row before it; ``stale``: not newer than the current row;
+    * ``conflict``: one of several unlike rows of a key where no order column says which comes first.
+
+    No row of the batch is left out.  ``_brought`` tells the batch's rows from the current ones.
+    Both sides have the same columns, besides those that :meth:`HistorySpec.generated` names.
+    """
+    keys = list(key_columns(spec.keys))
+    types = spec.generated()
+    names = [c for c in current.columns if c not in keys]
+    old = with_keys(current, spec.keys, spec.date_keys).withColumn("_brought", F.lit(False))
+    new = with_keys(staging, spec.keys, spec.date_keys).withColumns(
+        {**{name: F.lit(None).cast(kind) for name, kind in types.items()}, "_brought": F.lit(True)}
+    )
+    order = F.col(quoted(spec.order_column)) if spec.order_column else F.lit(0)
+    marker = F.col(quoted(spec.change_column))
+    family = Window.partitionBy(*keys)
+    line = family.orderBy("_brought", order.asc_nulls_first(), marker.asc_nulls_first())
+    rows = old.unionByName(new)
+    if spec.order_column:
+        held = F.max(F.when(~F.col("_brought"), order)).over(family)
+        late = F.col("_brought") & F.coalesce(order <= held, F.lit(False))
+        refused = F.when(late, "stale")
+    else:
+        brought = F.when(F.col("_brought"), F.coalesce(marker.cast("string"), F.lit("")))
+        unlike = (F.min(brought).over(family) != F.max(brought).over(family)) | (
+            F.max(F.when(F.col("_brought"), marker.isNull().cast("int"))).over(family)
+            != F.min(F.when(F.col("_brought"), marker.isNull().cast("int"))).over(family)
+        )
+        refused = F.when(F.col("_brought") & F.coalesce(unlike, F.lit(False)), "conflict")
+    rows = rows.withColumn("_refused", refused)
+    # refused rows stand apart, so that they are nobody's predecessor
+    own = Window.partitionBy(*keys, F.col("_refused").isNotNull())
+    line = own.orderBy("_brought", order.asc_nulls_first(), marker.asc_nulls_first())
+    first = F.row_number().over(line) == 1
+    same = ~first & F.lag(marker).over(line).eqNullSafe(marker)
+    rows = rows.withColumn("_same", same)
+    accepted = F.col("_refused").isNull() & ~F.col("_same")
+    # among the versions of a key: number, and start of the next one
+    chain = Window.partitionBy(*keys, accepted).orderBy("_brought", order.asc_nulls_first(), marker.asc_nulls_first())
+    start = moment(run_ts)
+    if spec.start_from:
+        start = F.coalesce(F.col(quoted(spec.start_from)).cast("timestamp"), start)
+    begins = F.when(F.col("_brought"), start).otherwise(F.col(quoted(spec.start)))
+    following = F.lead(begins).over(chain)
+    last = F.row_number().over(chain) == F.count(F.lit(1)).over(Window.partitionBy(*keys, accepted))
+    values = {
+        "_kind": F.when(F.col("_refused").isNotNull(), F.col("_refused"))
+        .when(F.col("_same"), "unchanged")
+        .when(last, "current")
+        .otherwise("closed"),
+        "_begins": begins,
+        "_ends": following,
+        "_at": F.row_number().over(chain),
+    }
+    if spec.version:
+        base = F.max(F.when(~F.col("_brought"), F.col(quoted(spec.version)))).over(Window.partitionBy(*keys, accepted))
+        values["_number"] = F.when(base.isNotNull(), base + F.row_number().over(chain) - 1).otherwise(F.row_number().over(chain))
+    rows = rows.withColumns(values)
+    is_version = F.col("_kind").isin("current", "closed")
+    on = F.when(F.col("_kind") == "current", F.lit(spec.flag_on)).otherwise(F.lit(spec.flag_off))
+    filled = {
+        spec.start: F.when(is_version, F.col("_begins")),
+        spec.end: F.when(is_version, F.col("_ends")),
+        spec.flag: F.when(is_version, on),
+    }
+    if spec.version:
+        filled[spec.version] = F.when(is_version, F.col("_number"))
+    if spec.updated:
+        touched = F.col("_brought") | (F.col("_kind") == "closed")
+        filled[spec.updated] = F.when(is_version & touched, moment(run_ts)).otherwise(F.col(quoted(spec.updated)))
+    rows = rows.withColumns({name: value.cast(types[name]) for name, value in filled.items()})
+    return rows.select(*cols(names), "_kind", "_brought")
+
+
 def split_merged(merged: DataFrame, spec: HistorySpec) -> tuple[DataFrame, DataFrame]:
     """``(current, newly closed)``."""
     on = F.col(quoted(spec.flag)) == F.lit(spec.flag_on)
@@ -269,9 +355,12 @@ def rollback_to(
 def rollback_before_file(
     table: DataFrame, source_file: str, spec: HistorySpec, file_column: str = "source_file"
 ) -> DataFrame:
-    """Undo a file and everything loaded after it."""
+    """Undo a file and everything loaded after it.
+
+    A file that brought no version (unknown, or an unchanged extract) changes nothing.
+    """
     loaded = table.filter(F.col(quoted(file_column)) == source_file)
-    first = loaded.agg(F.min(quoted(spec.start))).scalar()
+    first = F.coalesce(loaded.agg(F.min(quoted(spec.start))).scalar(), F.lit("9999-12-31").cast("timestamp"))
     return rollback_to(table, first, spec)
 
 

@@ -46,12 +46,13 @@ def expire_join(
     marker: str,
     flag: str = "is_current_fg",
     date_keys: Sequence[str] = (),
-    null_safe: bool = False,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Current target rows for which the batch holds the same key with another marker.
 
     Only the least and greatest marker of a key matter: the key has another
-    marker exactly when one of them differs.
+    marker exactly when one of them differs.  A null marker differs from every
+    other; ``null_safe=False`` compares literally, so that null differs from nothing.
     """
     names = list(key_columns(keys))
     m = F.col(quoted(marker))
@@ -76,15 +77,24 @@ def insert_left_join(
     marker: str,
     flag: str = "is_current_fg",
     date_keys: Sequence[str] = (),
+    null_safe: bool = True,
 ) -> DataFrame:
-    """Batch rows without a current target row of their key, or with another marker."""
+    """Batch rows without a current target row of their key, or with another marker.
+
+    The target is reduced to one row per key first, with its least and greatest marker, so a key with
+    several current rows returns a batch row once: if any of them has another marker.
+    """
     names = list(key_columns(keys))
-    live = with_keys(_current(target, flag), keys, date_keys).select(
-        *names, F.col(quoted(marker)).alias("_old"), F.lit(True).alias("_found")
+    m = F.col(quoted(marker))
+    live = with_keys(_current(target, flag), keys, date_keys).groupBy(*names).agg(
+        F.min(m).alias("_lo"), F.max(m).alias("_hi"), F.count_if(m.isNull()).alias("_nulls"),
+        F.count(m).alias("_values"), F.lit(True).alias("_found"),
     )
     joined = with_keys(staging, keys, date_keys).join(live, names, "left")
-    keep = F.col("_found").isNull() | (F.col("_old") != F.col(quoted(marker)))
-    return joined.filter(keep).select(*cols(staging.columns))
+    differs = F.coalesce((F.col("_lo") != m) | (F.col("_hi") != m), F.lit(False))
+    if null_safe:
+        differs = differs | F.when(m.isNull(), F.col("_values") > 0).otherwise(F.col("_nulls") > 0)
+    return joined.filter(F.col("_found").isNull() | differs).select(*cols(staging.columns))
 
 
 def insert_not_exists(
@@ -94,9 +104,9 @@ def insert_not_exists(
     marker: str,
     flag: str = "is_current_fg",
     date_keys: Sequence[str] = (),
-    null_safe: bool = False,
+    null_safe: bool = True,
 ) -> DataFrame:
-    """Batch rows whose key and marker no current target row has."""
+    """Batch rows whose key and marker no current target row has; null equals null unless ``null_safe`` is off."""
     names = list(key_columns(keys))
     live = (
         with_keys(_current(target, flag), keys, date_keys)

@@ -38,6 +38,16 @@ def notnull_rule(name: str) -> Rule:
     return Rule(f"{name}_null_check_failed", name, clean.is_blank(F.col(quoted(name))))
 
 
+def malformed_rule(name: str) -> Rule:
+    """The reader's column for records with more or fewer fields than declared."""
+    return Rule("record_malformed", name, F.col(quoted(name)).isNotNull())
+
+
+def cast_rule(name: str, parsed: Column) -> Rule:
+    """A value that is there but does not parse as its declared type."""
+    return Rule(f"{name}_type_incorrect", name, ~clean.is_blank(F.col(quoted(name))) & parsed.isNull())
+
+
 def date_rule(name: str, fmt: str) -> Rule:
     c = F.col(quoted(name))
     bad = ~clean.is_blank(c) & clean.standardize_date(c, fmt).isNull()

@@ -6,12 +6,14 @@ Everything is lazy: the caller decides what to write.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landflow.config import EntityConfig
+from landflow.config import EntityConfig, parse_type
+from landflow.functions import clean
 from landflow.functions.enrich import ProcessorRegistry, apply_mapping, audit_columns, row_hash
 from landflow.operators import rules as R
 from landflow.operators.duplicates import (
@@ -24,22 +26,34 @@ from landflow.operators.duplicates import (
 from landflow.operators.filters import drop_null_subset
 from landflow.operators.projection import cols, quoted
 from landflow.plans import cleaning
-from landflow.sources.readers import SOURCE_FILE
+from landflow.sources.readers import MALFORMED, SOURCE_FILE
 
 
 @dataclass(frozen=True)
 class CheckedEntity:
-    """``checked`` holds every row with its failures; the rest are views of it."""
+    """``checked`` holds every row with its failures; the rest are views of it.
+
+    ``typed`` turns passing rows of a written ``checked`` into ``clean`` ones, so that a run reads and
+    cleans the raw data once.
+    """
 
     checked: DataFrame
     clean: DataFrame
     rejects: DataFrame
     counts: DataFrame
+    typed: Callable[[DataFrame], DataFrame]
 
 
-def entity_rules(config: EntityConfig) -> list[R.Rule]:
-    """The row rules a configuration asks for: integers, required values, dates, timestamps."""
-    found = [R.integer_rule(n) for n in config.int_columns]
+def entity_rules(config: EntityConfig, columns: Sequence[str] = ()) -> list[R.Rule]:
+    """The row rules a configuration asks for: integers, required values, dates, timestamps, declared types.
+
+    Records that the reader marked as malformed (``columns`` has its mark) fail a rule of their own.
+    """
+    found = [R.malformed_rule(MALFORMED)] if MALFORMED in columns else []
+    found += [R.integer_rule(n) for n in config.int_columns]
+    for name, kind in (config.column_type_map or {}).items():
+        if kind != "string":
+            found.append(R.cast_rule(name, clean.cast_declared(F.col(quoted(name)), parse_type(kind))))
     if config.dq_checks is None or config.dq_checks.null_notnull_check:
         found += [R.notnull_rule(n) for n in config.notnull_columns]
     found += [R.date_rule(n, f) for n, f in config.date_columns.items()]
@@ -65,13 +79,14 @@ def _check_declared(raw: DataFrame, config: EntityConfig, keep_copies: bool) ->
     text = cleaning.clean_declared(raw, config)
     if config.dq_checks.row_duplicate_check and not keep_copies:
         text = drop_duplicates(text)
-    rules = entity_rules(config)
+    rules = entity_rules(config, text.columns)
     checked = R.apply_rules(text, rules)
     return CheckedEntity(
         checked=checked,
-        clean=cleaning.cast_declared(R.passing(text, rules), config),
+        clean=cleaning.cast_declared(R.passing(text, rules), config).drop(MALFORMED),
         rejects=R.failed(checked),
         counts=R.step_counts(checked),
+        typed=lambda rows: cleaning.cast_declared(rows, config).drop(MALFORMED),
     )
 
 
@@ -79,7 +94,7 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
     text = cleaning.clean_columns(drop_null_subset(raw, config.drop_null_data_columns), config)
     policy = choose_policy(region, config.duplicate_policy, config.allow_duplicates)
     kept, surplus = row_duplicate_policy(text, policy)
-    rules = entity_rules(config)
+    rules = entity_rules(config, kept.columns)
     checked = R.apply_rules(kept, rules)
     if policy is DuplicatePolicy.REJECT:
         copies = surplus.select(
@@ -93,9 +108,10 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
         checked = checked.unionByName(copies)
     return CheckedEntity(
         checked=checked,
-        clean=cleaning.standardize_times(R.passing(kept, rules), config),
+        clean=cleaning.standardize_times(R.passing(kept, rules), config).drop(MALFORMED),
         rejects=R.failed(checked),
         counts=R.step_counts(checked),
+        typed=lambda rows: cleaning.standardize_times(rows, config).drop(MALFORMED),
     )
 
 
@@ -108,14 +124,16 @@ def prepare_for_publish(
     dedup_order: list[Column] | None = None,
     source_file: str | None = None,
     null_safe_hash: bool = False,
+    one_per_key: bool = True,
 ) -> DataFrame:
     """One row per key, enriched, hashed and stamped.
 
+    With ``one_per_key`` off all rows of a key stay, for a history that makes versions of them.
     Enrichment comes before hashing because mapped columns are hash inputs.
     Ties between rows of one key are settled by all their columns.
     """
     keys = list(config.partition_cols or config.primary_key_columns)
-    df = priority_dedup(clean, keys, dedup_order or []) if keys else clean
+    df = priority_dedup(clean, keys, dedup_order or []) if keys and one_per_key else clean
     df = apply_mapping(df, config.column_mapping) if config.column_mapping else df
     df = processors.apply(df, logical_name) if processors else df
     if source_file is not None or SOURCE_FILE not in df.columns:

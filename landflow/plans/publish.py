@@ -2,36 +2,50 @@
 
 Layout of a history table::
 
-    <path>/current/part=<bucket>/     one row per key
-    <path>/history/batch=<id>/part=<bucket>/   versions closed by a batch
-
-``part`` is computed from the key, so a batch reads and rewrites only the parts
-it touches.  Closed versions are written before the new current rows: a batch
-that dies in between and is run again finds the unfinished parts unchanged,
-closes the same versions and replaces its own history partitions.
+    <path>/batches/<batch>-<unique>/kind=current|closed|.../part=<part>/   what one batch wrote
+    <path>/manifest/version=<n>/                                           where the rows are
+
+``part`` is computed from the key, so a batch reads and rewrites only the parts it touches.  A batch
+writes to a new folder that nobody reads; then one task writes the next manifest, which names the
+folder of every part and of every batch's closed versions.  Until that file is in place the table is
+the old one, afterwards it is the new one; a batch that dies before leaves an unused folder behind.
+One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
-
-from landflow.operators.history import (
-    HistorySpec,
-    first_load,
-    merge_history,
-    one_per_key,
-    split_merged,
-)
-from landflow.operators.joins import key_columns
+
+from landflow.operators.history import HistorySpec, first_load, versions_of_batch
+from landflow.operators.joins import key_columns, with_keys
 from landflow.operators.projection import quoted
 
 PART = "part"
+#: Stands for a part that is null, such as the month of a missing key date.
+NO_PART = -1
+MANIFEST = "version long, kind string, part int, folder string"
+
+
+@dataclass(frozen=True)
+class Published:
+    """What a batch did: rows by what became of them, and the table's schema."""
+
+    schema: T.StructType
+    inserted: int
+    updated: int
+    versions: int
+    unchanged: int
+    stale: int
+    conflicts: int
+    rejects: str
 
 
 def hash_part(spec: HistorySpec, parts: int) -> Column:
@@ -39,27 +53,52 @@ def hash_part(spec: HistorySpec, parts: int) -> Column:
     return F.pmod(F.xxhash64(*key_columns(spec.keys, spec.date_keys).values()), F.lit(parts)).cast("int")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path``, empty before the first batch."""
+def _absent(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_manifest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Where the table's rows are: the latest manifest, or a given one; empty before the first batch."""
     try:
-        found = spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+        entries = spark.read.schema(MANIFEST).json(f"{path}/manifest")
+        newest = entries.select(F.max("version")).first()[0] if version is None else version
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
+        return spark.createDataFrame([], MANIFEST)
+    return entries.where(F.col("version") == newest)
+
+
+def _folders(manifest: DataFrame, kind: str) -> list[str]:
+    """Folders of one kind: at most one for each part, or for each batch."""
+    rows = manifest.where(F.col("kind") == kind).select("folder", PART).distinct().collect()
+    return [r["folder"] for r in rows]
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema that the table was last written with."""
+    row = read_manifest(spark, path).where("kind = 'schema'").select("folder").first()
+    return T.StructType.fromJson(json.loads(row[0])) if row else None
+
+
+def _read(spark: SparkSession, folders: list[str], schema: T.StructType) -> DataFrame:
+    if not folders:
         return spark.createDataFrame([], schema)
-    return found.select(*[quoted(f.name) for f in schema.fields])
+    return spark.read.schema(schema).parquet(*folders).select(*[quoted(f.name) for f in schema.fields])
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    located = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-    return _read(spark, f"{path}/current", located)
+    return _read(spark, _folders(read_manifest(spark, path), "current"), schema)
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _read(spark, f"{path}/history", schema)
+    return _read(spark, _folders(read_manifest(spark, path), "closed"), schema)
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All versions: current and closed."""
-    return read_current(spark, path, schema).drop(PART).unionByName(read_history(spark, path, schema))
+    """All versions, current and closed, as of one manifest."""
+    manifest = read_manifest(spark, path)
+    return _read(spark, _folders(manifest, "current") + _folders(manifest, "closed"), schema)
 
 
 def published_schema(staging: DataFrame, spec: HistorySpec) -> T.StructType:
@@ -68,17 +107,24 @@ def published_schema(staging: DataFrame, spec: HistorySpec) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in loaded.fields])
 
 
-#: Up to this many touched parts are named in the scan's partition filter.
-NAMED_PARTS = 10_000
+def _widened(stored: T.StructType | None, offered: T.StructType) -> T.StructType:
+    """The stored columns, then new ones; a column that changes its type is an error."""
+    if stored is None:
+        return offered
+    types = {f.name: f.dataType for f in stored.fields}
+    unlike = [f.name for f in offered.fields if f.name in types and types[f.name] != f.dataType]
+    if unlike:
+        raise ValueError(f"columns with another type than the table's: {unlike}")
+    return T.StructType([*stored.fields, *[f for f in offered.fields if f.name not in types]])
 
 
-def _touched(current: DataFrame, located: DataFrame) -> DataFrame:
-    """Rows of the parts a batch touches, pruned by partition wherever the list is short."""
-    touched = located.select(PART).distinct()
-    named = [row[0] for row in touched.limit(NAMED_PARTS + 1).collect()]
-    if len(named) > NAMED_PARTS:
-        return current.join(touched, PART, "left_semi").select(*current.columns)
-    return current.filter(F.col(PART).isin(*named)) if named else current.limit(0)
+def _filled(staging: DataFrame, current: DataFrame, spec: HistorySpec, missing: list[T.StructField]) -> DataFrame:
+    """A batch that lacks columns of the table: a key keeps their current values, new keys have none."""
+    if not missing:
+        return staging
+    keys = list(key_columns(spec.keys))
+    held = with_keys(current, spec.keys, spec.date_keys).select(*keys, *[quoted(f.name) for f in missing])
+    return with_keys(staging, spec.keys, spec.date_keys).join(held, keys, "left")
 
 
 def publish_history(
@@ -89,36 +135,105 @@ def publish_history(
     batch: str,
     parts: int = 64,
     part: Column | None = None,
-) -> T.StructType:
-    """Merge a batch into the table at ``path``; returns the table's schema.
+    files_per_part: int = 1,
+) -> Published:
+    """Merge a batch into the table at ``path``.
+
+    A key may have several rows in the batch: in the order of ``spec.order_column`` they become
+    versions one after the other.  Without an order column, unlike rows of one key are refused.
+    Refused rows are written beside the versions, with ``_kind`` as the reason, and counted.
 
-    ``staging`` is read more than once, so it should be a staged (curated) table.
-    Should it hold several rows of a key, the newest by ``spec.order_column`` wins.
-    ``part`` may name another function of the key columns, such as the month of
-    a key date, so that hourly batches touch few parts.
+    ``part`` may name another function of the key columns, such as the month of a key date, so that
+    hourly batches touch few parts.  Rows are shuffled once, by part, which also bounds the number of
+    files: ``files_per_part`` for each part touched and kind.
     """
     spark = staging.sparkSession
-    schema = published_schema(staging, spec)
-    located = staging.withColumn(PART, part if part is not None else hash_part(spec, parts))
-    current = _touched(read_current(spark, path, schema), located)
-    newest = [F.col(quoted(spec.order_column)).desc_nulls_last()] if spec.order_column else []
-    unique = one_per_key(located, spec, newest)
-    merged = merge_history(current, unique, spec, run_ts).persist(StorageLevel.DISK_ONLY)
-    try:
-        live, closed = split_merged(merged, spec)
-        (
-            closed.withColumn("batch", F.lit(batch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch", PART)
-            .parquet(f"{path}/history")
-        )
-        (
-            live.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART)
-            .parquet(f"{path}/current")
-        )
-    finally:
-        merged.unpersist()
-    return schema
+    generated = set(spec.generated())
+    schema = _widened(stored_schema(spark, path), published_schema(staging, spec))
+    manifest = read_manifest(spark, path)
+    where = F.coalesce((part if part is not None else hash_part(spec, parts)).cast("int"), F.lit(NO_PART))
+    touched = staging.select(where.alias(PART)).distinct()
+    held = manifest.where("kind = 'current'")
+    folders = _folders(held.join(touched, PART, "left_semi"), "current")
+    current = _read(spark, folders, schema)
+    given = set(staging.columns)
+    missing = [f for f in schema.fields if f.name not in given and f.name not in generated]
+    offered = _filled(staging, current, spec, missing)
+    offered = offered.select(*[quoted(f.name) for f in schema.fields if f.name not in generated])
+
+    keys = list(key_columns(spec.keys))
+    spread = [F.col("_part"), F.pmod(F.xxhash64(*keys), F.lit(files_per_part))]
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    placed = [
+        with_keys(side, spec.keys, spec.date_keys).withColumn("_part", where).repartition(slots, *spread)
+        for side in (current, offered)
+    ]
+    rows = versions_of_batch(placed[0].drop("_part"), placed[1].drop("_part"), spec, run_ts)
+    rows = rows.withColumn(PART, where).withColumn("kind", F.col("_kind"))
+    home = f"{path}/batches/{batch}-{uuid.uuid4().hex}"
+    rows.repartition(slots, "kind", PART).write.partitionBy("kind", PART).parquet(home)
+
+    written = spark.read.schema(
+        T.StructType([*schema.fields, T.StructField("_kind", T.StringType()), T.StructField("_brought", T.BooleanType()), T.StructField("kind", T.StringType()), T.StructField(PART, T.IntegerType())])
+    ).parquet(home)
+    counted = written.groupBy("kind", PART).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("_brought").alias("brought"),
+    )
+    counted = counted.collect()  # a row for each part and kind
+    total = lambda kind, column="n": sum(r[column] for r in counted if r["kind"] == kind)
+    at = lambda r: f"{home}/kind={r['kind']}/{PART}={r[PART]}"
+    fresh = [("current", r[PART], at(r)) for r in counted if r["kind"] == "current"]
+    fresh += [("closed", r[PART], at(r)) for r in counted if r["kind"] == "closed"]
+    kept = manifest.where("kind = 'closed'").union(held.join(touched, PART, "left_anti").select(*manifest.columns))
+    _write_manifest(spark, path, manifest, kept, [*fresh, ("schema", None, schema.json())])
+    updated = total("closed") - total("closed", "brought")  # each changed key had one current row
+    brought = total("current", "brought") + total("closed", "brought")
+    return Published(
+        schema=schema,
+        inserted=total("current", "brought") - updated,
+        updated=updated,
+        versions=brought,
+        unchanged=total("unchanged"),
+        stale=total("stale"),
+        conflicts=total("conflict"),
+        rejects=home,
+    )
+
+
+def publish_full(staging: DataFrame, path: str, batch: str) -> Published:
+    """Replace the table by the batch, in the table's columns and types; readers see the old or the new one."""
+    spark = staging.sparkSession
+    stored = stored_schema(spark, path)
+    rows = staging
+    if stored is not None:
+        kinds = [(f.name, f.dataType) for f in stored.fields]
+        lacking = [name for name, _ in kinds if name not in staging.columns]
+        rows = staging.withColumns({n: F.lit(None) for n in lacking}) if lacking else staging
+        rows = rows.select(*[F.col(quoted(name)).cast(kind).alias(name) for name, kind in kinds])
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
+    home = f"{path}/batches/{batch}-{uuid.uuid4().hex}"
+    rows.write.parquet(home)
+    count = spark.read.schema(schema).parquet(home).count()
+    manifest = read_manifest(spark, path)
+    before = _read(spark, _folders(manifest, "current"), schema).count() if stored is not None else 0
+    _write_manifest(spark, path, manifest, manifest.limit(0), [("current", None, home), ("schema", None, schema.json())])
+    return Published(schema, count, before, count, 0, 0, 0, home)
+
+
+def _write_manifest(
+    spark: SparkSession, path: str, before: DataFrame, kept: DataFrame, fresh: list[tuple]
+) -> None:
+    """The next manifest, as one file that one task puts in place."""
+    newest = before.select(F.max("version")).first()[0]
+    version = (newest or 0) + 1
+    added = spark.createDataFrame(fresh, "kind string, part int, folder string")
+    entries = kept.select("kind", PART, "folder").unionByName(added).select(F.lit(version).cast("long").alias("version"), "*")
+    entries.coalesce(1).write.json(f"{path}/manifest/entries={version}")
+
+
+def read_refused(spark: SparkSession, done: Published) -> DataFrame:
+    """The batch's rows that became no version, with the reason in ``_kind`` (unchanged ones left out)."""
+    fields = [*done.schema.fields, T.StructField("_kind", T.StringType()), T.StructField("kind", T.StringType())]
+    rows = spark.read.schema(T.StructType(fields)).parquet(done.rejects)
+    return rows.where(F.col("kind").isin("stale", "conflict")).drop("kind")

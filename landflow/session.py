@@ -31,10 +31,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests) does a local temporary folder serve.
+    Where the session names none, a local session (tests) gets a temporary folder; on a cluster that
+    is an error, since executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="landflow-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/landflow/{label}-{uuid.uuid4().hex}"

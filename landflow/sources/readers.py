@@ -13,6 +13,8 @@ from landflow.operators.admission import MANIFEST_PREFIX, file_name
 from landflow.operators.projection import cols
 
 SOURCE_FILE = "_source_file"
+#: Column with the text of a record that has more or fewer fields than declared.
+MALFORMED = "_malformed"
 
 # How missing values print in extracts made by dataframe tools.
 MISSING_TEXTS = ("nan", "NaT")
@@ -43,16 +45,29 @@ def read_delimited(
     header: bool = True,
     encoding: str = "UTF-8",
     with_source: bool = False,
+    multi_line: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Delimited text with declared columns, everything read as text."""
+    """Delimited text with declared columns, everything read as text.
+
+    Quotes within quoted text are doubled; with ``multi_line`` quoted text may hold line breaks.
+    With ``malformed`` a column of that name holds the text of records with more or fewer fields than
+    declared, for the row rules to reject, and null for sound ones; without it such records fail the read.
+    """
+    schema = text_schema([*names, malformed] if malformed else names)
     reader = (
-        spark.read.schema(text_schema(names))
+        spark.read.schema(schema)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("sep", sep)
         .option("header", header)
         .option("enforceSchema", True)
         .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "PERMISSIVE" if malformed else "FAILFAST")
     )
+    if malformed:
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
     raw = reader.csv(path)
     if with_source:
         raw = raw.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
@@ -113,8 +128,8 @@ def trailer_rows(lines: DataFrame, keep: int, header_row: int = -1) -> DataFrame
 
 
 def parse_lines(lines: DataFrame, names: Sequence[str], sep: str = ",") -> DataFrame:
-    schema = ", ".join(f"`{n}` string" for n in names)
-    parsed = F.from_csv("value", schema, {"sep": sep})
+    schema = ", ".join(f"`{n}` string" for n in [*names, MALFORMED])
+    parsed = F.from_csv("value", schema, {"sep": sep, "escape": '"', "columnNameOfCorruptRecord": MALFORMED})
     rows = lines.select(parsed.alias("_r"), file_name(F.col("path")).alias(SOURCE_FILE))
     return missing_to_blank(rows.select("_r.*", SOURCE_FILE), names)
 
@@ -140,7 +155,7 @@ def read_entity(spark: SparkSession, path: str | list[str], config: EntityConfig
         raw = parse_lines(lines, names, config.delimiter)
     else:
         raw = read_delimited(
-            spark, path, names, config.delimiter, encoding=config.encoding, with_source=True
+            spark, path, names, config.delimiter, encoding=config.encoding, with_source=True, malformed=MALFORMED
         )
     keep = [c for c in raw.columns if c != SOURCE_FILE]
     return raw.filter(_any_filled(keep))

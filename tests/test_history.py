@@ -162,10 +162,17 @@ def test_expire_and_insert_joins_treat_nulls_as_asked(spark):
     staging = spark.createDataFrame(
         [("a", "1"), ("a", "2"), ("b", "1"), ("c", "2"), ("d", None), ("e", None), ("f", None)], "k string, m string"
     )
-    assert [r.k for r in joins.expire_join(target, staging, ["k"], "m").collect()] == ["a"]
-    assert sorted(r.k for r in joins.expire_join(target, staging, ["k"], "m", null_safe=True).collect()) == ["a", "b", "e"]
-    plain = rows(joins.insert_not_exists(staging, target, ["k"], "m"))
-    safe = rows(joins.insert_not_exists(staging, target, ["k"], "m", null_safe=True))
+    assert [r.k for r in joins.expire_join(target, staging, ["k"], "m", null_safe=False).collect()] == ["a"]
+    assert sorted(r.k for r in joins.expire_join(target, staging, ["k"], "m").collect()) == ["a", "b", "e"]
+    plain = rows(joins.insert_not_exists(staging, target, ["k"], "m", null_safe=False))
+    safe = rows(joins.insert_not_exists(staging, target, ["k"], "m"))
+    literal = rows(joins.insert_left_join(staging, target, ["k"], "m", null_safe=False))
+    assert literal == [("a", "2"), ("c", "2"), ("f", None)]
+    assert rows(joins.insert_left_join(staging, target, ["k"], "m")) == sorted(
+        [*literal, ("b", "1"), ("e", None)], key=lambda r: (r[0], r[1] or "")
+    )
+    twice = target.union(target)  # several current rows of a key return a batch row once
+    assert rows(joins.insert_left_join(staging, twice, ["k"], "m")) == rows(joins.insert_left_join(staging, target, ["k"], "m"))
     assert ("d", None) in plain and ("d", None) not in safe and ("f", None) in safe
     assert ("a", "1") not in plain and ("a", "2") in plain and ("c", "2") in plain
 

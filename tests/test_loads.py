@@ -31,48 +31,63 @@ def test_publish_is_repeatable(spark, tmp_path, parts):
     one = staged(spark, str(tmp_path / "s1"), [(f"k{i}", "a") for i in range(50)])
     two = staged(spark, str(tmp_path / "s2"), [(f"k{i}", "b" if i % 2 else "a") for i in range(0, 60)])
     publish.publish_history(one, root, SPEC, RUNS[0], "b1", parts=parts)
-    schema = publish.publish_history(two, root, SPEC, RUNS[1], "b2", parts=parts)
-    state = rows(publish.read_published(spark, root, schema))
+    done = publish.publish_history(two, root, SPEC, RUNS[1], "b2", parts=parts)
+    state = rows(publish.read_published(spark, root, done.schema))
     assert len(state) == 60 + 25
     publish.publish_history(two, root, SPEC, RUNS[1], "b2", parts=parts)
-    assert rows(publish.read_published(spark, root, schema)) == state
+    assert rows(publish.read_published(spark, root, done.schema)) == state
 
 
-def test_publish_resumes_after_a_crash_between_the_two_writes(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("step", ["batch", "manifest"])
+def test_a_batch_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch, step):
     root, clean_root = str(tmp_path / "t"), str(tmp_path / "clean")
     one = staged(spark, str(tmp_path / "s1"), [(f"k{i}", "a") for i in range(30)])
     two = staged(spark, str(tmp_path / "s2"), [(f"k{i}", "b") for i in range(15)])
     for target in (root, clean_root):
-        publish.publish_history(one, target, SPEC, RUNS[0], "b1", parts=4)
+        done = publish.publish_history(one, target, SPEC, RUNS[0], "b1", parts=4)
+    before = rows(publish.read_published(spark, root, done.schema))
     publish.publish_history(two, clean_root, SPEC, RUNS[1], "b2", parts=4)
 
-    real = publish.split_merged
-
     class Boom(Exception):
         pass
 
-    class Dying:
-        """Current rows that cannot be written."""
-
-        @property
-        def write(self):
-            raise Boom
+    def boom(*_):
+        raise Boom
 
-    monkeypatch.setattr(publish, "split_merged", lambda m, s: (Dying(), real(m, s)[1]))
+    monkeypatch.setattr(publish, {"batch": "versions_of_batch", "manifest": "_write_manifest"}[step], boom)
     with pytest.raises(Boom):
         publish.publish_history(two, root, SPEC, RUNS[1], "b2", parts=4)
     monkeypatch.undo()
-    schema = publish.publish_history(two, root, SPEC, RUNS[1], "b2", parts=4)
-    assert rows(publish.read_published(spark, root, schema)) == rows(publish.read_published(spark, clean_root, schema))
+    assert rows(publish.read_published(spark, root, done.schema)) == before
+    done = publish.publish_history(two, root, SPEC, RUNS[1], "b2", parts=4)
+    assert rows(publish.read_published(spark, root, done.schema)) == rows(
+        publish.read_published(spark, clean_root, done.schema)
+    )
 
 
-def test_publish_keeps_one_row_of_a_repeated_key(spark, tmp_path):
-    """Keys that differ only in blanks are one key, and the newest row of it wins."""
+def test_publish_makes_versions_of_a_repeated_key(spark, tmp_path):
+    """Keys that differ only in blanks are one key; its rows follow one another by the order column."""
     spec = HistorySpec(keys=("k",), change_column="h", order_column="v")
     df = spark.createDataFrame([("a", "x", 1), (" a", "y", 3), ("a ", "z", 2), (None, "n", 1), ("", "m", 2)], "k string, h string, v int")
-    schema = publish.publish_history(df, str(tmp_path / "t"), spec, RUNS[0], "b1", parts=2)
-    got = publish.read_published(spark, str(tmp_path / "t"), schema).select("h", "version")
-    assert rows(got) == [("m", 1), ("y", 1)]
+    done = publish.publish_history(df, str(tmp_path / "t"), spec, RUNS[0], "b1", parts=2)
+    got = publish.read_published(spark, str(tmp_path / "t"), done.schema).select("h", "version", "is_current_fg")
+    assert rows(got) == [("m", 2, "Y"), ("n", 1, "N"), ("x", 1, "N"), ("y", 3, "Y"), ("z", 2, "N")]
+    assert (done.inserted, done.updated, done.versions, done.stale) == (2, 0, 5, 0)
+    again = publish.publish_history(df, str(tmp_path / "t"), spec, RUNS[1], "b2", parts=2)
+    assert (again.versions, again.stale) == (0, 5)
+
+
+def test_the_table_takes_no_column_of_another_type(spark, tmp_path):
+    publish.publish_history(spark.createDataFrame([("a", "x", 1)], "k string, h string, v int"), str(tmp_path), SPEC, RUNS[0], "b1")
+    with pytest.raises(ValueError, match="another type"):
+        publish.publish_history(spark.createDataFrame([("a", "x", "1")], "k string, h string, v string"), str(tmp_path), SPEC, RUNS[0], "b2")
+
+
+def test_the_table_takes_new_columns(spark, tmp_path):
+    publish.publish_history(spark.createDataFrame([("a", "x"), ("b", "x")], "k string, h string"), str(tmp_path), SPEC, RUNS[0], "b1", parts=1)
+    done = publish.publish_history(spark.createDataFrame([("a", "y", 7)], "k string, h string, v int"), str(tmp_path), SPEC, RUNS[1], "b2", parts=1)
+    got = publish.read_published(spark, str(tmp_path), done.schema).select("k", "h", "v")
+    assert rows(got) == [("a", "x", None), ("a", "y", 7), ("b", "x", None)]
 
 
 def test_publish_rewrites_only_touched_parts(spark, tmp_path):
@@ -81,15 +96,16 @@ def test_publish_rewrites_only_touched_parts(spark, tmp_path):
     one = staged(spark, str(tmp_path / "s1"), [(f"{i % 5}-{i}", "a") for i in range(50)])
     two = staged(spark, str(tmp_path / "s2"), [("3-3", "b")])
     publish.publish_history(one, root, SPEC, RUNS[0], "b1", part=part)
-    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "current").glob("part=*/*.parquet")}
-    schema = publish.publish_history(two, root, SPEC, RUNS[1], "b2", part=part)
-    kept = {p for p in files if p.exists() and p.stat().st_mtime_ns == files[p]}
-    assert {p.parent.name for p in set(files) - kept} == {"part=3"}
-    assert publish.read_published(spark, root, schema).count() == 51
+    done = publish.publish_history(two, root, SPEC, RUNS[1], "b2", part=part)
+    written = {p.parent.name for p in (tmp_path / "t" / "batches").glob("b2-*/kind=*/part=*/*.parquet")}
+    assert written == {"part=3"}
+    assert len(list((tmp_path / "t" / "batches").glob("b2-*/kind=current/part=*/*.parquet"))) == 1
+    assert publish.read_published(spark, root, done.schema).count() == 51
 
 
 def test_read_published_before_any_batch(spark, tmp_path):
     schema = publish.published_schema(spark.createDataFrame([], "k string, h string"), SPEC)
+    assert publish.stored_schema(spark, str(tmp_path / "none")) is None
     assert publish.read_published(spark, str(tmp_path / "none"), schema).count() == 0
 
 
@@ -122,15 +138,17 @@ def test_declared_entity(spark):
     got = entity_load.check_entity(raw(spark, data), CONFIG)
     stamp = dt.datetime(2024, 1, 2, 3, 4, 5)
     clean = sorted((r.id, r.day, str(r.amount), r.seen) for r in got.clean.collect())
-    assert clean == [("1", dt.date(2024, 1, 2), "1234.50", stamp), ("2", None, "None", None)]
-    assert [r.reject_reason for r in got.rejects.collect()] == [["id_null_check_failed"]]
+    assert clean == [("1", dt.date(2024, 1, 2), "1234.50", stamp)]
+    assert sorted(r.reject_reason for r in got.rejects.collect()) == [
+        ["amount_type_incorrect", "day_type_incorrect", "seen_type_incorrect"], ["id_null_check_failed"]
+    ]
     counts = got.counts.collect()[0]
-    assert (counts.landing_count, counts.raw_count, counts.reject_count) == (3, 2, 1)
+    assert (counts.landing_count, counts.raw_count, counts.reject_count) == (3, 1, 2)
     hooks = ProcessorRegistry()
     hooks.register("orders", lambda df: df.withColumn("tag", F.lit("hooked")))
     ready = entity_load.prepare_for_publish(got.clean, CONFIG, RUNS[0], "orders", hooks, source_file="f.csv")
     assert {r.tag for r in ready.collect()} == {"hooked"}
-    assert ready.select("record_hash").distinct().count() == 2
+    assert ready.select("record_hash").distinct().count() == 1
     keyed = entity_load.check_entity(raw(spark, data), CONFIG, one_per_key_follows=True)
     again = entity_load.prepare_for_publish(keyed.clean, CONFIG, RUNS[0], "orders", hooks, source_file="f.csv")
     assert rows(again) == rows(ready)
