@@ -261,24 +261,31 @@ def next_version(spark, d):
     "column_defaults", "J10",
     f"""WITH {LINE_EXTRACT_SQL} SELECT order_id, line_no, return_flag, line_status, record_hash, {T2} AS start_date, {OPEN} AS end_date,
         'Y' AS is_current_fg, {T2} AS batch_run_dt, 'loader' AS created_by, {T2} AS create_dt, {T2} AS last_update_dt,
-        'landing' AS source_nm, 'lines.csv' AS source_file_name FROM second_extract""",
+        'landing' AS source_nm, 'lines.csv' AS source_file_name FROM (SELECT * FROM first_extract UNION ALL SELECT * FROM second_extract)""",
 )
 def column_defaults(spark, d):
-    staging = batch(spark, d, 2).withColumn("source_file_name", F.lit("lines.csv"))
+    staging = batch(spark, d, 1).unionByName(batch(spark, d, 2)).withColumn("source_file_name", F.lit("lines.csv"))
     return H.column_defaults(
         staging, LINE_KEYS, ["row_id", "return_flag", "line_status", "line_no"],
         H.scd2_defaults(RUN_2, "loader", "landing"), surrogate="row_id",
     )
 
 
+_ID_SQL = "row_number() OVER (ORDER BY md5(concat_ws('|', order_id, line_no)), order_id, line_no)"
+
+
 @query(
     "surrogate_id", "J9",
-    f"""WITH {LINE_EXTRACT_SQL} SELECT 1000 + row_number() OVER (ORDER BY substr(md5(concat_ws('|', order_id, line_no)), 1, 3), order_id, line_no) - 1
-        AS row_id, order_id, line_no FROM first_extract""",
+    f"""WITH {LINE_EXTRACT_SQL}, fresh AS (SELECT order_id, line_no FROM second_extract ANTI JOIN first_extract USING (order_id, line_no)),
+        stored AS (SELECT {_ID_SQL} + 999 AS row_id, order_id, line_no FROM first_extract)
+        SELECT * FROM stored UNION ALL
+        SELECT {_ID_SQL} + (SELECT max(row_id) FROM stored), order_id, line_no FROM fresh""",
 )
 def surrogate_id(spark, d):
-    rows = batch(spark, d, 1).select(*LINE_KEYS)
-    return H.surrogate_id(rows, LINE_KEYS, "row_id", start=1000)
+    """Both extracts: the first is numbered from 1000, new keys of the second go on after its largest id."""
+    stored = H.surrogate_id(batch(spark, d, 1).select(*LINE_KEYS), LINE_KEYS, "row_id", start=1000)
+    fresh = batch(spark, d, 2).select(*LINE_KEYS).join(stored, LINE_KEYS, "left_anti")
+    return stored.unionByName(H.surrogate_id_after(fresh, stored, LINE_KEYS, "row_id"))
 
 
 # ---------------------------------------------------------------- snapshots
@@ -313,6 +320,7 @@ def full_load(spark, d):
 
 # ---------------------------------------------------------------- regional load
 
+# Column names of the regional table.
 _CURATED = [
     """CASE l_returnflag WHEN 'R' THEN 'REV' WHEN 'A' THEN 'BACKLOG' ELSE 'SNI' END AS cp_backlog_sni_revenue""",
     "o_orderpriority AS order_type",
@@ -348,6 +356,7 @@ def curated(spark, d, number: int):
     )
 
 
+# Its key columns.
 _REGION_KEYS = (
     "order_type, order_create_date, sales_order_identifier, sales_order_line_item_identifier, source_type, "
     "shipment_date, delivery_identifier, segment"

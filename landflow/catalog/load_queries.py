@@ -18,6 +18,7 @@ from landflow.plans import entity_load, publish
 from landflow.session import scratch_path
 from landflow.sources import sinks
 
+# Column names and key lists of this entity's files and table.
 REVENUE = EntityConfig.from_dict(
     {
         "input_file_extension": "csv",

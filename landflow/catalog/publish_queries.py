@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landflow.catalog.base import RUN_1, RUN_2, query, table, utc
+from landflow.operators import rules as R
 from landflow.operators.history import HistorySpec, rollback_before_file
 from landflow.plans import publish
 from landflow.session import scratch_path
@@ -116,3 +117,26 @@ def rollback_unchanged_file(spark, d):
     for name in ("f2", "never seen"):
         found = rollback_before_file(found, name, spec)
     return found.select("o_orderkey", "marker", "source_file", "version", "is_current_fg")
+
+
+@query(
+    "key_unique_rule", "K7",
+    """SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1
+       THEN 'business_key_not_unique' END AS reject_reason FROM lineitem""",
+)
+def key_unique_rule(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    marked = R.key_unique_rule(rows, ["l_orderkey", "l_linenumber"])
+    return marked.select(*rows.columns, F.get(R.REJECTS, F.lit(0))["reason"].alias("reject_reason"))
+
+
+@query(
+    "replay_rule", "K9",
+    """SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN 'already_published' END AS reject_reason FROM events""",
+)
+def replay_rule(spark, d):
+    """A batch of all events, of which two types are published already."""
+    rows = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    published = rows.where(F.col("event_type").isin("click", "view"))
+    marked = R.replay_rule(rows, published, ["event_id"], "ts", "event_type")
+    return marked.select("event_id", F.get(R.REJECTS, F.lit(0))["reason"].alias("reject_reason"))

@@ -192,6 +192,7 @@ def admission_verdict(
     )
 
     held = (F.col("manifest_name").isNull() | expected.isNull()) if hold_unmatched else F.lit(False)
+    # the reasons are fixed values
     rules: list[tuple[Column, str]] = [(~has_prefix(name, prefixes), "File naming pattern check failed")]
     if name_pattern:
         rules.append((~name.rlike(name_pattern), "File naming pattern check failed"))

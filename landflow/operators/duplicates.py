@@ -115,6 +115,7 @@ def choose_policy(
     return DuplicatePolicy(named) if named else ALLOW_DUPLICATES[allow_duplicates]
 
 
+# How a rejected copy of a row is reported.
 REJECT_REASON = "row level duplicate"
 REJECT_COLUMN = "Full Record"
 

@@ -388,7 +388,7 @@ def column_defaults(
 def scd2_defaults(
     run_ts: dt.datetime, created_by: str = "landflow", source_nm: str = "landflow"
 ) -> dict[str, Column]:
-    """Audit columns of a newly inserted version."""
+    """Audit columns of a newly inserted version; their names are fixed values."""
     stamp = moment(run_ts)
     return {
         "record_hash": F.col("record_hash"),
@@ -409,23 +409,31 @@ def surrogate_id(
     keys: Sequence[str],
     name: str,
     start: int | Column = 1,
-    prefix_length: int = 3,
+    groups: int | None = None,
 ) -> DataFrame:
-    """Dense ids ``start, start+1, ...`` over rows with unique ``keys``.
+    """Dense ids ``start, start+1, ...`` over rows with unique ``keys``, in the order of the keys' digest.
 
-    Rows are spread by a digest prefix (4096 groups for three hex digits) and
-    numbered within their group; only the group sizes are summed up in order.
-    The ids depend on the data alone, so a recomputed partition gets the same.
+    Rows are spread by ranges of the digest and numbered within their range; only the ranges' sizes are
+    summed up in order.  The number of ranges (64 for each shuffle partition) does not change the ids,
+    and they depend on the data alone, so a recomputed partition gets the same.
     """
+    ranges = groups or 64 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in cols(keys)]))
-    spread = df.withColumn("_group", F.substring(digest, 1, prefix_length))
+    leading = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    spread = df.withColumns({"_digest": digest, "_group": F.shiftright(leading * F.lit(ranges), 32)})
     sizes = spread.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_group", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
-    inner = Window.partitionBy("_group").orderBy(*cols(keys))
+    inner = Window.partitionBy("_group").orderBy("_digest", *cols(keys))
     numbered = spread.withColumn("_rank", F.row_number().over(inner)).join(offsets, "_group")
     first = F.lit(start) if isinstance(start, int) else start
     value = (first + F.col("_offset") + F.col("_rank") - 1).cast("bigint")
     return numbered.select(value.alias(name), *cols(df.columns))
 
 
+def surrogate_id_after(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], name: str, groups: int | None = None
+) -> DataFrame:
+    """Ids for new rows that go on after the largest one stored in ``table``, from 1 where there is none."""
+    last = F.coalesce(table.agg(F.max(quoted(name))).scalar(), F.lit(0).cast("bigint"))
+    return surrogate_id(df, keys, name, last + 1, groups)

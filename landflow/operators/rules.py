@@ -161,6 +161,7 @@ def step_counts(checked: DataFrame, group: Sequence[str] = ()) -> DataFrame:
 
 def file_verdict(counts: DataFrame) -> DataFrame:
     """Whole-file outcome: any reject fails the file, no rows at all is an empty file."""
+    # the texts are fixed values
     n, bad = F.col("landing_count"), F.col("reject_count")
     return counts.withColumns(
         {
@@ -176,3 +177,41 @@ def withhold_failed_files(checked: DataFrame, verdicts: DataFrame, file_column:
     """Clean rows of files that passed as a whole."""
     good = verdicts.filter(F.col("executionstatus") == "Succeeded").select(quoted(file_column))
     return passed(checked).join(good, file_column, "left_semi")
+
+
+# ---------------------------------------------------------------- rules that look at other rows
+
+#: Reasons of the two rules below.
+KEY_NOT_UNIQUE, REPLAYED = "business_key_not_unique", "already_published"
+
+
+def _with_failure(df: DataFrame, bad: Column, reason: str, columns: Sequence[str]) -> DataFrame:
+    """Add a failure to the array of ``apply_rules`` (an empty one where there is none yet)."""
+    empty = F.array().cast("array<struct<reason:string,column:string>>")
+    held = F.col(REJECTS) if REJECTS in df.columns else empty
+    failure = F.struct(F.lit(reason).alias("reason"), F.lit(",".join(columns)).alias("column"))
+    return df.withColumn(REJECTS, F.when(F.coalesce(bad, F.lit(False)), F.concat(held, F.array(failure))).otherwise(held))
+
+
+def key_unique_rule(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fail every row whose key other rows of the batch have as well.
+
+    Only keys that repeat come back from the count, and the join that marks their rows splits large keys.
+    """
+    repeated = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    left, right = df.alias("l"), repeated.alias("r")
+    same = [F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"r.{quoted(k)}")) for k in keys]
+    joined = left.join(right, same, "left").select("l.*", F.col("r._n").isNotNull().alias("_bad"))
+    return _with_failure(joined, F.col("_bad"), KEY_NOT_UNIQUE, keys).drop("_bad")
+
+
+def replay_rule(
+    df: DataFrame, published: DataFrame, keys: Sequence[str], watermark: str, hash_column: str
+) -> DataFrame:
+    """Fail rows that are already published with the same key, watermark and hash."""
+    on = [*keys, watermark, hash_column]
+    seen = published.select(*cols(on)).distinct().withColumn("_seen", F.lit(True)).alias("r")
+    left = df.alias("l")
+    same = [F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"r.{quoted(k)}")) for k in on]
+    joined = left.join(seen, same, "left").select("l.*", F.col("r._seen").alias("_bad"))
+    return _with_failure(joined, F.col("_bad"), REPLAYED, on).drop("_bad")
