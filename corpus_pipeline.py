@@ -42,14 +42,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit numbers), and the digest of what they decode to."""
-    path = public_tokenizers.path(BYTE_BPE)
-    encoded = chunk_bpe.encode(docs, path)
-    decoded = chunk_bpe.decoded(F.col("ids"), path)
+    encoded = chunk_bpe.encode(docs, public_tokenizers.path(BYTE_BPE), decode=True)
     return encoded.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
-        F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landflow.llm.common import settled, shuffle_partitions
-from landflow.llm.hashing import Rolling, blocks
+from landflow.llm.hashing import Rolling, blocks, trim_memory
 from landflow.llm.token_counts import tokenizer
 
 #: Bytes of a chunk: at least, about, at most.
@@ -37,7 +37,7 @@ LEAST, ABOUT, MOST = 256, 1024, 8192
 #: Bytes that the rolling hash sees.
 GRAM = 48
 #: Units that a worker's cache holds, and the longest that it keeps.
-HELD, KEPT_CHARS = 300_000, 64
+HELD, KEPT_CHARS = 200_000, 64
 
 _UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space that only some definitions have; next to it no place counts as safe.
@@ -227,27 +227,33 @@ def _encode_shared(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
         yield pa.RecordBatch.from_pydict({"digest": pa.array(digest, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
 
-def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode_rows(batches: Iterator[pa.RecordBatch], path: str, decode: bool) -> Iterator[pa.RecordBatch]:
     unpack, own = zstandard.ZstdDecompressor(), encoder(path)
     for batch in batches:
+        trim_memory()
         ids, first, size = [], 0, 0
         for row in range(batch.num_rows):
             text, ends = _read(batch, row, unpack)
             listed = batch.column("list")[row].as_py()
             ids.append(own.joined(text, ends, {e["nth"]: _unpacked(e["ids"], unpack) for e in listed or ()}))
             size += len(ids[-1])
-            if size > 8 << 20 or row == batch.num_rows - 1:
-                part = batch.column("id").slice(first, len(ids))
-                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.binary())], ["id", "ids"])
+            if size > 2 << 20 or row == batch.num_rows - 1:
+                columns = {"id": batch.column("id").slice(first, len(ids)), "ids": pa.array(ids, pa.binary())}
+                if decode:
+                    columns["decoded"] = pa.array([text_of_ids(i, path) for i in ids], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
                 ids, first, size = [], row + 1, 0
 
 
 # ------------------------------------------------------------------ the operators
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text: str = "text", decode: bool = False
+) -> DataFrame:
     """One row per document: ``id`` and ``ids`` (binary: little-endian unsigned 32-bit numbers).
 
+    With ``decode`` the ids are also turned back into text, in the same task (column ``decoded``).
     The ids are those that ``tokenizers`` gives for the whole text with ``add_special_tokens=False``,
     without truncation or padding.  A null text counts as empty and has no ids.  Null and repeated ids
     and repeated rows are returned as often as they come; other columns don't matter; an empty table
@@ -278,7 +284,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
     uses = uses.repartition(parts, "k1", "k2").dropDuplicates(["k1", "k2", "nth"])
     uses = uses.groupBy("k1", "k2").agg(F.collect_list(F.struct("nth", "ids")).alias("list"))
     return pressed.join(uses.hint("shuffle_hash"), ["k1", "k2"], "left").mapInArrow(
-        partial(_encode_rows, path=tokenizer_path), f"id {rows.schema['id'].dataType.simpleString()}, ids binary"
+        partial(_encode_rows, path=tokenizer_path, decode=decode),
+        f"id {rows.schema['id'].dataType.simpleString()}, ids binary" + (", decoded string" if decode else ""),
     )
 
 
@@ -304,16 +311,18 @@ def pieces(path: str) -> dict[int, bytes]:
     return _PIECES[path]
 
 
-def decoded(ids: Column, tokenizer_path: str) -> Column:
-    """The text of a column of ids as :func:`encode` returns them (null: null), special tokens included.
+def text_of_ids(ids: bytes, path: str) -> str:
+    """What ids decode to.  Bytes that are no UTF-8 become replacement characters, as the library does it."""
+    of = pieces(path)
+    return b"".join(map(of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
-    Bytes that are no UTF-8 become replacement characters, as the library does it.
-    """
+
+def decoded(ids: Column, tokenizer_path: str) -> Column:
+    """The text of a column of ids as :func:`encode` returns them (null: null), special tokens included."""
 
     @F.pandas_udf("string")
     def run(batch: pd.Series) -> pd.Series:
-        of = pieces(tokenizer_path)
-        text = lambda b: b"".join(map(of.__getitem__, np.frombuffer(b, "<u4").tolist())).decode("utf-8", "replace")
-        return batch.map(text, na_action="ignore")
+        trim_memory()
+        return batch.map(lambda ids: text_of_ids(ids, tokenizer_path), na_action="ignore")
 
     return run(ids)

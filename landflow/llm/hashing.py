@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _U = np.uint64
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,8 +61,16 @@ class Rolling:
         return mix((self.sums[width : width + n] - self.sums[:n]) * self.down[:n])
 
 
-def blocks(texts: list[str | None], most: int = 1 << 20):
+def trim_memory() -> None:
+    """Give back what Arrow's and C's allocators keep for later: a worker shares its executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def blocks(texts: list[str | None], most: int = 1 << 19):
     """(first row, bytes of each text) in blocks of about ``most`` bytes; null counts as empty."""
+    trim_memory()
     held, size, first = [], 0, 0
     for k, text in enumerate(texts):
         data = text.encode("utf-8", "surrogatepass") if text else b""

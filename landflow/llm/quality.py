@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landflow.llm.common import text_of
+from landflow.llm.hashing import trim_memory
 
 #: Labelled documents that the fit uses at most (those with the smallest hash of their id).
 SAMPLE = 20_000
@@ -154,6 +155,7 @@ def with_score(docs: DataFrame, ranker: Ranker, text: str = "text", into: str =
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
+            trim_memory()
             rows = np.array([features(t) for t in batch]).reshape(len(batch), WIDTH)
             yield pd.Series(ranker.scores(rows), dtype="float64")
 

@@ -163,11 +163,10 @@ def op10_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
-    path = public_tokenizers.path(BYTE_BPE)
-    encoded = chunk_bpe.encode(docs, path)
+    encoded = chunk_bpe.encode(docs, public_tokenizers.path(BYTE_BPE), decode=True)
     return encoded.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(chunk_bpe.decoded(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
