@@ -100,12 +100,13 @@ def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     Rows that repeat id and text are reduced to one.
     """
     rounds = rounds_for(shuffle_partitions(docs.sparkSession))
+    name = lambda c: F.coalesce(F.col(f"`{c}`").cast("long").cast("string"), F.lit(""))
     gone = (
         label_duplicates(docs, id_column, text, keep, rounds)
         .where(~F.col("kept"))
-        .select(F.col("id").alias("__gone"), F.col("text_sha256").alias("__digest"))
+        .select(name("id").alias("__name"), F.col("text_sha256").alias("__digest"))
         .distinct()
     )
-    rows = docs.withColumn("__digest", F.sha2(text_of(text).cast("binary"), 256))
-    same = F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col("__gone")) & (rows["__digest"] == gone["__digest"])
-    return rows.join(gone, same, "left_anti").drop("__digest")
+    rows = docs.withColumns({"__name": name(id_column), "__digest": F.sha2(text_of(text).cast("binary"), 256)})
+    keys = ["__name", "__digest"]  # of a repeated row only; a large group of copies has as many keys as rows
+    return rows.join(gone, keys, "left_anti").dropDuplicates(keys).select(*[f"`{c}`" for c in docs.columns])
