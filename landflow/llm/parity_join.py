@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landflow.llm.common import settled, shuffle_partitions
-from landflow.llm.components import components
-from landflow.llm.hashing import Rolling, blocks, mix
+from landflow.llm.components import components, joined_components
+from landflow.llm.hashing import Rolling, blocks, mix, trim_memory
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -235,6 +235,7 @@ def _verified(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) ->
     shingles = lambda body: shingle_sets([unpack.decompress(body)], k)[0]
     held: tuple = (None, None)
     for batch in batches:
+        trim_memory()
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         left, right = batch.column(2), batch.column(3)
         keep = []
@@ -348,7 +349,8 @@ def near_duplicates(
     links = _links(first_pairs, docs, classes, k, num, den)
 
     # what is still apart within a bucket is compared pair by pair
-    labels = components(links).select(F.col("id").alias("rep"), "component")
+    grouped = components(links)
+    labels = grouped.select(F.col("id").alias("rep"), "component")
     members = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     parted = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     members = settled(members.join(parted.where("low < high").select("key"), "key", "left_semi"), "apart")
@@ -359,7 +361,7 @@ def near_duplicates(
     rest = one.join(two, apart & _may_link(num, den, _named("a"), _named("b")))
     rest = _ordered(rest).join(first_pairs, ["a", "b"], "left_anti")
     more = _links(rest, docs, classes, k, num, den)
-    labels = components(links.union(more)).select(F.col("id").alias("rep"), "component")
+    labels = joined_components(grouped, more).select(F.col("id").alias("rep"), "component")
     classes = classes.select("hi", "lo", "rep").join(labels, "rep", "left")
     found = features.join(classes, ["hi", "lo"], "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landflow.llm import parity_join, prefix_free
-from landflow.llm.components import components
+from landflow.llm.components import components, joined_components
 from tests.llm.conftest import answers, in_order
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -94,6 +94,31 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 130)]
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert answers(found, "id", "component") == [(k, 0) for k in range(51)] + [(k, 100) for k in range(100, 130)]
+    more = spark.createDataFrame([(50, 101), (200, 201), (202, 129)], "a long, b long")
+    both = joined_components(found, more)
+    want = [*range(51), *range(100, 130), 202]
+    assert answers(both, "id", "component") == in_order([(k, 0) for k in want] + [(k, 200) for k in (200, 201)])
+    assert components(found.select(F.col("id").alias("a"), F.col("id").alias("b")).where("a < 0")).collect() == []
+
+
+def test_components_of_random_graphs(spark):
+    draw = np.random.default_rng(9)
+    links = draw.integers(0, 400, (380, 2)).tolist()
+    parent = list(range(400))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    nodes = {x for a, b in links if a != b for x in (a, b)}
+    df = spark.createDataFrame(links, "a long, b long")
+    assert answers(components(df), "id", "component") == in_order((x, root(x)) for x in nodes)
+    half = joined_components(components(df.limit(190)), df)
+    assert answers(half, "id", "component") == in_order((x, root(x)) for x in nodes)
 
 
 def brute_removal(rows, width):
