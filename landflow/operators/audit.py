@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from landflow.operators.projection import cols, quoted
 
 # The columns of an audit record, in order.
-AUDIT_COLUMNS = (
+AUDIT_COLUMNS = [
     "batchid", "batchrundate", "regionname", "datapipelinename", "pipelinerunid", "processname",
     "filename", "sourceplatform", "targetplatform", "activity", "environment", "interval", "scriptpath",
     "executionstatus", "errormessage", "executionstarttime", "executionendtime",
@@ -20,7 +20,7 @@ AUDIT_COLUMNS = (
     "rejectcount", "previouscount", "updatedcount", "insertedcount", "totalcount", "logtimestamp",
     "jobid", "clusterid", "sourcename", "destinationname", "expected_start_time", "expected_end_time",
     "freshness", "data_refresh_mode",
-)
+]
 
 # Statuses that mean a file needs no further validation in its batch.
 HANDLED_STATUSES = ("ReadyToExecute", "Submitted", "InProgress", "Succeeded")

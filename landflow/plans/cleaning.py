@@ -66,14 +66,14 @@ def _steps(config: EntityConfig) -> dict[str, Step]:
 
 
 # The order of the cleaning rules for delimited files and for workbooks.
-CSV_ORDER = (
+CSV_ORDER = [
     "cast_long", "fill_null", "strip_symbols", "digits_only", "strip_nbsp", "trim_spaces",
     "placeholder_to_blank",
-)
-WORKBOOK_ORDER = (
+]
+WORKBOOK_ORDER = [
     "strip_symbols", "scale_decimal", "cast_long", "cast_double", "fill_null", "strip_nbsp",
     "trim_spaces", "digits_only", "placeholder_to_blank", "edi_cleanup",
-)
+]
 
 
 def rule_order(config: EntityConfig) -> list[str]:
