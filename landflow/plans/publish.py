@@ -144,8 +144,8 @@ def publish_history(
     Refused rows are written beside the versions, with ``_kind`` as the reason, and counted.
 
     ``part`` may name another function of the key columns, such as the month of a key date, so that
-    hourly batches touch few parts.  Rows are shuffled once, by part, which also bounds the number of
-    files: ``files_per_part`` for each part touched and kind.
+    hourly batches touch few parts.  Rows are shuffled by key, for the versions, and by part, which
+    bounds the number of files: ``files_per_part`` for each part touched and kind.
     """
     spark = staging.sparkSession
     generated = set(spec.generated())
@@ -161,17 +161,12 @@ def publish_history(
     offered = _filled(staging, current, spec, missing)
     offered = offered.select(*[quoted(f.name) for f in schema.fields if f.name not in generated])
 
-    keys = list(key_columns(spec.keys))
-    spread = [F.col("_part"), F.pmod(F.xxhash64(*keys), F.lit(files_per_part))]
-    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = [
-        with_keys(side, spec.keys, spec.date_keys).withColumn("_part", where).repartition(slots, *spread)
-        for side in (current, offered)
-    ]
-    rows = versions_of_batch(placed[0].drop("_part"), placed[1].drop("_part"), spec, run_ts)
+    rows = versions_of_batch(current, offered, spec, run_ts)
     rows = rows.withColumn(PART, where).withColumn("kind", F.col("_kind"))
     home = f"{path}/batches/{batch}-{uuid.uuid4().hex}"
-    rows.repartition(slots, "kind", PART).write.partitionBy("kind", PART).parquet(home)
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nth_file = F.pmod(F.xxhash64(*key_columns(spec.keys, spec.date_keys).values()), F.lit(files_per_part))
+    rows.repartition(slots, "kind", PART, nth_file).write.partitionBy("kind", PART).parquet(home)
 
     written = spark.read.schema(
         T.StructType([*schema.fields, T.StructField("_kind", T.StringType()), T.StructField("_brought", T.BooleanType()), T.StructField("kind", T.StringType()), T.StructField(PART, T.IntegerType())])
