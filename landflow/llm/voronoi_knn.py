@@ -5,8 +5,8 @@ query gets 0 there; then larger inner products are exactly smaller Euclidean dis
 triangle bounds hold.
 
 * Queries and data are grouped by their nearest pivot (a bounded sample of the data).
-* Summaries per group (count, radius, the smallest distances to the pivot) give every query group a
-  bound on the distance of its queries' ``k``-th neighbours.
+* Summaries per group (count, radius, the smallest distances to the pivot, of one row an id) give every
+  query group a bound on the distance of its queries' ``k``-th neighbours.
 * A data row goes to a query group only if its distance to its own pivot allows it to be that near.
 * Large groups are divided: queries into blocks, data into parts.  Each unit is solved on its own by
   integer matrix products; the parts' best rows of a query meet at the end.
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landflow.llm.common import settled, shuffle_partitions
+from landflow.llm.hashing import mix
 
 #: Pivots; also the rows of the summaries.
 PIVOTS = 16
@@ -85,9 +86,10 @@ def _place(space: Space, query: bool):
 _PLACED = "id long, v binary, cell long, far double"
 
 
-def _spread(values: np.ndarray, over: np.ndarray) -> np.ndarray:
-    """A part for each id, even over the parts."""
-    return ((values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % over
+def _spread(values: np.ndarray, first: int, over: np.ndarray) -> np.ndarray:
+    """A part for each row, even over the parts also where ids repeat: by id and place in the task (from ``first``)."""
+    salt = np.arange(first, first + len(values)).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+    return (mix(values.astype(np.uint64) + salt) >> np.uint64(33)).astype(np.int64) % over
 
 
 def _unit(group: np.ndarray, block: np.ndarray, part: np.ndarray) -> np.ndarray:
@@ -96,9 +98,11 @@ def _unit(group: np.ndarray, block: np.ndarray, part: np.ndarray) -> np.ndarray:
 
 def _send_queries(space: Space):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             ids, group = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            block = _spread(ids, space.blocks[group])
+            block = _spread(ids, seen, space.blocks[group])
+            seen += len(ids)
             rows = np.repeat(np.arange(len(ids)), space.parts[group])
             part = np.arange(len(rows)) - np.repeat(np.cumsum(space.parts[group]) - space.parts[group], space.parts[group])
             unit = _unit(group[rows], block[rows], part)
@@ -109,13 +113,15 @@ def _send_queries(space: Space):
 
 def _send_data(space: Space):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             ids, cell, far = (batch.column(c).to_numpy() for c in (0, 2, 3))
+            first, seen = seen, seen + len(ids)
             for group in range(len(space.blocks)):
                 near = np.flatnonzero((far >= space.low[group, cell]) & (far <= space.high[group, cell]))
                 if not space.blocks[group] or not len(near):
                     continue
-                part = _spread(ids[near], np.full(len(near), space.parts[group]))
+                part = _spread(ids, first, np.full(len(ids), space.parts[group]))[near]
                 for block in range(space.blocks[group]):
                     unit = _unit(np.full(len(near), group), np.full(len(near), block), part)
                     yield pa.RecordBatch.from_arrays(
@@ -191,8 +197,8 @@ def bounds(space: Space, cells: pd.DataFrame, groups: pd.DataFrame, nearest: pd.
     low, high, parts = np.zeros((n, n)), np.zeros((n, n)), np.ones(n, np.int64)
     slack = SLACK * (1 + space.top)
     for g in range(n):
-        reach = np.sort(radius[g] + apart[g, of] + far)  # upper bounds of distances to distinct rows
-        bound = reach[k] if len(reach) > k else np.inf  # one of them may be the query itself
+        reach = np.sort(radius[g] + apart[g, of] + far)  # upper bounds of distances to rows of distinct ids
+        bound = reach[k] if len(reach) > k else np.inf  # one of them may have the query's id
         low[g] = apart[g] - radius[g] - bound - slack
         high[g] = apart[g] + radius[g] + bound + slack
         parts[g] = max(1, -(-int(count[low[g] <= high[g]].sum()) // PART))
@@ -236,7 +242,8 @@ def top_k(
     kind = "<i1" if shape["largest"] < 128 else "<i2" if shape["largest"] < 1 << 15 else "<i8"
     wide = shape["length"] * shape["largest"] ** 2 * CHUNK >= 1 << 62 or shape["length"] * shape["largest"] ** 2 >= 1 << 53
     top = float(np.sqrt(shape["norm"]))
-    sample = rows.orderBy(F.xxhash64("id", F.lit(1)), "id", "v").limit(pivots).select("v").collect()  # at most ``pivots`` rows
+    drawn = rows.select("id").distinct().orderBy(F.xxhash64("id", F.lit(1)), "id").limit(pivots).collect()  # at most ``pivots`` rows
+    sample = rows.where(F.col("id").isin([r["id"] for r in drawn])).groupBy("id").agg(F.min("v").alias("v")).collect()
     centre = np.array([r["v"] for r in sample], np.float64)
     extra = np.sqrt(np.maximum(0, top * top - (centre * centre).sum(1)))
     space = Space(np.unique(np.column_stack([centre, extra]), axis=0), top, kind)
@@ -247,7 +254,9 @@ def top_k(
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toPandas()  # a row per pivot
     groups = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius")).toPandas()
     by_distance = Window.partitionBy("cell").orderBy("far")
-    nearest = placed.select("cell", "far").withColumn("_no", F.row_number().over(by_distance)).where(F.col("_no") <= k + 1)
+    # a query's own id is no candidate however often it comes, so an id counts once: where it is nearest to its pivot
+    once = placed.groupBy("id").agg(F.min_by("cell", "far").alias("cell"), F.min("far").alias("far"))
+    nearest = once.select("cell", "far").withColumn("_no", F.row_number().over(by_distance)).where(F.col("_no") <= k + 1)
     space = bounds(space, cells, groups, nearest.toPandas(), k)  # k + 1 rows per pivot
 
     parts = shuffle_partitions(spark)

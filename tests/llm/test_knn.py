@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,25 @@ def test_best_rows_equal_brute_force(spark, monkeypatch, vectors, k, block, part
     assert answers(found, "query_id", "rank", "vec_id", "score") == brute(vectors, k)
 
 
+@pytest.mark.parametrize("part", [60_000, 30])
+def test_a_queried_id_repeated_more_than_k_times(spark, monkeypatch, part):
+    """Equal norms and a pivot a vector: the copies alone would make the bound 0."""
+    monkeypatch.setattr(voronoi_knn, "PART", part)
+    signs = [[1.0 if n >> j & 1 else -1.0 for j in range(6)] for n in range(64)]
+    rows = [(20, signs[0])] * 30 + [(20, signs[1])] * 30 + [(101 + n, v) for n, v in enumerate(signs)]
+    found = voronoi_knn.top_k(frame(spark, rows), F.col("vec_id") % 20 == 0, k=20, pivots=200)
+    assert answers(found, "query_id", "rank", "vec_id", "score") == brute(rows, 20)
+
+
+def test_copies_of_one_id_spread_over_parts():
+    wide = np.zeros((1, 1))
+    space = voronoi_knn.Space(np.zeros((1, 7)), 1.0, "<i1", wide, wide + 1, np.array([1]), np.array([4]))
+    rows = [pa.array([20] * 1000), pa.array([b"x"] * 1000), pa.array([0] * 1000), pa.array([0.5] * 1000)]
+    sent = voronoi_knn._send_data(space)(iter([pa.RecordBatch.from_arrays(rows, ["id", "v", "cell", "far"])] * 2))
+    sizes = np.unique(np.concatenate([b.column(0).to_numpy() for b in sent]), return_counts=True)[1]
+    assert sizes.sum() == 2000 and len(sizes) == 4 and sizes.max() < 700
+
+
 def test_large_components(spark):
     rows = [(k, [float(k * 10**5 + j) for j in range(6)]) for k in range(50)]
     found = voronoi_knn.top_k(frame(spark, rows), F.col("vec_id") % 20 == 0, k=4)
