@@ -15,7 +15,9 @@ lower bound of their symmetric difference.
 * Members of a bucket that are still in different components are paired with one another, tested
   and verified too, so no link is lost; a group of copies costs a few pairs a member, not all pairs.
 
-Documents with equal sets are one class from the start (128-bit hash of the set).
+Documents with equal sets are one class from the start (128-bit hash of the set).  Pairs and links
+are between classes, which have numbers of their own: an id can be in several classes, if its rows
+have different texts, and these are linked with one another.
 """
 
 from __future__ import annotations
@@ -285,9 +287,10 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``: representatives) whose texts are linked."""
+    """Those of ``pairs`` (``a``, ``b``: numbers of classes) whose texts are linked."""
     pairs = settled(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    wanted = classes.select("rep", F.col("low").alias("id")).join(wanted, "rep").select("id").distinct()
     texts = docs.join(wanted.hint("shuffle_hash"), "id", "left_semi").select("text")
     bodies = texts.mapInArrow(partial(_packed, k=k), "hi long, lo long, body binary")
     bodies = (
@@ -305,6 +308,14 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: i
     return settled(checked, "verified")
 
 
+def _ids_in_classes(features: DataFrame, classes: DataFrame) -> DataFrame:
+    """``id`` and ``rep`` of the ids whose rows have different sets (an empty one is in no class)."""
+    mixed = features.where("id is not null").groupBy("id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("hi", "lo") for f in (F.min, F.max)])
+    mixed = settled(mixed.where("min_hi < max_hi or min_lo < max_lo").select("id"), "mixed")
+    sets = features.where("n > 0").join(mixed, "id", "left_semi").select("id", "hi", "lo").distinct()
+    return settled(sets.join(classes.select("hi", "lo", "rep"), ["hi", "lo"]).select("id", "rep"), "mixed")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -317,7 +328,7 @@ def near_duplicates(
 
     Two documents are linked if the Jaccard similarity of their sets of ``k``-word shingles is
     ``num / den`` or more.  A null or empty text, or one of blanks, has an empty set and is linked with
-    nothing.  Rows with one id are one node; a row without an id is returned with component null and
+    nothing.  Rows with one id are one node, with the links of all its texts; a row without an id is returned with component null and
     links with nothing.  Repeated rows are returned as often as they come; other columns don't matter;
     an empty table gives an empty result.
     """
@@ -328,9 +339,11 @@ def near_duplicates(
     classes = (
         features.where("n > 0 and id is not null")
         .groupBy("hi", "lo")
-        .agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n", *SKETCH)])
+        .agg(F.min("id").alias("low"), *[F.first(c).alias(c) for c in ("n", *SKETCH)])
     )
-    classes = settled(classes, "classes")
+    classes = settled(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    ids_in = _ids_in_classes(features, classes)
+    shared = ids_in.join(ids_in.groupBy("id").agg(F.min("rep").alias("a")), "id").select("a", F.col("rep").alias("b"))
     entries = docs.select("text").mapInArrow(partial(_segments, k=k, num=num, den=den), "key long, hi long, lo long")
     stars = (
         entries.repartition(shuffle_partitions(spark), "key")
@@ -349,7 +362,7 @@ def near_duplicates(
     links = _links(first_pairs, docs, classes, k, num, den)
 
     # what is still apart within a bucket is compared pair by pair
-    grouped = components(links)
+    grouped = components(links.union(shared))
     labels = grouped.select(F.col("id").alias("rep"), "component")
     members = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     parted = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -361,8 +374,13 @@ def near_duplicates(
     rest = one.join(two, apart & _may_link(num, den, _named("a"), _named("b")))
     rest = _ordered(rest).join(first_pairs, ["a", "b"], "left_anti")
     more = _links(rest, docs, classes, k, num, den)
-    labels = joined_components(grouped, more).select(F.col("id").alias("rep"), "component")
-    classes = classes.select("hi", "lo", "rep").join(labels, "rep", "left")
-    found = features.join(classes, ["hi", "lo"], "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
+    labels = joined_components(grouped, more).withColumnRenamed("id", "rep")
+    least = classes.join(labels, "rep").groupBy("component").agg(F.min("low").alias("least"))
+    labels = labels.join(least, "component").select("rep", F.col("least").alias("component"))
+    named = classes.select("hi", "lo", "rep", "low").join(labels, "rep", "left")
+    named = named.select("hi", "lo", "rep", F.coalesce("component", "low").alias("component"))
+    # rows whose own set is empty, though their id has others
+    by_id = ids_in.join(named, "rep").groupBy("id").agg(F.min("component").alias("of_id"))
+    found = features.join(named, ["hi", "lo"], "left").join(settled(by_id, "by-id"), "id", "left")
+    own = F.when(F.col("id").isNotNull(), F.coalesce("component", "of_id", "id"))
     return found.select("id", F.col("n").alias("n_shingles"), own.alias("component"))

@@ -59,6 +59,17 @@ def test_chains_within_one_bucket_are_found(spark):
     assert answers(found, "id", "n_shingles", "component") == in_order(brute_components(rows, 1, 9, 10))
 
 
+def test_an_id_with_several_texts_has_the_links_of_all(spark):
+    text = lambda name, new="": " ".join([*(f"{name}{k}" for k in range(60)), new])
+    rows = [(5, text("a")), (5, text("b")), (9, text("a", "x")), (10, text("b", "x")), (9, None)]
+    rows += [(20, text("c")), (21, text("c")), (21, text("d")), (22, text("d", "x")), (22, ""), (30, text("e")), (30, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = parity_join.near_duplicates(docs, k=3, num=9, den=10)
+    want = brute_components(rows, 3, 9, 10)
+    assert {(i, c) for i, _, c in want} == {(5, 5), (9, 5), (10, 5), (20, 20), (21, 20), (22, 20), (30, 30)}
+    assert answers(found, "id", "n_shingles", "component") == in_order(want)
+
+
 def test_sketches_bound_the_difference():
     draw = np.random.default_rng(3)
     for _ in range(200):
