@@ -247,6 +247,11 @@ def malformed_rows(spark, d):
     return found.clean.select(F.col("id").alias("record"), F.lit(None).cast("string").alias("reason")).union(bad)
 
 
+def _one_task_a_file(lines):
+    """All lines of a file in one task, in order; the files over many tasks."""
+    return lines.repartition("file").sortWithinPartitions("file", "rank")
+
+
 @query(
     "header_parses", "B11",
     """SELECT 'orders' || f || '_20240301050000.csv' AS file_name,
@@ -263,7 +268,7 @@ def header_parses(spark, d):
     lines = rows.select("file", F.lit(1).alias("rank"), "value").unionByName(
         rows.select("file").distinct().select("file", F.lit(0).alias("rank"), header.alias("value"))
     )
-    lines.repartition(1, "file").sortWithinPartitions("file", "rank").select("file", "value").write.partitionBy("file").text(path)
+    _one_task_a_file(lines).select("file", "value").write.partitionBy("file").text(path)
     found = readers.header_columns(spark, f"{path}/*")
     number = F.regexp_extract("path", "file=([0-9]+)", 1)
     name = F.concat(F.lit("orders"), number, F.lit("_20240301050000.csv"))

@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from landflow.catalog import file_queries
 from landflow.config import EntityConfig
 from landflow.operators import admission as A
 from landflow.operators import audit
@@ -122,6 +123,18 @@ def test_admission_of_real_files(spark, tmp_path):
     assert by_base.reason == "Matching metadata file check failed"
 
 
+def test_lines_of_many_files_go_to_many_tasks(spark):
+    lines = spark.range(300).selectExpr("id % 10 AS file", "-id AS rank")
+    spread = file_queries._one_task_a_file(lines).withColumn("task", F.spark_partition_id())
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.file, r.task) for r in spread.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    assert len(got) == 10 and len({task for _, task in got}) > 1
+
+
 def test_entity_key_falls_back_to_the_stem(spark):
     df = spark.createDataFrame([("AMS_Fusion_x_20240301060000.csv",), ("Some_Plan_20240301060000.csv",), ("short.csv",)], "n string")
     got = [r[0] for r in df.select(A.entity_key(F.col("n"), ["Fusion"])).collect()]
