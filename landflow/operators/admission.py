@@ -123,7 +123,8 @@ def match_manifest(
     """Left join data files with their manifest.
 
     ``by='stem'`` matches the whole stem; ``by='base'`` ignores the arrival times
-    of both files.  Several manifests of one file reduce to the first by name.
+    of both files.  Several manifests of one file reduce to the first by name;
+    ``sizes_differ`` says that they declare unlike sizes, or only some declare one.
     """
     if by == "stem":
         left_key, right_key = stem(F.col("file_name")), manifest_target(F.col("manifest_name"), prefix)
@@ -136,6 +137,10 @@ def match_manifest(
         .agg(
             F.min("manifest_name").alias("manifest_name"),
             F.min_by("declared_size", "manifest_name").alias("declared_size"),
+            (
+                (F.min("declared_size") < F.max("declared_size"))
+                | F.count("declared_size").between(F.lit(1), F.count(F.lit(1)) - 1)
+            ).alias("sizes_differ"),
         )
     )
     return data.withColumn("_key", left_key).join(sizes, "_key", "left").drop("_key")
@@ -199,6 +204,7 @@ def admission_verdict(
     rules += [
         (F.col("manifest_name").isNull(), "Matching metadata file check failed"),
         (F.col("length") <= 0, "File size check failed (empty file)"),
+        (F.coalesce("sizes_differ", F.lit(False)), "Metadata files declare different sizes"),
         (~size_ok & ~ext_ok, "File size and extension are not matched"),
         (~size_ok, "File size is not matched"),
         (~ext_ok, "File extension is not matched"),

@@ -123,6 +123,21 @@ def test_admission_of_real_files(spark, tmp_path):
     assert by_base.reason == "Matching metadata file check failed"
 
 
+def test_manifests_that_contradict_one_another(spark):
+    """One manifest fits the file, but a second one of the same name declares another size or none."""
+    now = dt.datetime(2024, 3, 1, 6, 30)
+    files = [f"ORDERS_{c}_20240301060000.csv" for c in ("AA", "BB", "CC", "DD")]
+    data = spark.createDataFrame([(f, f, 10, now) for f in files], "path string, file_name string, length long, modificationTime timestamp")
+    stems = [f.removesuffix(".csv") for f in files]
+    sizes = [(stems[0], 10), (stems[0], 11), (stems[1], 10), (stems[1], 10), (stems[2], 10), (stems[2], None), (stems[3], 11)]
+    names = [(f"{A.MANIFEST_PREFIX}{s}.csv", size) for s, size in sizes]
+    manifest = spark.createDataFrame(names, "manifest_name string, declared_size long")
+    judged = A.admission_verdict(data, manifest, now, {"ORDERS": "csv"}, prefixes=["ORDERS"])
+    both = "Metadata files declare different sizes"
+    got = {r.file_name[7:9]: r.reason for r in judged.collect()}
+    assert got == {"AA": both, "BB": None, "CC": both, "DD": "File size is not matched"}
+
+
 def test_lines_of_many_files_go_to_many_tasks(spark):
     lines = spark.range(300).selectExpr("id % 10 AS file", "-id AS rank")
     spread = file_queries._one_task_a_file(lines).withColumn("task", F.spark_partition_id())
