@@ -37,7 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in proportion to the target weights of their domain, language and source."""
-    return mixing.repeated(mixing.with_epochs(docs, MIX, F.expr(DOMAIN), into="__epochs"), "__epochs")
+    mixed = mixing.with_epochs(docs, MIX, F.expr(DOMAIN), into="__epochs")
+    # a text without tokens can count one epoch more in a leaf that is used up
+    return mixing.repeated(mixed.withColumn("__epochs", F.least("__epochs", F.lit(MIX.epochs))), "__epochs")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

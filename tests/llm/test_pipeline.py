@@ -63,6 +63,14 @@ def test_stages(spark, sf_dir):
     assert in_order((r["doc_id"], bytes(r["ids"]), r["decoded_sha256"]) for r in found) == in_order(want)
 
 
+def test_the_mix_uses_no_blank_document_twice(spark):
+    """src0 is used up; some of its blank documents come before the one with tokens in the next order."""
+    rows = [(k, "", "en", "src0") for k in range(40)] + [(99, "a b", "en", "src0"), (100, "a " * 500, "en", "src11")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    used = [r.doc_id for r in pipeline.source_mix(spark, docs, "").collect()]
+    assert len(used) == len(set(used)) and set(range(40)) | {99} == set(used)
+
+
 def test_stages_take_odd_rows(spark, sf_dir, documents, no_documents):
     for docs in (documents, no_documents):
         odd = docs.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"), "key", "component")
