@@ -14,7 +14,12 @@ corpus order down to that depth matters, and only its classes of equal strings:
 * *Dictionary order*: only phrases with a common trigger can share suffixes.  Where a trigger has
   several phrases, their suffixes are first compared in blocks of neighbours by the bytes that all
   suffixes of a block have in common.  Of blocks that agree so far, the suffixes, cut to ``width``
-  bytes, are sorted by content and place; all but the first of equal ones start earlier as well.
+  bytes, are sorted by a hash of their bytes and by place; all but the first of equal ones start
+  earlier as well.
+
+No suffix array is built, neither of the dictionary nor of the parse: the answer needs classes of equal
+strings of ``width`` bytes and their first places, not the order between classes, so classes by hash
+within a trigger replace both.  Strings of equal hashes count as equal; their bytes are not compared.
 
 Repetitive text is thus resolved phrase by phrase; suffixes are listed only around its edges.
 """
