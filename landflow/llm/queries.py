@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.llm import chunk_bpe, exact_dedup, mixing, parity_join, prefix_free, quality, sharding, token_counts, voronoi_knn, warc
+from landflow.llm import (
+    accumulators,
+    chosen_path,
+    chunk_bpe,
+    exact_dedup,
+    mixing,
+    parity_join,
+    prefix_free,
+    quality,
+    rotation,
+    sharding,
+    token_counts,
+    voronoi_knn,
+    warc,
+)
 from landflow.llm.common import scratch_path, table, text_of
 from landflow.session import configure
 
@@ -170,3 +184,23 @@ def token_digests(docs: DataFrame) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op11_chosen_path")
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chosen_path.near_duplicates(table(spark, sf_dir, "documents"), k=4, num=4, den=5)
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
+    )
+
+
+@query("op12_accumulator_search", accumulators.search_sql())
+def op12_accumulator_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accumulators.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_block_rotation", rotation.rotation_sql())
+def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rotation.fill_in_middle(table(spark, sf_dir, "documents"), check=True)
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return rows.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
