@@ -81,7 +81,7 @@ def read_tables(spark, d):
         spark, path,
         {
             "narrow": EntityConfig(required_column_list=("id", "priority")),
-            "renamed": EntityConfig(required_column_list=("key", "class", "amount")),
+            "renamed": EntityConfig(required_column_list=("key", "class", "amount"), force_column_names=True),
         },
     )
     narrow = tables["narrow"].select(F.lit("narrow").alias("part"), "id", "priority")
@@ -283,3 +283,51 @@ def header_parses(spark, d):
         header_columns=listing.select("path", "header_columns"), column_counts={"orders": 3},
     )
     return judged.select("file_name", "reason")
+
+
+_HEADERS = {0: "id,priority,price", 1: "price,id,priority", 2: "priority,price", 3: "id,more,priority,price", 4: " price , priority , id ", 5: "id,price,price,priority"}
+_BY_NAME = EntityConfig.from_dict({"required_column_list": _NAMES, "notnull_columns": ["id"], "unknown_columns": "reject"})
+
+
+@query(
+    "header_mapping", "A1 C1 C2 I1",
+    """SELECT CASE WHEN o_custkey % 6 = 2 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS id, o_orderpriority || '", a' AS priority,
+              CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+              CASE o_custkey % 6 WHEN 2 THEN 'id_missing_in_header,id_null_check_failed' WHEN 3 THEN 'more_not_declared' WHEN 5 THEN 'price_repeated_in_header' END AS reasons
+       FROM orders""",
+)
+def header_mapping(spark, d):
+    """Files with their columns in another order, one too few, one too many, one twice: found by name or rejected."""
+    path = scratch_path(spark, "mapped")
+    text = table(spark, d, "orders").select(
+        (F.col("o_custkey") % 6).alias("file"), F.expr(_TEXT[0]), _quoted(F.concat("o_orderpriority", F.lit('", a'))).alias("priority"), F.expr(_TEXT[2]), F.lit("m").alias("more")
+    )
+    line = F.coalesce(*[F.when(F.col("file") == n, F.concat_ws(",", *[c.strip() for c in h.split(",")])) for n, h in _HEADERS.items()])
+    heads = spark.createDataFrame(list(_HEADERS.items()), "file long, value string").join(text.select("file").distinct(), "file")
+    lines = text.select("file", F.lit(1).alias("rank"), line.alias("value")).unionByName(heads.select("file", F.lit(0).alias("rank"), "value"))
+    _one_task_a_file(lines).select("file", "value").write.partitionBy("file").text(path)
+    found = entity_load.check_entity(readers.read_entity(spark, f"{path}/*", _BY_NAME), _BY_NAME, "emea")
+    shown = lambda rows, reasons: rows.select(F.nullif("id", F.lit("")).alias("id"), "priority", "price", reasons.alias("reasons"))
+    return shown(found.clean, F.lit(None).cast("string")).unionAll(shown(found.rejects, F.array_join("reject_reason", ",")))
+
+
+@query(
+    "landing_with_empty_files", "A6 B8",
+    """SELECT r_name AS folder, count(*) AS files, count(*) FILTER (WHERE n_nationkey % 5 = 0) AS empty_files, true AS dated
+       FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey IN (SELECT c_nationkey FROM customer) GROUP BY r_name""",
+)
+def landing_with_empty_files(spark, d):
+    """A folder for each region with a file for each nation; some have no byte in them."""
+    path = scratch_path(spark, "empties")
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    full = rows.where("n_nationkey % 5 > 0").select("r_name", "n_name", "c_name")
+    full.repartition("n_name").write.partitionBy("r_name", "n_name").text(path)
+    # an unquoted CSV of no column at all writes files without a byte
+    none = rows.where("n_nationkey % 5 = 0").select("r_name", "n_name").distinct()
+    none.withColumn("c_name", F.lit(None).cast("string")).repartition("n_name").write.mode("append").option("nullValue", "").option("emptyValue", "").option("lineSep", "\n").partitionBy("r_name", "n_name").csv(path)
+    listed = readers.list_landing(spark, f"{path}/r_name=*", "part-*")
+    folder = F.regexp_extract("path", "r_name=([^/]+)/", 1)
+    return listed.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") <= 1).alias("empty_files"), F.bool_and(F.col("modificationTime").isNotNull()).alias("dated")
+    )

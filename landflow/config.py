@@ -84,6 +84,7 @@ class EntityConfig:
     columns_to_select: int = 0
     allowed_prefixes: tuple[str, ...] = ("",)
     force_column_names: bool = False
+    unknown_columns: str = "reject"
     string_columns: tuple[str, ...] = ()
     # columns
     column_type_map: dict[str, str] = field(default_factory=dict)

@@ -20,6 +20,8 @@ from landflow.functions.literals import moment
 from landflow.operators.projection import cols, quoted
 
 REJECTS = "_rejects"
+#: Failures of a row's whole file that the reader found in its header.
+HEADER_FAULTS = "_header_faults"
 
 
 @dataclass(frozen=True)
@@ -74,7 +76,10 @@ def hash_rule(name: str, columns: Sequence[str], null_safe: bool = False) -> Rul
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the array of ``(reason, column)`` failures of each row."""
+    """Add the array of ``(reason, column)`` failures of each row, after those of its file's header."""
+    if HEADER_FAULTS in df.columns:
+        own = apply_rules(df.withColumnRenamed(HEADER_FAULTS, "_faults"), rules)
+        return own.withColumn(REJECTS, F.concat("_faults", REJECTS)).drop("_faults")
     entries = [
         F.when(rule.failed, F.struct(F.lit(rule.reason).alias("reason"), F.lit(rule.column).alias("column")))
         for rule in rules
@@ -95,6 +100,8 @@ def passing(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     The same rows as ``passed(apply_rules(df, rules))`` from a plain condition,
     which the optimizer can evaluate early and stop at the first failure.
     """
+    if HEADER_FAULTS in df.columns:
+        df = df.filter(F.size(HEADER_FAULTS) == 0).drop(HEADER_FAULTS)
     for rule in rules:
         df = df.filter(~F.coalesce(rule.failed, F.lit(False)))
     return df

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from landflow.config import EntityConfig, parse_type
 from landflow.functions import clean
 from landflow.operators.projection import cols, quoted, remove_columns, select_required
+from landflow.operators.rules import HEADER_FAULTS
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,8 @@ def clean_columns(df: DataFrame, config: EntityConfig, order: Sequence[str] | No
 
     def cleaned(name: str) -> Column:
         c = F.col(quoted(name))
+        if name == HEADER_FAULTS:
+            return c
         for step_name in order or rule_order(config):
             step = steps[step_name]
             if step.applies(name):

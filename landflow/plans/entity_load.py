@@ -98,7 +98,7 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
     checked = R.apply_rules(kept, rules)
     if policy is DuplicatePolicy.REJECT:
         copies = surplus.select(
-            *cols(text.columns),
+            *cols(c for c in text.columns if c != R.HEADER_FAULTS),
             F.array(
                 F.struct(
                     F.col("reject_reason").alias("reason"), F.col("rejected_column").alias("column")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,7 +11,10 @@ from pyspark.sql import types as T
 
 from landflow.config import EntityConfig
 from landflow.operators.admission import MANIFEST_PREFIX, file_name
-from landflow.operators.projection import cols
+from landflow.operators.projection import cols, quoted
+from landflow.operators.rules import HEADER_FAULTS
+from landflow.session import scratch_path
+from landflow.sources.landing import landed_files
 
 SOURCE_FILE = "_source_file"
 #: Column with the text of a record that has more or fewer fields than declared.
@@ -85,16 +89,20 @@ def read_tsv_legacy(
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines with their position in the file: ``path, value, line, line_count``.
 
-    A file is read in blocks.  Lines count up within their block; the blocks'
-    line counts, summed along the file, give each block its first line number.
-    Only these counts are windowed, never the lines.
+    One scan of the text writes every line with its file, its block and a running number to the shared
+    folder.  What is stored is then the index as well: a block's lines, summed along the file, give each
+    block its first line number.  Only these sums are windowed, never the lines, and a task that runs
+    again reads the same numbers.
     """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
+        file_path().alias("path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
         "value",
     )
+    stored = scratch_path(spark, "lines")
+    lines.write.parquet(stored)
+    lines = spark.read.schema(lines.schema).parquet(stored)
     blocks = lines.groupBy("path", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first")
     )
@@ -128,37 +136,140 @@ def trailer_rows(lines: DataFrame, keep: int, header_row: int = -1) -> DataFrame
 
 
 def parse_lines(lines: DataFrame, names: Sequence[str], sep: str = ",") -> DataFrame:
-    schema = ", ".join(f"`{n}` string" for n in [*names, MALFORMED])
-    parsed = F.from_csv("value", schema, {"sep": sep, "escape": '"', "columnNameOfCorruptRecord": MALFORMED})
-    rows = lines.select(parsed.alias("_r"), file_name(F.col("path")).alias(SOURCE_FILE))
+    """Lines (``path, value``) as columns in the declared order."""
+    rows = lines.select(_parsed(names, sep).alias("_r"), file_name(F.col("path")).alias(SOURCE_FILE))
     return missing_to_blank(rows.select("_r.*", SOURCE_FILE), names)
 
 
-def header_columns(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
+def _parsed(names: Sequence[str], sep: str) -> Column:
+    schema = ", ".join(f"{quoted(n)} string" for n in [*names, MALFORMED])
+    return F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": MALFORMED})
+
+
+# ------------------------------------------------------------------ columns by the names in a file's header
+
+
+def fields_of(line: Column, sep: str) -> Column:
+    """The fields of a line, however many, as an array; quoted ones without their quotes."""
+    mark = re.escape(sep)
+    pattern = f'{mark}("[^"]*+(?:""[^"]*+)*+"(?={mark}|$)|[^{mark}]*)'
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
+    bare = lambda f: F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+    is_quoted = lambda f: (F.length(f) > 1) & f.startswith('"') & f.endswith('"')
+    return F.transform(found, lambda f: F.when(is_quoted(f), bare(f)).otherwise(f))
+
+
+def text_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """``path, value`` of every line after a file's first, blank ones left out, in any encoding."""
+    raw = (
+        spark.read.schema("value string, _whole string")
+        .option("sep", "\x01").option("quote", "").option("header", True).option("enforceSchema", True)
+        .option("encoding", encoding).option("columnNameOfCorruptRecord", "_whole")
+        .csv(path)
+    )
+    return raw.select(file_path().alias("path"), F.coalesce("_whole", "value").alias("value"))
+
+
+def header_names(
+    spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8", slices: int = 1
+) -> DataFrame:
+    """``path, header``: the names in each file's first line, none for an empty file."""
+    found = landed_files(spark, path, head=True, sep=sep, encoding=encoding, slices=slices)
+    return found.select(_same_path(F.col("path")).alias("path"), F.transform("header", lambda h: F.trim(h)).alias("header"))
+
+
+def header_columns(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Number of columns in each file's first line: ``path, header_columns``."""
-    first = spark.read.text(path).select(
-        _same_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-        F.size(F.split("value", F.lit("\\Q" + sep + "\\E"))).alias("header_columns"),
-    ).filter("_block = 0")
-    return first.groupBy("path").agg(F.min_by("header_columns", "_seq").alias("header_columns"))
+    return header_names(spark, path, sep, encoding).select("path", F.size("header").alias("header_columns"))
+
+
+def named(header: Column) -> Column:
+    """The names of a header that name something: neither blank nor made up for a column without a name."""
+    return F.filter(header, lambda h: (h != "") & ~h.startswith("Unnamed"))
+
+
+def header_faults(header: Column, names: Sequence[str], unknown: str = "reject") -> Column:
+    """What is wrong with a header, as failures (reason and column): names that lack, repeat or are not declared."""
+    header = named(header)
+    declared = F.array(*[F.lit(n) for n in names])
+    failure = lambda said: lambda n: F.struct(F.concat(n, F.lit(said)).alias("reason"), n.alias("column"))
+    missing = F.transform(F.array_except(declared, header), failure("_missing_in_header"))
+    repeated = F.filter(declared, lambda n: F.size(F.filter(header, lambda h: h == n)) > 1)
+    found = [missing, F.transform(repeated, failure("_repeated_in_header"))]
+    if unknown == "reject":
+        found.append(F.transform(F.array_except(header, declared), failure("_not_declared")))
+    return F.concat(*found)
+
+
+def by_header(
+    lines: DataFrame, headers: DataFrame, names: Sequence[str], sep: str = ",", unknown: str = "reject", first: int = 0
+) -> DataFrame:
+    """Lines (``path, value``) as the declared columns, found by each file's own header (``path, header``).
+
+    Files whose header is as declared are parsed as they are, so only the other headers are joined to the
+    lines.  Their fields are put in the declared order; a declared name that a header lacks gives nulls.
+    ``HEADER_FAULTS`` holds what is wrong with a file's header for the row rules to report, and
+    ``MALFORMED`` the text of a record with more or fewer fields than its own header.  With ``unknown``
+    as ``drop``, columns that are not declared are left out and are no fault; with ``first`` only so many
+    columns of a file count.
+    """
+    declared = F.array(*[F.lit(n) for n in names])
+    counted = F.slice("header", 1, first) if first else F.col("header")
+    other = headers.where(~F.col("header").eqNullSafe(declared)).select(
+        "path", "header", header_faults(counted, names, unknown).alias(HEADER_FAULTS),
+        *[F.array_position(counted, F.lit(n)).cast("int").alias(f"_at{k}") for k, n in enumerate(names)],
+    )
+    joined = lines.join(other, "path", "left")
+    as_declared = F.col("header").isNull()
+    rows = joined.select(
+        F.when(as_declared, _parsed(names, sep)).alias("_r"),
+        F.when(~as_declared, fields_of(F.col("value"), sep)).alias("_f"),
+        "value", "header", HEADER_FAULTS, file_name(F.col("path")).alias(SOURCE_FILE), *[f"_at{k}" for k in range(len(names))],
+    )
+    own = lambda k: F.when(F.col(f"_at{k}") > 0, F.get("_f", F.col(f"_at{k}") - 1))
+    mapped = [F.coalesce(F.col("_r")[n], own(k)).alias(n) for k, n in enumerate(names)]
+    ragged = F.when(F.size("_f") != F.size("header"), F.col("value"))
+    empty = F.array().cast("array<struct<reason:string,column:string>>")
+    found = rows.select(
+        *mapped, F.coalesce(F.col("_r")[MALFORMED], ragged).alias(MALFORMED),
+        F.coalesce(HEADER_FAULTS, empty).alias(HEADER_FAULTS), SOURCE_FILE,
+    )
+    return missing_to_blank(found, names)
+
+
+def read_by_header(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], sep: str = ",", encoding: str = "UTF-8",
+    unknown: str = "reject", first: int = 0,
+) -> DataFrame:
+    """Files whose columns may stand in any order; see :func:`by_header`.  One scan of the text."""
+    lines, headers = text_lines(spark, path, encoding), header_names(spark, path, sep, encoding)
+    return by_header(lines, headers, names, sep, unknown, first)
 
 
 def read_entity(spark: SparkSession, path: str | list[str], config: EntityConfig) -> DataFrame:
-    """Raw text rows of one entity, columns named as declared, empty rows dropped."""
-    names = config.columns
+    """Raw text rows of one entity, empty rows dropped.
+
+    Columns are found by the names in each file's header line, or with ``force_column_names`` taken in the
+    declared order whatever the header says.  ``columns_to_select`` lets only the first columns of a file
+    count; ``unknown_columns`` says whether one that is not declared is a fault (``reject``) or left out (``drop``).
+    """
+    names, sep = config.columns, config.delimiter
+    how = (config.unknown_columns, config.columns_to_select)
     if config.header_row_number_to_select or config.remove_trailer_rows:
         row = config.header_row_number_to_select
-        lines = skip_header_rows(numbered_lines(spark, path), row)
-        lines = trailer_rows(lines, config.remove_trailer_rows, row)
-        raw = parse_lines(lines, names, config.delimiter)
+        numbered = numbered_lines(spark, path)
+        lines = trailer_rows(skip_header_rows(numbered, row), config.remove_trailer_rows, row)
+        if config.force_column_names:
+            raw = parse_lines(lines, names, sep)
+        else:
+            headers = numbered.where(F.col("line") == row).select("path", F.transform(fields_of(F.col("value"), sep), lambda h: F.trim(h)).alias("header"))
+            raw = by_header(lines, headers, names, sep, *how)
+    elif config.force_column_names:
+        raw = read_delimited(spark, path, names, sep, encoding=config.encoding, with_source=True, malformed=MALFORMED)
     else:
-        raw = read_delimited(
-            spark, path, names, config.delimiter, encoding=config.encoding, with_source=True, malformed=MALFORMED
-        )
-    keep = [c for c in raw.columns if c != SOURCE_FILE]
-    return raw.filter(_any_filled(keep))
+        raw = read_by_header(spark, path, names, sep, config.encoding, *how)
+    kept = _any_filled([*names, MALFORMED])
+    return raw.filter(kept | (F.size(HEADER_FAULTS) > 0) if HEADER_FAULTS in raw.columns else kept)
 
 
 def _any_filled(names: Sequence[str]) -> Column:
@@ -173,22 +284,15 @@ def read_tables(
     return {name: read_entity(spark, path, config) for name, config in tables.items()}
 
 
-def list_landing(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """``path, length, modificationTime`` of landed files; contents are not read.
+def list_landing(spark: SparkSession, path: str | list[str], glob: str = "*", slices: int = 1) -> DataFrame:
+    """``path, length, modificationTime`` of landed files, empty ones too; contents are not read."""
+    found = landed_files(spark, path, glob, slices=slices)
+    return found.withColumn("path", _same_path(F.col("path")))
 
-    Spark skips empty files when it scans, and an empty file is what one of the
-    admission rules looks for, so the names Spark itself listed are joined in:
-    a name without a scanned row is an empty file, its time unknown.
-    """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    scanned = found.select(_same_path(F.col("path")).alias("path"), "length", "modificationTime")
-    encoded = F.replace(F.col("uri"), F.lit("+"), F.lit("%2B"))
-    listed = spark.createDataFrame([(uri,) for uri in found.inputFiles()], "uri string").select(
-        _same_path(F.url_decode(encoded)).alias("path")
-    )
-    return listed.join(scanned, "path", "left").select(
-        "path", F.coalesce("length", F.lit(0)).alias("length"), "modificationTime"
-    )
+
+def file_path() -> Column:
+    """The file a row was read from, named as listings name it."""
+    return _same_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
 def _same_path(c: Column) -> Column:

@@ -179,3 +179,105 @@ def test_batch_ids(spark):
     day = F.lit(dt.date(2024, 3, 1))
     got = spark.range(1).select(audit.batch_id("EMEA", day), audit.batch_id("WW", day)).collect()[0]
     assert tuple(got) == ("EMEABatch_20240301", "WW_Batch_20240301")
+
+
+# ---------------------------------------------------------------- landing source and headers
+
+
+def test_first_lines_are_read_without_the_rest(tmp_path):
+    """Only the pieces up to the line break are fetched, however long the file."""
+    from pyarrow import fs
+
+    from landflow.sources import landing
+
+    path = write(tmp_path, "big.csv", "id,v\r\n" + "x" * 3_000_000)
+    read = []
+
+    class Counting:
+        def open_input_stream(self, name):
+            stream = fs.LocalFileSystem().open_input_stream(name)
+
+            class Stream:
+                def __enter__(self):
+                    return self
+
+                def __exit__(self, *_):
+                    stream.close()
+
+                def read(self, n):
+                    read.append(n)
+                    return stream.read(n)
+
+            return Stream()
+
+    assert landing.first_line(Counting(), str(path)) == b"id,v"
+    assert sum(read) == landing.PIECE
+
+
+def test_listing_has_a_partition_for_each_folder_and_keeps_empty_files(spark, tmp_path):
+    for folder in ("a", "a/deep", "b", "_hidden"):
+        (tmp_path / folder).mkdir()
+        for name in ("one.csv", "two.csv", "none.csv", ".crc", "x.txt"):
+            write(tmp_path / folder, name, "" if name == "none.csv" else "id,v\n1,2\n")
+    got = readers.list_landing(spark, str(tmp_path), "*.csv")
+    assert got.rdd.getNumPartitions() == 4  # the root and three folders
+    found = got.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1), "length", F.col("modificationTime").isNotNull())
+    want = [(f"{d}/{n}", 0 if n == "none.csv" else 9, True) for d in ("a", "deep", "b") for n in ("one.csv", "two.csv", "none.csv")]
+    assert rows(found) == sorted(want)
+    assert rows(readers.list_landing(spark, f"{tmp_path}/[ab]", "*.csv", slices=3).select("length")) == [(0,)] * 3 + [(9,)] * 6
+    assert readers.list_landing(spark, f"{tmp_path}/a/*.txt").count() == 1
+    assert readers.list_landing(spark, f"{tmp_path}/a/one.csv").count() == 1
+    with pytest.raises(Exception, match="FileNotFound"):
+        readers.list_landing(spark, f"{tmp_path}/gone").count()
+
+
+def test_header_names_of_quoted_and_latin_headers(spark, tmp_path):
+    write(tmp_path, "a.csv", 'id;"a;b";"say ""x"""\n1;2;3\n', "latin-1")
+    write(tmp_path, "b.csv", "é;ü", "latin-1")
+    write(tmp_path, "c.csv", "")
+    got = readers.header_names(spark, str(tmp_path), ";", "ISO-8859-1").select("header")
+    assert sorted(r[0] for r in got.collect()) == [[], ["id", "a;b", 'say "x"'], ["é", "ü"]]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    write(tmp_path, "a.csv", 'price,order_id,customer\n5,o1,"c,1"\n6,o2\n7,o3,c3,more\n')
+    write(tmp_path, "b.csv", "order_id,price,customer\no4,8,c4\n")
+    write(tmp_path, "c.csv", "order_id,,customer,price,Unnamed: 4\no5,z,c5,9,y\n")
+    write(tmp_path, "d.csv", " order_id , customer\no6,c6\n")
+    config = EntityConfig(required_column_list=("order_id", "price", "customer"))
+    got = readers.read_entity(spark, str(tmp_path), config)
+    shown = got.select("order_id", "price", "customer", F.col(readers.MALFORMED).isNotNull().alias("bad"), F.col(f"{readers.HEADER_FAULTS}.reason").alias("faults"))
+    assert sorted(map(tuple, shown.collect()), key=str) == sorted(
+        [
+            ("o1", "5", "c,1", False, []), ("o2", "6", "", True, []), ("o3", "7", "c3", True, []), ("o4", "8", "c4", False, []),
+            ("o5", "9", "c5", False, []), ("o6", "", "c6", False, ["price_missing_in_header"]),
+        ],
+        key=str,
+    )
+    few = readers.read_entity(spark, str(tmp_path / "c.csv"), EntityConfig(required_column_list=("order_id", "customer"), columns_to_select=3))
+    assert [tuple(r[:2]) for r in few.collect()] == [("o5", "c5")]
+    assert few.first()[readers.HEADER_FAULTS] == []
+    forced = readers.read_entity(spark, str(tmp_path / "a.csv"), EntityConfig(required_column_list=("x", "y", "z"), force_column_names=True))
+    assert ("5", "o1", "c,1") in [tuple(r[:3]) for r in forced.collect()]
+
+
+def test_header_in_a_later_line_is_resolved_too(spark, tmp_path, small_blocks):
+    body = "".join(f"v{i};{i}\n" for i in range(200))
+    write(tmp_path, "a.csv", "title\nv;id\n" + body + "total\n")
+    config = EntityConfig(required_column_list=("id", "v"), delimiter=";", header_row_number_to_select=1, remove_trailer_rows=-1)
+    got = readers.read_entity(spark, str(tmp_path), config).select("id", "v")
+    assert rows(got) == sorted(((str(i), f"v{i}") for i in range(200)), key=str)
+
+
+def test_lines_are_numbered_from_one_scan(spark, tmp_path, small_blocks):
+    """The text is read once, by the write of the lines; the plan over it reads what was written."""
+    write(tmp_path, "a.txt", "".join(f"{i}\n" for i in range(300)))
+    plan = readers.numbered_lines(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "FileScan text" not in plan and "FileScan parquet" in plan
+
+
+def test_fields_of_a_line(spark):
+    lines = ['a,b', ',', '', '"x,""y""",z', 'a"b,c', '"ab"c,d', ',,x', '"open,b', "é,😀"]
+    got = spark.createDataFrame([(x,) for x in lines], "v string").select(readers.fields_of(F.col("v"), ","))
+    want = [["a", "b"], ["", ""], [""], ['x,"y"', "z"], ['a"b', "c"], ['"ab"c', "d"], ["", "", "x"], ['"open', "b"], ["é", "😀"]]
+    assert [r[0] for r in got.collect()] == want
