@@ -140,3 +140,89 @@ def replay_rule(spark, d):
     published = rows.where(F.col("event_type").isin("click", "view"))
     marked = R.replay_rule(rows, published, ["event_id"], "ts", "event_type")
     return marked.select("event_id", F.get(R.REJECTS, F.lit(0))["reason"].alias("reject_reason"))
+
+
+# ---------------------------------------------------------------- long life: crashes, re-extracts, older versions
+
+_MARKED = ["o_orderkey", "CAST(o_orderdate AS TIMESTAMP) AS modified", "o_orderstatus AS marker"]
+_BY_DATE = HistorySpec(keys=("o_orderkey",), change_column="marker", order_column="modified")
+_THIRD = "o_orderkey % 3 = 0"
+
+
+def _later(rows, suffix):
+    """Every third row, a year later and with another marker."""
+    return rows.where(_THIRD).withColumns({"modified": F.expr("modified + INTERVAL 1 YEAR"), "marker": F.concat("marker", F.lit(suffix))})
+
+
+def _three_versions(spark, d, label):
+    """A table with three batches: all orders, then every third changed twice."""
+    path = f"{scratch_path(spark, label)}/table"
+    rows = table(spark, d, "orders").selectExpr(*_MARKED)
+    second = _later(rows, "x")
+    for batch, part, run in (("b1", rows, RUN_1), ("b2", second, RUN_2), ("b3", _later(second, "y"), _RUN_3)):
+        publish.publish_history(part, path, _BY_DATE, run, batch, parts=8)
+    return path
+
+
+_RUN_3 = utc("2024-03-03 06:00:00")
+_SHOWN = ["o_orderkey", "marker", "version", "is_current_fg"]
+_VERSIONS = {
+    1: "SELECT o_orderkey, o_orderstatus AS marker, 1 AS version, {flag} AS is_current_fg FROM orders",
+    2: f"SELECT o_orderkey, o_orderstatus || 'x' AS marker, 2 AS version, {{flag}} AS is_current_fg FROM orders WHERE {_THIRD}",
+    3: f"SELECT o_orderkey, o_orderstatus || 'xy' AS marker, 3 AS version, {{flag}} AS is_current_fg FROM orders WHERE {_THIRD}",
+}
+
+
+def _at_version(n):
+    """SQL of the table's rows when ``n`` batches were published."""
+    flag = f"CASE WHEN {_THIRD} THEN 'N' ELSE 'Y' END"
+    return " UNION ALL ".join(_VERSIONS[v].format(flag="'Y'" if v == n else flag if v == 1 else "'N'") for v in range(1, n + 1))
+
+
+@query("published_as_of", "J7 J1", f"SELECT *, 'by version' AS how FROM ({_at_version(2)}) UNION ALL SELECT *, 'by time' FROM ({_at_version(1)})")
+def published_as_of(spark, d):
+    """The table as it was published, by its version and by a moment between two runs."""
+    path = _three_versions(spark, d, "as_of")
+    one = publish.read_published(spark, path, as_of=2).select(*_SHOWN, F.lit("by version").alias("how"))
+    return one.unionAll(publish.read_published(spark, path, as_of=utc("2024-03-01 18:00:00")).select(*_SHOWN, F.lit("by time")))
+
+
+@query("published_rollback", "J8 J1", _at_version(2))
+def published_rollback(spark, d):
+    """Rolled back to its first version; the second batch is then published again, and brings the same rows."""
+    path = _three_versions(spark, d, "rolled")
+    publish.rollback_published(spark, path, 1, utc("2024-03-04 06:00:00"))
+    rows = _later(table(spark, d, "orders").selectExpr(*_MARKED), "x")
+    publish.publish_history(rows, path, _BY_DATE, utc("2024-03-05 06:00:00"), "again", parts=8)
+    return publish.read_published(spark, path).select(*_SHOWN)
+
+
+@query("published_vacuum", "J7 J1", f"SELECT *, true AS smaller FROM ({_at_version(3)})")
+def published_vacuum(spark, d):
+    """Folders that no kept version names are gone, the newest version has all its rows."""
+    path = _three_versions(spark, d, "vacuumed")
+    gone = publish.vacuum_published(spark, path)
+    return publish.read_published(spark, path).select(*_SHOWN, F.lit(any(name.startswith("0") for name in gone)).alias("smaller"))
+
+
+@query("publish_reextract", "J1 J2", "SELECT count(*) AS unchanged, 0 AS stale, 0 AS versions, 1 AS manifests FROM orders")
+def publish_reextract(spark, d):
+    """The same extract once more: every row is unchanged, none is refused as old, and nothing is written."""
+    path = f"{scratch_path(spark, 'reextract')}/table"
+    rows = table(spark, d, "orders").selectExpr(*_MARKED)
+    publish.publish_history(rows, path, _BY_DATE, RUN_1, "b1", parts=8)
+    done = publish.publish_history(rows, path, _BY_DATE, RUN_2, "b2", parts=8)
+    found = (done.unchanged, done.stale, done.versions, len(publish.manifests(spark, path)))
+    return spark.createDataFrame([found], "unchanged long, stale int, versions int, manifests int")
+
+
+@query("publish_after_crash", "J1 A7", _at_version(2))
+def publish_after_crash(spark, d):
+    """A driver died while it wrote the second manifest: its remains are there, and the batch is published again."""
+    path = f"{scratch_path(spark, 'crashed')}/table"
+    rows = table(spark, d, "orders").selectExpr(*_MARKED)
+    publish.publish_history(rows, path, _BY_DATE, RUN_1, "b1", parts=8)
+    half = spark.range(1).select(F.lit(2).cast("long").alias("version"), F.lit("current").alias("kind"), F.lit(0).alias("part"), F.lit("nowhere").alias("folder"))
+    half.write.json(f"{path}/manifest/000000000002-change-dead/_temporary/0")
+    publish.publish_history(_later(rows, "x"), path, _BY_DATE, RUN_2, "b2", parts=8)
+    return publish.read_published(spark, path).select(*_SHOWN)

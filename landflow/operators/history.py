@@ -158,7 +158,8 @@ def versions_of_batch(
     next one starts.  Column ``_kind`` of the result tells what becomes of a row:
 
     * ``current``: in force afterwards; ``closed``: ended by this batch;
-    * ``unchanged``: a repeat of the row before it; ``stale``: not newer than the current row;
+    * ``unchanged``: a repeat of the row before it, or of the current row whatever its time;
+    * ``stale``: not newer than the current row, and unlike it;
     * ``conflict``: one of several unlike rows of a key where no order column says which comes first.
 
     No row of the batch is left out.  ``_brought`` tells the batch's rows from the current ones.
@@ -179,7 +180,8 @@ def versions_of_batch(
     if spec.order_column:
         held = F.max(F.when(~F.col("_brought"), order)).over(family)
         late = F.col("_brought") & F.coalesce(order <= held, F.lit(False))
-        refused = F.when(late, "stale")
+        held_marker = F.max(F.when(~F.col("_brought"), F.struct(marker))).over(family)
+        refused = F.when(late & F.struct(marker).eqNullSafe(held_marker), "unchanged").when(late, "stale")
     else:
         brought = F.when(F.col("_brought"), F.coalesce(marker.cast("string"), F.lit("")))
         unlike = (F.min(brought).over(family) != F.max(brought).over(family)) | (

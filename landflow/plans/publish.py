@@ -3,35 +3,46 @@
 Layout of a history table::
 
     <path>/batches/<batch>-<unique>/kind=current|closed|.../part=<part>/   what one batch wrote
-    <path>/manifest/version=<n>/                                           where the rows are
+    <path>/manifest/<version>-change|full|base-<unique>/                   where the rows are
 
 ``part`` is computed from the key, so a batch reads and rewrites only the parts it touches.  A batch
-writes to a new folder that nobody reads; then one task writes the next manifest, which names the
-folder of every part and of every batch's closed versions.  Until that file is in place the table is
-the old one, afterwards it is the new one; a batch that dies before leaves an unused folder behind.
-One writer at a time is assumed.
+writes to a new folder that nobody reads; then the next manifest names what it replaces or adds.  A
+manifest counts once Spark has marked its folder as complete: before that the table is the old one,
+afterwards it is the new one, and whatever a batch that died has left has another name.
+
+Most manifests hold the changes of one batch.  Every ``FULL_EVERY``-th names the current folder of each
+part, so the next batch reads that one and the changes since, whatever the table's age.  Folders of closed
+versions are named once, by the batch that closed them; a ``base`` manifest, which a roll back or a
+vacuum writes, names all of them and starts that list anew.  One writer at a time is assumed; two
+manifests of one version are an error, unless the second is the ``base`` of a vacuum.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landflow.functions.literals import moment
 from landflow.operators.history import HistorySpec, first_load, versions_of_batch
 from landflow.operators.joins import key_columns, with_keys
-from landflow.operators.projection import quoted
+from landflow.operators.projection import cols, quoted
+from landflow.session import scratch_path
+from landflow.sources import commits
 
 PART = "part"
 #: Stands for a part that is null, such as the month of a missing key date.
 NO_PART = -1
-MANIFEST = "version long, kind string, part int, folder string"
+#: ``folder`` is null where a part has no rows any more; ``at`` is when the table came to this version.
+MANIFEST = "version long, at timestamp, kind string, part int, folder string, rows long"
+#: Batches from one manifest that names all current folders to the next.
+FULL_EVERY = 16
+CHANGE, FULL, BASE = "change", "full", "base"
 
 
 @dataclass(frozen=True)
@@ -45,7 +56,9 @@ class Published:
     unchanged: int
     stale: int
     conflicts: int
-    rejects: str
+    #: folder of the batch, None if nothing was written
+    rejects: str | None
+    previous: int = 0
 
 
 def hash_part(spec: HistorySpec, parts: int) -> Column:
@@ -53,52 +66,158 @@ def hash_part(spec: HistorySpec, parts: int) -> Column:
     return F.pmod(F.xxhash64(*key_columns(spec.keys, spec.date_keys).values()), F.lit(parts)).cast("int")
 
 
-def _absent(error: AnalysisException) -> bool:
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+# ------------------------------------------------------------------ manifests
 
 
-def read_manifest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Where the table's rows are: the latest manifest, or a given one; empty before the first batch."""
-    try:
-        entries = spark.read.schema(MANIFEST).json(f"{path}/manifest")
-        newest = entries.select(F.max("version")).first()[0] if version is None else version
-    except AnalysisException as error:
-        if not _absent(error):
-            raise
+@dataclass(frozen=True)
+class Manifest:
+    """A complete manifest, as its folder's name tells."""
+
+    version: int
+    form: str
+    name: str
+
+
+def manifests(spark: SparkSession, path: str) -> list[Manifest]:
+    """All complete manifests, oldest first."""
+    found: dict[int, Manifest] = {}
+    for name in commits.committed(spark, f"{path}/manifest"):
+        version, form, _ = name.split("-", 2)
+        new, old = Manifest(int(version), form, name), found.get(int(version))
+        if old and (old.form == BASE) == (form == BASE):
+            raise ValueError(f"two writers have published the same version of {path}")
+        found[new.version] = old if old and old.form == BASE else new
+    return [found[version] for version in sorted(found)]
+
+
+def _upto(spark: SparkSession, path: str, version: int | None) -> list[Manifest]:
+    found = manifests(spark, path)
+    if version is None:
+        return found
+    if version not in {m.version for m in found}:
+        raise ValueError(f"{path} has no version {version}")
+    return [m for m in found if m.version <= version]
+
+
+def _since(found: Sequence[Manifest], *forms: str) -> list[Manifest]:
+    """The manifests from the newest of these forms on."""
+    start = max((k for k, m in enumerate(found) if m.form in forms), default=0)
+    return list(found[start:])
+
+
+def _entries(spark: SparkSession, path: str, chosen: Sequence[Manifest], kind: str) -> DataFrame:
+    if not chosen:
         return spark.createDataFrame([], MANIFEST)
-    return entries.where(F.col("version") == newest)
+    rows = spark.read.schema(MANIFEST).json([f"{path}/manifest/{m.name}" for m in chosen])
+    return rows.where(F.col("kind") == kind)
+
+
+def _current(spark: SparkSession, path: str, found: Sequence[Manifest], parts: DataFrame | None = None) -> dict[int | None, tuple[str, int]]:
+    """Folder and rows of each part (of those in ``parts``): the newest that the manifests name."""
+    entries = _entries(spark, path, _since(found, FULL, BASE), "current")
+    if parts is not None:
+        entries = entries.join(parts, PART, "left_semi")
+    newest = entries.groupBy(PART).agg(F.max_by(F.struct("folder", "rows"), "version").alias("e"))
+    return {r[PART]: tuple(r["e"]) for r in newest.collect()}  # a row for each part
+
 
+def _folders(current: dict[int | None, tuple[str, int]]) -> list[str]:
+    return [folder for folder, _ in current.values()]
 
-def _folders(manifest: DataFrame, kind: str) -> list[str]:
-    """Folders of one kind: at most one for each part, or for each batch."""
-    rows = manifest.where(F.col("kind") == kind).select("folder", PART).distinct().collect()
-    return [r["folder"] for r in rows]
 
+def _closed_folders(spark: SparkSession, path: str, found: Sequence[Manifest]) -> list[str]:
+    """Folders of closed versions: one for each batch that closed any."""
+    entries = _entries(spark, path, _since(found, BASE), "closed")
+    return sorted(r["folder"] for r in entries.select("folder").distinct().collect())
 
-def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The schema that the table was last written with."""
-    row = read_manifest(spark, path).where("kind = 'schema'").select("folder").first()
+
+def _write_manifest(
+    spark: SparkSession, path: str, found: Sequence[Manifest], form: str, entries: list[tuple],
+    at: dt.datetime | None = None, version: int | None = None,
+) -> Manifest:
+    """The next manifest, complete or not there.  ``entries``: kind, part, folder, rows."""
+    if version is None:
+        version = found[-1].version + 1 if found else 1
+    rows = spark.createDataFrame(entries, "kind string, part int, folder string, rows long")
+    time = F.lit(None) if at is None else moment(at)
+    stamped = rows.select(F.lit(version).cast("long").alias("version"), time.cast("timestamp").alias("at"), "*")
+    name = commits.unique(f"{version:012d}-{form}")
+    stamped.coalesce(1).write.json(f"{path}/manifest/{name}")
+    return Manifest(version, form, name)
+
+
+def _commit(
+    spark: SparkSession, path: str, found: list[Manifest], fresh: list[tuple], schema: T.StructType, at: dt.datetime
+) -> None:
+    """A batch's changes; after ``FULL_EVERY`` of them, all current folders."""
+    form = CHANGE
+    if len(_since(found, FULL, BASE)) >= FULL_EVERY:
+        form = FULL
+        named = _current(spark, path, found) | {e[1]: e[2:] for e in fresh if e[0] == "current"}
+        fresh = [e for e in fresh if e[0] != "current"] + [("current", part, *e) for part, e in named.items()]
+    _write_manifest(spark, path, found, form, [*fresh, ("schema", None, schema.json(), None)], at)
+
+
+# ------------------------------------------------------------------ reading
+
+
+def stored_schema(spark: SparkSession, path: str, version: int | None = None) -> T.StructType | None:
+    """The schema that the table was last written with, or had at a version."""
+    return _schema_of(spark, path, _upto(spark, path, version))
+
+
+def _schema_of(spark: SparkSession, path: str, found: Sequence[Manifest]) -> T.StructType | None:
+    row = _entries(spark, path, found[-1:], "schema").select("folder").first()
     return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 
 def _read(spark: SparkSession, folders: list[str], schema: T.StructType) -> DataFrame:
     if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders).select(*[quoted(f.name) for f in schema.fields])
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+    return rows.select(*cols(f.name for f in schema.fields))
+
 
+def read_current(spark: SparkSession, path: str, schema: T.StructType, as_of: int | dt.datetime | None = None) -> DataFrame:
+    found = _upto(spark, path, _version_at(spark, path, as_of))
+    return _read(spark, _folders(_current(spark, path, found)), schema)
 
-def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _read(spark, _folders(read_manifest(spark, path), "current"), schema)
 
+def read_history(spark: SparkSession, path: str, schema: T.StructType, as_of: int | dt.datetime | None = None) -> DataFrame:
+    found = _upto(spark, path, _version_at(spark, path, as_of))
+    return _read(spark, _closed_folders(spark, path, found), schema)
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _read(spark, _folders(read_manifest(spark, path), "closed"), schema)
+
+def read_published(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, as_of: int | dt.datetime | None = None
+) -> DataFrame:
+    """All versions of the rows, current and closed, as of one manifest.
+
+    ``as_of`` is a version of the table or a time: then the newest version published up to it.  Without a
+    schema the rows have the columns that the table had then.
+    """
+    found = _upto(spark, path, _version_at(spark, path, as_of))
+    kind = schema or _schema_of(spark, path, found)
+    if kind is None:
+        raise ValueError(f"nothing is published at {path}")
+    return _read(spark, [*_folders(_current(spark, path, found)), *_closed_folders(spark, path, found)], kind)
 
 
-def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All versions, current and closed, as of one manifest."""
-    manifest = read_manifest(spark, path)
-    return _read(spark, _folders(manifest, "current") + _folders(manifest, "closed"), schema)
+def published_versions(spark: SparkSession, path: str) -> DataFrame:
+    """``version, at, form`` of the versions that can be read and rolled back to."""
+    found = manifests(spark, path)
+    forms = spark.createDataFrame([(m.version, m.form) for m in found], "version long, form string")
+    return forms.join(_entries(spark, path, found, "schema").select("version", "at"), "version").select("version", "at", "form")
+
+
+def _version_at(spark: SparkSession, path: str, as_of: int | dt.datetime | None) -> int | None:
+    if not isinstance(as_of, dt.datetime):
+        return as_of
+    entries = _entries(spark, path, manifests(spark, path), "schema").where(F.col("at") <= moment(as_of))
+    version = entries.agg(F.max("version")).first()[0]
+    if version is None:
+        raise ValueError(f"{path} had no version at {as_of}")
+    return version
 
 
 def published_schema(staging: DataFrame, spec: HistorySpec) -> T.StructType:
@@ -107,6 +226,60 @@ def published_schema(staging: DataFrame, spec: HistorySpec) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in loaded.fields])
 
 
+# ------------------------------------------------------------------ older versions
+
+
+def rollback_published(spark: SparkSession, path: str, version: int, run_ts: dt.datetime) -> int:
+    """Make the table what it was at ``version``: a new version that names the folders of that one.
+
+    Nothing is rewritten or removed, so this can be undone by rolling back to a later version.
+    """
+    then = _upto(spark, path, version)
+    return _write_manifest(spark, path, manifests(spark, path), BASE, _all_entries(spark, path, then), run_ts).version
+
+
+def _all_entries(spark: SparkSession, path: str, found: Sequence[Manifest]) -> list[tuple]:
+    entries = [("current", part, *e) for part, e in _current(spark, path, found).items()]
+    entries += [("closed", None, folder, None) for folder in _closed_folders(spark, path, found)]
+    schema = _schema_of(spark, path, found)
+    return entries + ([("schema", None, schema.json(), None)] if schema else [])
+
+
+def vacuum_published(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Remove manifests older than the newest ``keep`` versions, and batches that no kept one names.
+
+    The oldest kept version is first written as a ``base``, which needs none before it and stands for the
+    version from then on.  What a batch that died has left goes as well, so no batch may be running.
+    Returns the names of the removed folders.
+    """
+    if keep < 1:
+        raise ValueError("at least the newest version must be kept")
+    found = manifests(spark, path)
+    kept, older = found[-keep:], found[:-keep]
+    if not kept:
+        return []
+    named: set[str] = set()
+    for m in kept:
+        upto = [x for x in found if x.version <= m.version]
+        named |= {*_folders(_current(spark, path, upto)), *_closed_folders(spark, path, upto)}
+    if older and kept[0].form != BASE:
+        at = _entries(spark, path, kept[:1], "schema").select("at").first()[0]
+        entries = _all_entries(spark, path, [*older, kept[0]])
+        kept[0] = _write_manifest(spark, path, found, BASE, entries, at, kept[0].version)
+    stay = {m.name for m in kept}
+    batches = {folder.removeprefix(f"{path}/batches/").split("/", 1)[0] for folder in named}
+    gone = []
+    for place, wanted in (("manifest", stay), ("batches", batches)):
+        for name in commits.folders(spark, f"{path}/{place}"):
+            if name not in wanted:
+                commits.remove(spark, f"{path}/{place}/{name}")
+                gone.append(name)
+    return gone
+
+
+# ------------------------------------------------------------------ writing
+
+
 def _widened(stored: T.StructType | None, offered: T.StructType) -> T.StructType:
     """The stored columns, then new ones; a column that changes its type is an error."""
     if stored is None:
@@ -127,6 +300,24 @@ def _filled(staging: DataFrame, current: DataFrame, spec: HistorySpec, missing:
     return with_keys(staging, spec.keys, spec.date_keys).join(held, keys, "left")
 
 
+def changed_keys(current: DataFrame, staging: DataFrame, spec: HistorySpec, part: Column) -> DataFrame:
+    """One narrow row for each key of a batch: its part, its number of rows, and whether whole rows are needed.
+
+    They are not where the key is current and all its rows carry the current marker.  Only keys, markers
+    and parts are shuffled, after a partial aggregation.
+    """
+    keys = list(key_columns(spec.keys))
+    marker = F.col(quoted(spec.change_column))
+    old = with_keys(current, spec.keys, spec.date_keys).select(*keys, F.lit(0).alias("_n"), marker.alias("_marker"), F.lit(None).cast("int").alias(PART))
+    new = with_keys(staging, spec.keys, spec.date_keys).select(*keys, F.lit(1).alias("_n"), marker.alias("_marker"), part.alias(PART))
+    brought, m = F.col("_n") == 1, F.struct("_marker")
+    held = F.max(F.when(~brought, m))
+    low, high = F.min(F.when(brought, m)), F.max(F.when(brought, m))
+    found = old.unionByName(new).groupBy(*keys).agg(F.sum("_n").alias("_n"), F.max(PART).alias(PART), held.alias("_held"), low.alias("_low"), high.alias("_high"))
+    same = F.col("_held").isNotNull() & F.col("_low").eqNullSafe(F.col("_held")) & F.col("_high").eqNullSafe(F.col("_held"))
+    return found.where("_n > 0").select(*keys, "_n", PART, (~same).alias("_needed"))
+
+
 def publish_history(
     staging: DataFrame,
     path: str,
@@ -135,7 +326,6 @@ def publish_history(
     batch: str,
     parts: int = 64,
     part: Column | None = None,
-    files_per_part: int = 1,
 ) -> Published:
     """Merge a batch into the table at ``path``.
 
@@ -143,30 +333,51 @@ def publish_history(
     versions one after the other.  Without an order column, unlike rows of one key are refused.
     Refused rows are written beside the versions, with ``_kind`` as the reason, and counted.
 
-    ``part`` may name another function of the key columns, such as the month of a key date, so that
-    hourly batches touch few parts.  Rows are shuffled by key, for the versions, and by part, which
-    bounds the number of files: ``files_per_part`` for each part touched and kind.
+    Two phases: keys with their markers alone tell which keys change (:func:`changed_keys`); whole rows are
+    shuffled for these only, and the others' current rows are copied where their part is rewritten.  A part
+    without a change is not touched, and a batch without any writes no rows.  ``part`` may name another
+    function of the key columns, such as the month of a key date, so that hourly batches touch few parts.
+    Spark sizes the files of a part by bytes and splits large parts.
     """
     spark = staging.sparkSession
     generated = set(spec.generated())
-    schema = _widened(stored_schema(spark, path), published_schema(staging, spec))
-    manifest = read_manifest(spark, path)
+    found = manifests(spark, path)
+    stored = _schema_of(spark, path, found)
+    schema = _widened(stored, published_schema(staging, spec))
+    keys = list(key_columns(spec.keys))
     where = F.coalesce((part if part is not None else hash_part(spec, parts)).cast("int"), F.lit(NO_PART))
-    touched = staging.select(where.alias(PART)).distinct()
-    held = manifest.where("kind = 'current'")
-    folders = _folders(held.join(touched, PART, "left_semi"), "current")
-    current = _read(spark, folders, schema)
+    everywhere = _current(spark, path, found)
+    previous = sum(n for _, n in everywhere.values())
+    held, offered = with_keys(_read(spark, [], schema), spec.keys, spec.date_keys), with_keys(staging, spec.keys, spec.date_keys)
+    theirs, copied, unchanged = held, None, 0
+    if everywhere:
+        stored_parts = spark.createDataFrame([(p, *e) for p, e in everywhere.items()], "part int, folder string, rows long")
+        parts_here = staging.select(where.alias(PART)).distinct().join(stored_parts, PART).collect()  # a row for each part
+        told = scratch_path(spark, "changed-keys")
+        changed_keys(_read(spark, [r["folder"] for r in parts_here], schema), staging, spec, where).write.parquet(told)
+        told = spark.read.parquet(told)
+        sums = told.groupBy(PART).agg(F.sum(F.when(~F.col("_needed"), F.col("_n"))).alias("unchanged"), F.bool_or("_needed").alias("touched"))
+        sums = sums.collect()  # a row for each part
+        unchanged = sum(r["unchanged"] or 0 for r in sums)
+        if not any(r["touched"] for r in sums):
+            if stored != schema:
+                _commit(spark, path, found, [], schema, run_ts)
+            return Published(schema, 0, 0, 0, unchanged, 0, 0, None, previous)
+        touched = [everywhere[r[PART]][0] for r in sums if r["touched"] and r[PART] in everywhere]
+        needed = told.where("_needed").select(*keys)
+        held = with_keys(_read(spark, touched, schema), spec.keys, spec.date_keys)
+        theirs, offered = held.join(needed, keys, "left_semi"), offered.join(needed, keys, "left_semi")
+        copied = held.join(needed, keys, "left_anti")
     given = set(staging.columns)
     missing = [f for f in schema.fields if f.name not in given and f.name not in generated]
-    offered = _filled(staging, current, spec, missing)
-    offered = offered.select(*[quoted(f.name) for f in schema.fields if f.name not in generated])
-
-    rows = versions_of_batch(current, offered, spec, run_ts)
+    offered = _filled(offered, theirs, spec, missing)
+    offered = offered.select(*keys, *[quoted(f.name) for f in schema.fields if f.name not in generated])
+    rows = versions_of_batch(theirs, offered, spec, run_ts)
+    if copied is not None:
+        rows = rows.unionByName(copied.drop(*keys).withColumns({"_kind": F.lit("current"), "_brought": F.lit(False)}))
     rows = rows.withColumn(PART, where).withColumn("kind", F.col("_kind"))
-    home = f"{path}/batches/{batch}-{uuid.uuid4().hex}"
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nth_file = F.pmod(F.xxhash64(*key_columns(spec.keys, spec.date_keys).values()), F.lit(files_per_part))
-    rows.repartition(slots, "kind", PART, nth_file).write.partitionBy("kind", PART).parquet(home)
+    home = f"{path}/batches/{commits.unique(batch)}"
+    rows.hint("rebalance", "kind", PART).write.partitionBy("kind", PART).parquet(home)
 
     written = spark.read.schema(
         T.StructType([*schema.fields, T.StructField("_kind", T.StringType()), T.StructField("_brought", T.BooleanType()), T.StructField("kind", T.StringType()), T.StructField(PART, T.IntegerType())])
@@ -177,29 +388,30 @@ def publish_history(
     )
     counted = counted.collect()  # a row for each part and kind
     total = lambda kind, column="n": sum(r[column] for r in counted if r["kind"] == kind)
-    at = lambda r: f"{home}/kind={r['kind']}/{PART}={r[PART]}"
-    fresh = [("current", r[PART], at(r)) for r in counted if r["kind"] == "current"]
-    fresh += [("closed", r[PART], at(r)) for r in counted if r["kind"] == "closed"]
-    kept = manifest.where("kind = 'closed'").union(held.join(touched, PART, "left_anti").select(*manifest.columns))
-    _write_manifest(spark, path, manifest, kept, [*fresh, ("schema", None, schema.json())])
+    fresh = [("current", r[PART], f"{home}/kind=current/{PART}={r[PART]}", r["n"]) for r in counted if r["kind"] == "current"]
+    fresh += [("closed", None, f"{home}/kind=closed", total("closed"))] if total("closed") else []
+    _commit(spark, path, found, fresh, schema, run_ts)
     updated = total("closed") - total("closed", "brought")  # each changed key had one current row
     brought = total("current", "brought") + total("closed", "brought")
+    refused = {kind: total(kind) for kind in ("stale", "conflict")}
     return Published(
         schema=schema,
         inserted=total("current", "brought") - updated,
         updated=updated,
         versions=brought,
-        unchanged=total("unchanged"),
-        stale=total("stale"),
-        conflicts=total("conflict"),
+        unchanged=unchanged + total("unchanged"),
+        stale=refused["stale"],
+        conflicts=refused["conflict"],
         rejects=home,
+        previous=previous,
     )
 
 
-def publish_full(staging: DataFrame, path: str, batch: str) -> Published:
+def publish_full(staging: DataFrame, path: str, batch: str, run_ts: dt.datetime | None = None) -> Published:
     """Replace the table by the batch, in the table's columns and types; readers see the old or the new one."""
     spark = staging.sparkSession
-    stored = stored_schema(spark, path)
+    found = manifests(spark, path)
+    stored = _schema_of(spark, path, found)
     rows = staging
     if stored is not None:
         kinds = [(f.name, f.dataType) for f in stored.fields]
@@ -207,28 +419,18 @@ def publish_full(staging: DataFrame, path: str, batch: str) -> Published:
         rows = staging.withColumns({n: F.lit(None) for n in lacking}) if lacking else staging
         rows = rows.select(*[F.col(quoted(name)).cast(kind).alias(name) for name, kind in kinds])
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-    home = f"{path}/batches/{batch}-{uuid.uuid4().hex}"
+    home = f"{path}/batches/{commits.unique(batch)}"
     rows.write.parquet(home)
     count = spark.read.schema(schema).parquet(home).count()
-    manifest = read_manifest(spark, path)
-    before = _read(spark, _folders(manifest, "current"), schema).count() if stored is not None else 0
-    _write_manifest(spark, path, manifest, manifest.limit(0), [("current", None, home), ("schema", None, schema.json())])
-    return Published(schema, count, before, count, 0, 0, 0, home)
-
-
-def _write_manifest(
-    spark: SparkSession, path: str, before: DataFrame, kept: DataFrame, fresh: list[tuple]
-) -> None:
-    """The next manifest, as one file that one task puts in place."""
-    newest = before.select(F.max("version")).first()[0]
-    version = (newest or 0) + 1
-    added = spark.createDataFrame(fresh, "kind string, part int, folder string")
-    entries = kept.select("kind", PART, "folder").unionByName(added).select(F.lit(version).cast("long").alias("version"), "*")
-    entries.coalesce(1).write.json(f"{path}/manifest/entries={version}")
+    before = sum(n for _, n in _current(spark, path, found).values())
+    _write_manifest(spark, path, found, BASE, [("current", None, home, count), ("schema", None, schema.json(), None)], run_ts)
+    return Published(schema, count, 0, count, 0, 0, 0, home, previous=before)
 
 
 def read_refused(spark: SparkSession, done: Published) -> DataFrame:
     """The batch's rows that became no version, with the reason in ``_kind`` (unchanged ones left out)."""
     fields = [*done.schema.fields, T.StructField("_kind", T.StringType()), T.StructField("kind", T.StringType())]
+    if done.rejects is None:
+        return spark.createDataFrame([], T.StructType(fields[:-1]))
     rows = spark.read.schema(T.StructType(fields)).parquet(done.rejects)
     return rows.where(F.col("kind").isin("stale", "conflict")).drop("kind")

@@ -40,10 +40,11 @@ def publish_by_load_type(
         count = staged.count()
         return {"insertedcount": count, "updatedcount": 0, "totalcount": count}
     if kind == "full":
-        done = publish.publish_full(staged, path, batch)
-        return {"previouscount": done.updated, "insertedcount": done.inserted, "updatedcount": 0, "totalcount": done.inserted}
+        done = publish.publish_full(staged, path, batch, run_ts)
+        return {"previouscount": done.previous, "insertedcount": done.inserted, "updatedcount": 0, "totalcount": done.inserted}
     done = publish.publish_history(staged, path, history_spec(config), run_ts, batch, parts=parts)
     return {
+        "previouscount": done.previous,
         "insertedcount": done.inserted,
         "updatedcount": done.updated,
         "rejectcount": done.stale + done.conflicts,
