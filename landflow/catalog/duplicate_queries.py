@@ -10,11 +10,17 @@ from landflow.operators import duplicates as D
 from landflow.operators import reshape
 from landflow.operators.report import report_rollup
 
-_NARROW = "SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem"
+#: Whole records with copies: every seventh order once more, every third line of these a third time, and one line often.
+_COPIED = """SELECT l.* FROM lineitem l UNION ALL SELECT l.* FROM lineitem l WHERE l_orderkey % 7 = 0
+    UNION ALL SELECT l.* FROM lineitem l WHERE l_orderkey % 7 = 0 AND l_linenumber % 3 = 0
+    UNION ALL SELECT l.* FROM (SELECT * FROM lineitem ORDER BY ALL LIMIT 1) l JOIN lineitem m ON m.l_linenumber = 1"""
 
 
-def _narrow(spark, d):
-    return table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+def _copied(spark, d):
+    rows = table(spark, d, "lineitem")
+    again = rows.where("l_orderkey % 7 = 0")
+    often = rows.orderBy(*rows.columns).limit(1).join(rows.where("l_linenumber = 1").select(F.lit(1).alias("one")), F.lit(True)).drop("one")
+    return rows.unionAll(again).unionAll(again.where("l_linenumber % 3 = 0")).unionAll(often)
 
 
 @query(
@@ -28,16 +34,20 @@ def duplicate_count(spark, d):
     )
 
 
-@query("drop_duplicates", "I4", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+@query("drop_duplicates", "I4", f"SELECT DISTINCT * FROM ({_COPIED})")
 def drop_duplicates(spark, d):
-    return D.drop_duplicates(
-        table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    )
+    return D.drop_duplicates(_copied(spark, d))
 
 
-@query("surplus_duplicates", "I3", f"{_NARROW} EXCEPT ALL SELECT DISTINCT * FROM ({_NARROW})")
+@query("surplus_duplicates", "I3", f"FROM ({_COPIED}) EXCEPT ALL SELECT DISTINCT * FROM ({_COPIED})")
 def surplus_duplicates(spark, d):
-    return D.surplus_duplicates(_narrow(spark, d))
+    return D.surplus_duplicates(_copied(spark, d))
+
+
+@query("minus_all", "I2", f"FROM ({_COPIED}) EXCEPT ALL FROM lineitem WHERE l_linenumber % 2 = 0")
+def minus_all(spark, d):
+    """Every second line of an order is taken away once; further copies of it stay."""
+    return D.minus_all(_copied(spark, d), table(spark, d, "lineitem").where("l_linenumber % 2 = 0"))
 
 
 @query(
@@ -59,17 +69,15 @@ def _policy(name: str, kept_sql: str, rejected_sql: str | None) -> None:
     @query(f"row_duplicate_policy_{name}", "K5", sql)
     def build(spark, d):
         policy = D.choose_policy("AMS", {"ams": name})
-        kept, rejected = D.row_duplicate_policy(_narrow(spark, d), policy)
+        kept, rejected = D.row_duplicate_policy(_copied(spark, d), policy)
         empty = F.lit(None).cast("string")
         return kept.withColumns({"reject_reason": empty, "rejected_column": empty}).unionByName(rejected)
 
 
-_policy("skip", _NARROW, None)
-_policy("tolerate", _NARROW, None)
-_policy("drop", f"SELECT DISTINCT * FROM ({_NARROW})", None)
-_policy(
-    "reject", f"SELECT DISTINCT * FROM ({_NARROW})", f"{_NARROW} EXCEPT ALL SELECT DISTINCT * FROM ({_NARROW})"
-)
+_policy("skip", _COPIED, None)
+_policy("tolerate", _COPIED, None)
+_policy("drop", f"SELECT DISTINCT * FROM ({_COPIED})", None)
+_policy("reject", f"SELECT DISTINCT * FROM ({_COPIED})", f"FROM ({_COPIED}) EXCEPT ALL SELECT DISTINCT * FROM ({_COPIED})")
 
 
 _PRIORITY = """CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END,

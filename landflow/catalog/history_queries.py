@@ -233,7 +233,7 @@ _DAY = "to_date(ts)"
 
 @query("version_number", "G2", f"SELECT user_id, event_id, ts, CAST(row_number() OVER ({_EVENT_ORDER}) AS INTEGER) AS version FROM events")
 def version_number(spark, d):
-    return H.version_number(_events(spark, d), ["user_id"], "ts", ["event_id"], F.expr(_DAY))
+    return H.version_number(_events(spark, d), ["user_id"], "ts", ["event_id"])
 
 
 @query("interval_end", "G3", f"SELECT user_id, event_id, ts, lead(ts) OVER ({_EVENT_ORDER}) AS end_ts FROM events")

@@ -6,10 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from landflow.catalog.base import query, table, utc
+from landflow.catalog.base import RUN_1, query, table, utc
+from landflow.catalog.run_queries import _FILE_CONFIG, _land_files, _orders_sql
+from landflow.config import EntityConfig
 from landflow.operators.history import HistorySpec
-from landflow.plans import publish
+from landflow.plans import publish, run
 from landflow.session import scratch_path
+from landflow.streaming import entity, replay
 from landflow.streaming import micro_batch as M
 
 _LOWER = utc("2024-01-05 00:00:00")
@@ -63,18 +66,24 @@ def stream_scd2(spark, d):
     return versions.select(*wanted).union(rejects.select(*wanted))
 
 
-@query("replay_dedup_stream", "M2", "SELECT event_id, ts, user_id, event_type FROM events")
+@query(
+    "replay_dedup_stream", "M2",
+    """SELECT event_id, ts, user_id, event_type, 'fresh' AS outcome FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00'
+       UNION ALL SELECT event_id, ts, user_id, event_type, 'replayed' FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00'
+       UNION ALL SELECT event_id, ts, user_id, event_type, 'late' FROM events, (VALUES (1), (2)) t(n) WHERE ts < TIMESTAMP '2024-01-05 00:00:00'""",
+)
 def replay_dedup_stream(spark, d):
-    """Every file lands twice, one file a trigger and in no order of time; each row comes out once."""
+    """Every file lands twice, one file a trigger and in no order of time; each row comes out once, if it isn't late."""
     root = scratch_path(spark, "replay")
     schema = _land(spark, d, f"{root}/landing", times=2)
     stream = M.file_stream(spark, f"{root}/landing", schema, "parquet", files_per_trigger=1)
-    M.run_available(
-        stream,
-        lambda rows, epoch: M.replay_dedup_batch(rows, epoch, f"{root}/out", ["event_id"], "ts"),
-        f"{root}/checkpoint",
-    )
-    return spark.read.schema(schema).parquet(f"{root}/out").select(*schema.names)
+    marked = replay.mark_replays(stream, ["event_id"], "ts", _NOW, _NOW - _LOWER)
+    M.run_available(marked, lambda rows, epoch: replay.write_outcomes(rows, epoch, f"{root}/out"), f"{root}/checkpoint")
+    found = [
+        replay.read_outcome(spark, f"{root}/out", outcome, schema).withColumn("outcome", F.lit(outcome))
+        for outcome in (replay.FRESH, replay.REPLAYED, replay.LATE)
+    ]
+    return found[0].unionAll(found[1]).unionAll(found[2])
 
 
 @query(
@@ -106,3 +115,17 @@ def hourly_metrics_stream(spark, d):
         f"{root}/checkpoint",
     )
     return M.hourly_totals(spark, f"{root}/out", ["event_type"])
+
+
+@query(
+    "stream_entity", "M1 A1 K11",
+    f"""SELECT o.* FROM ({_orders_sql('2, 3, 4, 5', ", 1 AS failed_files")}) o""",
+)
+def stream_entity(spark, d):
+    """Each new file is checked and published by the configuration, a few files a trigger; one is rejected whole."""
+    root = scratch_path(spark, "stream_entity")
+    _land_files(spark, d, f"{root}/landing", swapped=True)
+    config = EntityConfig.from_dict(_FILE_CONFIG | {"reject_files": True})
+    entity.stream_entity(spark, f"{root}/landing", config, root, RUN_1, "orders", files_per_trigger=2, parts=4)
+    failed = run.audit_of(spark, root).where("processname = 'LandingToRaw' AND executionstatus = 'Failed' AND sourcename <> 'orders'").count()
+    return publish.read_published(spark, f"{root}/published/orders").select("id", "status", "price", F.lit(failed).alias("failed_files"))

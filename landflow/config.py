@@ -63,6 +63,8 @@ class DqChecks:
     row_duplicate_check: bool = False
     null_notnull_check: bool = False
     decimal_column_normalization: bool = False
+    business_key_unique_check: bool = False
+    replay_check: bool = False
 
     @property
     def any_enabled(self) -> bool:
@@ -85,7 +87,14 @@ class EntityConfig:
     allowed_prefixes: tuple[str, ...] = ("",)
     force_column_names: bool = False
     unknown_columns: str = "reject"
+    #: columns that stay text whatever type is declared
     string_columns: tuple[str, ...] = ()
+    # admission of files
+    admission: bool = False
+    max_sla_hours: float = 2
+    manifest_prefix: str = "metadata_"
+    #: a file with a rejected row is rejected whole
+    reject_files: bool = False
     # columns
     column_type_map: dict[str, str] = field(default_factory=dict)
     required_column_list: tuple[str, ...] = ()
@@ -130,14 +139,23 @@ class EntityConfig:
         """Declared column names in file order."""
         return list(self.column_type_map) or list(self.required_column_list)
 
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """The columns that tell one record from another: the key list, or the primary columns."""
+        return self.primary_key_columns or self.partition_cols or self.primary_columns
+
+    def type_of(self, name: str) -> str:
+        """The declared type, which ``string_columns`` overrules."""
+        return "string" if name in self.string_columns else self.column_type_map.get(name, "string")
+
     @property
     def date_key_columns(self) -> list[str]:
         """Key columns typed ``date`` (their missing value is a date, not blank).
 
         Both key lists count, and so do the date columns of a rule-list configuration.
         """
-        keys = dict.fromkeys([*self.primary_key_columns, *self.partition_cols])
-        return [c for c in keys if self.column_type_map.get(c) == "date" or c in self.date_columns]
+        keys = dict.fromkeys([*self.primary_key_columns, *self.partition_cols, *self.primary_columns])
+        return [c for c in keys if self.type_of(c) == "date" or c in self.date_columns or c in self.convert_to_date]
 
     @property
     def has_checks(self) -> bool:

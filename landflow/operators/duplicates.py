@@ -3,6 +3,10 @@
 Copies of one row may make up a large share of the input, so nothing here sends
 a whole group to one task: groups are counted with map-side aggregation, and
 only the count is turned back into rows, in pieces of bounded size.
+
+Whole records are compared by 128-bit fingerprints first.  Only these are shuffled for all rows; records
+whose fingerprint recurs are then compared by their content, so equal fingerprints of unlike records
+do no harm, and wide rows travel only where there are copies.
 """
 
 from __future__ import annotations
@@ -40,39 +44,63 @@ def _repeat(df: DataFrame, count: Column) -> DataFrame:
 def expand_copies(df: DataFrame, copies: str, piece: int = COPIES_PER_PIECE) -> DataFrame:
     """Repeat each row ``copies`` times, dropping the counter.
 
-    Groups above ``piece`` copies are cut into pieces that are spread over the
-    cluster before they are written out; the others expand where they are.
+    A row's copies are cut into pieces of at most ``piece``, which are spread over the cluster before
+    they are written out.
     """
     names = [c for c in df.columns if c != copies]
     n = F.col(copies)
-    small = _repeat(df.filter((n > 0) & (n <= piece)), n).select(*cols(names))
-    pieces = df.filter(n > piece).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / piece)))
-    )
+    pieces = df.filter(n > 0).withColumn("_piece", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / piece))))
     sized = pieces.withColumn("_size", F.least(F.lit(piece), n - F.col("_piece") * piece))
     # a number is given because adaptive execution would merge these small partitions
     # again: it sees the size of the pieces, not of the rows they stand for
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = sized.repartition(tasks, *cols(names), F.col("_piece"))
-    big = _repeat(spread, F.col("_size")).select(*cols(names))
-    return small.unionAll(big)
+    return _repeat(spread, F.col("_size")).select(*cols(names))
+
+
+def fingerprint(names: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a record; which of its values are null is part of both."""
+    values = cols(names)
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in values])
+    return [F.xxhash64(F.lit(seed), nulls, *values).alias(f"_f{seed}") for seed in (1, 2)]
+
+
+_FINGER = ["_f1", "_f2"]
+
+
+def _recurring(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Fingerprints that more than one row has, counted before they are shuffled."""
+    counted = df.select(*fingerprint(names)).groupBy(*_FINGER).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter("_rows > 1").select(*_FINGER)
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    return df.select(*cols(df.columns), *fingerprint(df.columns))
 
 
 def surplus_duplicates(df: DataFrame, piece: int = COPIES_PER_PIECE) -> DataFrame:
     """The second and further copies of every row (input minus its distinct rows)."""
-    counted = df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    candidates = _marked(df).join(_recurring(df, df.columns), _FINGER, "left_semi")
+    counted = candidates.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
     surplus = counted.filter("_copies > 1").withColumn("_copies", F.col("_copies") - 1)
     return expand_copies(surplus, "_copies", piece)
 
 
 def minus_all(left: DataFrame, right: DataFrame, piece: int = COPIES_PER_PIECE) -> DataFrame:
-    """Multiset difference: each right row removes one equal left row."""
+    """Multiset difference: each right row removes one equal left row.
+
+    Left rows with a fingerprint that no right row has stay where they are; the others of both sides are
+    compared by content.
+    """
     names = left.columns
-    signed = left.withColumn("_sign", F.lit(1)).unionAll(
-        right.select(*cols(names)).withColumn("_sign", F.lit(-1))
-    )
-    counted = signed.groupBy(*cols(names)).agg(F.sum("_sign").alias("_copies"))
-    return expand_copies(counted.filter("_copies > 0"), "_copies", piece)
+    right = right.select(*cols(names))
+    prints = lambda df: df.select(*fingerprint(names)).distinct()
+    theirs = prints(right)
+    kept = _marked(left).join(theirs, _FINGER, "left_anti").select(*cols(names))
+    common = _marked(left).join(theirs, _FINGER, "left_semi").select(*cols(names), F.lit(1).alias("_sign"))
+    removing = _marked(right).join(prints(left), _FINGER, "left_semi").select(*cols(names), F.lit(-1).alias("_sign"))
+    counted = common.unionAll(removing).groupBy(*cols(names)).agg(F.sum("_sign").alias("_copies"))
+    return kept.unionAll(expand_copies(counted.filter("_copies > 0"), "_copies", piece))
 
 
 def business_key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -121,7 +149,11 @@ REJECT_COLUMN = "Full Record"
 
 
 def row_duplicate_policy(df: DataFrame, policy: DuplicatePolicy) -> tuple[DataFrame, DataFrame]:
-    """``(kept, rejected)``; rejected rows carry a reason and a column name."""
+    """``(kept, rejected)``; rejected rows carry a reason and a column name.
+
+    Where copies are rejected, kept rows and copies come from one count of the records, so a plan with
+    both shuffles whole rows once.
+    """
 
     def stamped(rows: DataFrame) -> DataFrame:
         return rows.withColumns(
@@ -129,6 +161,8 @@ def row_duplicate_policy(df: DataFrame, policy: DuplicatePolicy) -> tuple[DataFr
         )
 
     if policy is DuplicatePolicy.REJECT:
-        return drop_duplicates(df), stamped(surplus_duplicates(df))
+        counted = df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+        surplus = counted.select(*cols(df.columns), (F.col("_copies") - 1).alias("_copies"))
+        return counted.drop("_copies"), stamped(expand_copies(surplus, "_copies"))
     kept = drop_duplicates(df) if policy is DuplicatePolicy.DROP else df
     return kept, stamped(df.limit(0))

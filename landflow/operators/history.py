@@ -19,6 +19,7 @@ from landflow.functions.literals import moment
 from landflow.operators.duplicates import priority_dedup
 from landflow.operators.joins import key_columns, with_keys
 from landflow.operators.projection import cols, quoted
+from landflow.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -254,19 +255,29 @@ def version_intervals(
 ) -> DataFrame:
     """Number a key's versions 1, 2, 3 ... and end each where the next one starts.
 
-    ``bucket`` is a non-decreasing function of the effective time (a day, a
-    month).  Given one, rows are numbered within key and bucket, and only the
-    per-bucket counts and first times are carried along the key, so a key with
-    very many versions is spread over its buckets.
+    Rows are sorted by key and time over all tasks, so a key with very many versions lies in many ranges.
+    Each range numbers its own rows, and only its counts and first times are carried along the key from
+    one range to the next.  The sorted rows are written to the shared folder, which fixes the ranges.
+
+    ``bucket``, a non-decreasing function of the effective time (a day, a month), may name the ranges of a
+    key instead; then nothing is sorted over all tasks or written.
     """
     order = [*cols([effective]), *cols(tiebreak)]
     time = F.col(quoted(effective))
     if bucket is None:
-        window = Window.partitionBy(*cols(keys)).orderBy(*order)
-        return df.withColumns(
-            {version: F.row_number().over(window), end: F.lead(time).over(window)}
-        )
-    bucketed = df.withColumn("_bucket", bucket)
+        ranges = [*cols(keys), *order]
+        spread = df.repartitionByRange(*ranges).withColumn("_bucket", F.spark_partition_id())
+        path = scratch_path(df.sparkSession, "ranges")
+        spread.write.parquet(path)
+        bucketed = df.sparkSession.read.schema(spread.schema).parquet(path)
+        return _numbered_by_bucket(df, bucketed, keys, order, time, version, end)
+    return _numbered_by_bucket(df, df.withColumn("_bucket", bucket), keys, order, time, version, end)
+
+
+def _numbered_by_bucket(
+    df: DataFrame, bucketed: DataFrame, keys: Sequence[str], order: list[Column], time: Column, version: str, end: str
+) -> DataFrame:
+    """Rows numbered within key and bucket, plus what the key's earlier buckets carry over."""
     group = [*cols(keys), F.col("_bucket")]
     summary = bucketed.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"), F.min(time).alias("_first")

@@ -122,7 +122,7 @@ def clean_declared(df: DataFrame, config: EntityConfig) -> DataFrame:
     declared = select_required(df, config.columns)
     extra = [c for c in df.columns if c not in config.column_type_map]
     return df.select(
-        *[cleaned(n, config.column_type_map[n]) for n in declared.columns], *cols(extra)
+        *[cleaned(n, config.type_of(n)) for n in declared.columns], *cols(extra)
     )
 
 
@@ -132,14 +132,15 @@ def cast_declared(df: DataFrame, config: EntityConfig) -> DataFrame:
 
     def typed(name: str) -> Column:
         c = F.col(quoted(name))
-        return clean.cast_declared(c, parse_type(types[name])).alias(name) if name in types else c
+        return clean.cast_declared(c, parse_type(config.type_of(name))).alias(name) if name in types else c
 
     return df.select(*[typed(n) for n in df.columns])
 
 
 def standardize_times(df: DataFrame, config: EntityConfig) -> DataFrame:
     """Date and timestamp columns parsed by their configured formats."""
-    changes = {
+    changes = {n: clean.excel_serial_date(F.col(quoted(n))) for n in config.convert_to_date}
+    changes |= {
         n: clean.standardize_date(F.col(quoted(n)), f) for n, f in config.date_columns.items()
     }
     changes |= {

@@ -26,7 +26,7 @@ from landflow.operators.duplicates import (
 from landflow.operators.filters import drop_null_subset
 from landflow.operators.projection import cols, quoted
 from landflow.plans import cleaning
-from landflow.sources.readers import MALFORMED, SOURCE_FILE
+from landflow.sources.readers import MALFORMED, SOURCE_FILE, SOURCE_PATH
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,8 @@ def entity_rules(config: EntityConfig, columns: Sequence[str] = ()) -> list[R.Ru
     """
     found = [R.malformed_rule(MALFORMED)] if MALFORMED in columns else []
     found += [R.integer_rule(n) for n in config.int_columns]
-    for name, kind in (config.column_type_map or {}).items():
-        if kind != "string":
+    for name in config.column_type_map:
+        if (kind := config.type_of(name)) != "string":
             found.append(R.cast_rule(name, clean.cast_declared(F.col(quoted(name)), parse_type(kind))))
     if config.dq_checks is None or config.dq_checks.null_notnull_check:
         found += [R.notnull_rule(n) for n in config.notnull_columns]
@@ -132,7 +132,7 @@ def prepare_for_publish(
     Enrichment comes before hashing because mapped columns are hash inputs.
     Ties between rows of one key are settled by all their columns.
     """
-    keys = list(config.partition_cols or config.primary_key_columns)
+    keys = list(config.partition_cols or config.keys)
     df = priority_dedup(clean, keys, dedup_order or []) if keys and one_per_key else clean
     df = apply_mapping(df, config.column_mapping) if config.column_mapping else df
     df = processors.apply(df, logical_name) if processors else df
@@ -145,7 +145,7 @@ def prepare_for_publish(
     )
     if config.hash_columns:
         stamps[config.hash_column_name] = row_hash(config.hash_columns, null_safe_hash)
-    return df.withColumns(stamps).drop(SOURCE_FILE)
+    return df.withColumns(stamps).drop(SOURCE_FILE, SOURCE_PATH)
 
 
 def dedup_by_priority(kind: str, quantity: str, revenue: str) -> list[Column]:

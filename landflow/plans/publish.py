@@ -427,6 +427,25 @@ def publish_full(staging: DataFrame, path: str, batch: str, run_ts: dt.datetime
     return Published(schema, count, 0, count, 0, 0, 0, home, previous=before)
 
 
+def publish_snapshot(
+    rows: DataFrame, path: str, batch: str, run_ts: dt.datetime, date_column: str = "snapshot_date"
+) -> Published:
+    """Add the snapshots of the days in ``rows``, or replace those of the same days; all of them or none."""
+    spark = rows.sparkSession
+    found = manifests(spark, path)
+    stored = _schema_of(spark, path, found)
+    schema = _widened(stored, T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields]))
+    home = f"{path}/batches/{commits.unique(batch)}"
+    day = F.coalesce(F.date_format(quoted(date_column), "yyyyMMdd").cast("int"), F.lit(NO_PART))
+    rows.withColumn(PART, day).hint("rebalance", PART).write.partitionBy(PART).parquet(home)
+    counted = spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])).parquet(home)
+    counted = counted.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each day
+    previous = sum(n for _, n in _current(spark, path, found).values())
+    _commit(spark, path, found, [("current", r[PART], f"{home}/{PART}={r[PART]}", r["n"]) for r in counted], schema, run_ts)
+    count = sum(r["n"] for r in counted)
+    return Published(schema, count, 0, count, 0, 0, 0, home, previous)
+
+
 def read_refused(spark: SparkSession, done: Published) -> DataFrame:
     """The batch's rows that became no version, with the reason in ``_kind`` (unchanged ones left out)."""
     fields = [*done.schema.fields, T.StructField("_kind", T.StringType()), T.StructField("kind", T.StringType())]

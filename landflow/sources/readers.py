@@ -16,7 +16,7 @@ from landflow.operators.rules import HEADER_FAULTS
 from landflow.session import scratch_path
 from landflow.sources.landing import landed_files
 
-SOURCE_FILE = "_source_file"
+SOURCE_FILE, SOURCE_PATH = "_source_file", "_source_path"
 #: Column with the text of a record that has more or fewer fields than declared.
 MALFORMED = "_malformed"
 
@@ -51,12 +51,14 @@ def read_delimited(
     with_source: bool = False,
     multi_line: bool = False,
     malformed: str | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Delimited text with declared columns, everything read as text.
 
     Quotes within quoted text are doubled; with ``multi_line`` quoted text may hold line breaks.
     With ``malformed`` a column of that name holds the text of records with more or fewer fields than
     declared, for the row rules to reject, and null for sound ones; without it such records fail the read.
+    ``only`` (``path``) names the files that are wanted.
     """
     schema = text_schema([*names, malformed] if malformed else names)
     reader = (
@@ -73,8 +75,10 @@ def read_delimited(
     if malformed:
         reader = reader.option("columnNameOfCorruptRecord", malformed)
     raw = reader.csv(path)
-    if with_source:
-        raw = raw.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    if with_source or only is not None:
+        raw = raw.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE), file_path().alias("_path"))
+        raw = raw.join(only.withColumnRenamed("path", "_path"), "_path", "left_semi") if only is not None else raw
+        raw = raw.withColumnRenamed("_path", SOURCE_PATH) if with_source else raw.drop("_path", SOURCE_FILE)
     return missing_to_blank(raw, names)
 
 
@@ -87,19 +91,20 @@ def read_tsv_legacy(
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text lines with their position in the file: ``path, value, line, line_count``.
+    """Text lines with their position in the file: ``path, value, line, line_count``; see :func:`number_lines`."""
+    return number_lines(spark.read.text(path).select(*line_columns()))
+
+
+def number_lines(lines: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Lines (and further columns, ``also``) as :func:`line_columns` selects them, from files or a micro-batch of them, with their positions.
 
     One scan of the text writes every line with its file, its block and a running number to the shared
     folder.  What is stored is then the index as well: a block's lines, summed along the file, give each
     block its first line number.  Only these sums are windowed, never the lines, and a task that runs
     again reads the same numbers.
     """
-    lines = spark.read.text(path).select(
-        file_path().alias("path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-        "value",
-    )
+    spark = lines.sparkSession
+    lines = lines.select("path", "_block", F.monotonically_increasing_id().alias("_seq"), "value", *also)
     stored = scratch_path(spark, "lines")
     lines.write.parquet(stored)
     lines = spark.read.schema(lines.schema).parquet(stored)
@@ -118,6 +123,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "value",
         (F.col("_offset") + F.col("_seq") - F.col("_first")).alias("line"),
         "line_count",
+        *also,
     )
 
 
@@ -137,8 +143,12 @@ def trailer_rows(lines: DataFrame, keep: int, header_row: int = -1) -> DataFrame
 
 def parse_lines(lines: DataFrame, names: Sequence[str], sep: str = ",") -> DataFrame:
     """Lines (``path, value``) as columns in the declared order."""
-    rows = lines.select(_parsed(names, sep).alias("_r"), file_name(F.col("path")).alias(SOURCE_FILE))
-    return missing_to_blank(rows.select("_r.*", SOURCE_FILE), names)
+    rows = lines.select(_parsed(names, sep).alias("_r"), *_origin())
+    return missing_to_blank(rows.select("_r.*", SOURCE_FILE, SOURCE_PATH), names)
+
+
+def _origin() -> list[Column]:
+    return [file_name(F.col("path")).alias(SOURCE_FILE), F.col("path").alias(SOURCE_PATH)]
 
 
 def _parsed(names: Sequence[str], sep: str) -> Column:
@@ -224,7 +234,7 @@ def by_header(
     rows = joined.select(
         F.when(as_declared, _parsed(names, sep)).alias("_r"),
         F.when(~as_declared, fields_of(F.col("value"), sep)).alias("_f"),
-        "value", "header", HEADER_FAULTS, file_name(F.col("path")).alias(SOURCE_FILE), *[f"_at{k}" for k in range(len(names))],
+        "value", "header", HEADER_FAULTS, *_origin(), *[f"_at{k}" for k in range(len(names))],
     )
     own = lambda k: F.when(F.col(f"_at{k}") > 0, F.get("_f", F.col(f"_at{k}") - 1))
     mapped = [F.coalesce(F.col("_r")[n], own(k)).alias(n) for k, n in enumerate(names)]
@@ -232,7 +242,7 @@ def by_header(
     empty = F.array().cast("array<struct<reason:string,column:string>>")
     found = rows.select(
         *mapped, F.coalesce(F.col("_r")[MALFORMED], ragged).alias(MALFORMED),
-        F.coalesce(HEADER_FAULTS, empty).alias(HEADER_FAULTS), SOURCE_FILE,
+        F.coalesce(HEADER_FAULTS, empty).alias(HEADER_FAULTS), SOURCE_FILE, SOURCE_PATH,
     )
     return missing_to_blank(found, names)
 
@@ -246,28 +256,38 @@ def read_by_header(
     return by_header(lines, headers, names, sep, unknown, first)
 
 
-def read_entity(spark: SparkSession, path: str | list[str], config: EntityConfig) -> DataFrame:
-    """Raw text rows of one entity, empty rows dropped.
+def read_entity(
+    spark: SparkSession, path: str | list[str], config: EntityConfig, only: DataFrame | None = None
+) -> DataFrame:
+    """Raw text rows of one entity, empty rows dropped; ``only`` (``path``) names the files that are wanted.
 
     Columns are found by the names in each file's header line, or with ``force_column_names`` taken in the
     declared order whatever the header says.  ``columns_to_select`` lets only the first columns of a file
     count; ``unknown_columns`` says whether one that is not declared is a fault (``reject``) or left out (``drop``).
     """
-    names, sep = config.columns, config.delimiter
-    how = (config.unknown_columns, config.columns_to_select)
+    wanted = lambda lines: lines if only is None else lines.join(only, "path", "left_semi")
+    names, sep, encoding = config.columns, config.delimiter, config.encoding
     if config.header_row_number_to_select or config.remove_trailer_rows:
-        row = config.header_row_number_to_select
-        numbered = numbered_lines(spark, path)
-        lines = trailer_rows(skip_header_rows(numbered, row), config.remove_trailer_rows, row)
-        if config.force_column_names:
-            raw = parse_lines(lines, names, sep)
-        else:
-            headers = numbered.where(F.col("line") == row).select("path", F.transform(fields_of(F.col("value"), sep), lambda h: F.trim(h)).alias("header"))
-            raw = by_header(lines, headers, names, sep, *how)
-    elif config.force_column_names:
-        raw = read_delimited(spark, path, names, sep, encoding=config.encoding, with_source=True, malformed=MALFORMED)
-    else:
-        raw = read_by_header(spark, path, names, sep, config.encoding, *how)
+        return rows_of_lines(wanted(numbered_lines(spark, path)), config)
+    if config.force_column_names:
+        raw = read_delimited(spark, path, names, sep, encoding=encoding, with_source=True, malformed=MALFORMED, only=only)
+        return _filled_rows(raw, names)
+    lines, headers = text_lines(spark, path, encoding), header_names(spark, path, sep, encoding)
+    return _filled_rows(by_header(wanted(lines), headers, names, sep, config.unknown_columns, config.columns_to_select), names)
+
+
+def rows_of_lines(numbered: DataFrame, config: EntityConfig) -> DataFrame:
+    """The rows of :func:`read_entity` from numbered lines."""
+    names, sep, row = config.columns, config.delimiter, config.header_row_number_to_select
+    lines = trailer_rows(skip_header_rows(numbered, row), config.remove_trailer_rows, row)
+    if config.force_column_names:
+        return _filled_rows(parse_lines(lines, names, sep), names)
+    headers = numbered.where(F.col("line") == row).select("path", F.transform(fields_of(F.col("value"), sep), lambda h: F.trim(h)).alias("header"))
+    return _filled_rows(by_header(lines, headers, names, sep, config.unknown_columns, config.columns_to_select), names)
+
+
+def _filled_rows(raw: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Without rows that hold nothing; those of a file whose header is at fault stay, to be rejected."""
     kept = _any_filled([*names, MALFORMED])
     return raw.filter(kept | (F.size(HEADER_FAULTS) > 0) if HEADER_FAULTS in raw.columns else kept)
 
@@ -295,6 +315,11 @@ def file_path() -> Column:
     return _same_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
+def line_columns() -> list[Column]:
+    """What a text line is numbered by: its file and block."""
+    return [file_path().alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.col("value")]
+
+
 def _same_path(c: Column) -> Column:
     """Local paths are written with one or three slashes; settle for one."""
     return F.regexp_replace(c, "^file:/+", "file:/")

@@ -4,16 +4,33 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landflow.operators.audit import as_audit
+from landflow.sources import commits
 
 
 def stage_overwrite(df: DataFrame, path: str) -> DataFrame:
-    """Replace the curated table; returns the table as written."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the curated table; returns the table as written.
+
+    Each load is a folder of its own that counts once it is complete, so a job that dies leaves the table
+    as it was.  The load before stays, for readers that have begun; older ones and remains go.
+    """
+    spark = df.sparkSession
+    before = commits.committed(spark, path)
+    number = int(before[-1].split("-", 1)[0]) + 1 if before else 1
+    name = commits.unique(f"{number:012d}")
+    df.write.parquet(f"{path}/{name}")
+    for old in commits.folders(spark, path):
+        if old not in (name, *before[-1:]):
+            commits.remove(spark, f"{path}/{old}")
+    return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+
+def read_staged(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete load of a curated table."""
+    return spark.read.parquet(f"{path}/{commits.committed(spark, path)[-1]}")
 
 
 def write_piped(

@@ -122,3 +122,29 @@ def test_order_classes_are_exclusive_and_reconcile(spark):
         assert counted(left) == counted(classify.unclassified_by_difference(got))
     emea = df.select(classify.order_class("EMEA", F.col("t"), F.col("r"))).collect()
     assert [r[0] for r in emea] == ["actual", "unclassified", "actual", "unclassified", "unclassified", "unclassified"]
+
+
+def test_unlike_records_with_one_fingerprint_are_told_apart(skewed, monkeypatch):
+    """Every record has the same fingerprint here: the content decides, as it does where hashes collide."""
+    expected, right = counted(skewed.exceptAll(skewed.distinct())), skewed.filter("b = 1")
+    minus = counted(skewed.exceptAll(right))
+    monkeypatch.setattr(D, "fingerprint", lambda names: [F.lit(1).alias("_f1"), F.lit(2).alias("_f2")])
+    assert counted(D.surplus_duplicates(skewed)) == expected
+    assert counted(D.minus_all(skewed, right)) == minus
+
+
+def test_nulls_are_part_of_a_fingerprint(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", None), ("", None), (None, None), (None, "")], "x string, y string")
+    assert df.select(*D.fingerprint(df.columns)).distinct().count() == 5
+    assert counted(D.surplus_duplicates(df)) == {("a", None): 1}
+
+
+def test_only_fingerprints_of_all_rows_are_shuffled(spark):
+    """Wide rows are shuffled once, after the fingerprints have picked them; kept and rejected rows share a count."""
+    wide = spark.range(1000).select(*[(F.col("id") * k).alias(f"c{k}") for k in range(40)])
+    plan = D.surplus_duplicates(wide)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    kept, rejected = D.row_duplicate_policy(wide, D.DuplicatePolicy.REJECT)
+    both = kept.unionByName(rejected.drop("reject_reason", "rejected_column"))
+    both.collect()
+    assert both._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 1

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from landflow.functions.enrich import row_hash
@@ -191,3 +192,20 @@ def test_snapshots(spark):
     before = spark.createDataFrame([(1, "Y")], "i int, active_flag string")
     flipped = snapshot.snapshot_flip(before, spark.createDataFrame([(2,)], "i int"))
     assert rows(flipped) == [(1, "N"), (2, "Y")]
+
+
+def test_a_key_with_most_rows_is_spread_over_all_tasks(spark):
+    """Nine rows of ten belong to one key: no task gets much more than its share of them."""
+    rows_of = spark.range(8000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("k"), F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000).alias("ts"), "id")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        got = H.version_intervals(rows_of, ["k"], "ts", ["id"])
+        tasks = got.where("k = 'hot'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+        plain = Window.partitionBy("k").orderBy("ts", "id")
+        want = rows_of.withColumns({"version": F.row_number().over(plain), "end_ts": F.lead("ts").over(plain)})
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.set(coalesce, before)
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 7200 / 2
