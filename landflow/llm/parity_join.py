@@ -11,7 +11,8 @@ lower bound of their symmetric difference.
   so its key is the XOR of its shingles' 64-bit hashes: the same parity, stored in one number.
 * Buckets of equal keys are read in sorted order; every member is paired with the bucket's first
   and, in larger buckets, with its neighbours in a few orders by sketch.  These pairs pass a Hamming
-  test on a 256-bit sketch and are then verified on the texts.
+  test on a 256-bit sketch, then one on a sketch of a bit or more for each shingle, which sets with a
+  passage in common fail as well, and are then verified on the texts.
 * Members of a bucket that are still in different components are paired with one another, tested
   and verified too, so no link is lost; a group of copies costs a few pairs a member, not all pairs.
 
@@ -95,6 +96,15 @@ def parity_sketch(shingles: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_sketch(shingles: np.ndarray) -> list[int]:
+    """Parity bits in as many longs as give each shingle a bit: a power of two, 4 at least."""
+    bits = 256
+    while bits < len(shingles):
+        bits *= 2
+    odd = np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 # ------------------------------------------------------------------ bands and segments
 
 
@@ -149,18 +159,20 @@ def segment_keys(shingles: np.ndarray, band: int, d: int, segments: int) -> np.n
 
 # ------------------------------------------------------------------ inside tasks
 
-_FEATURES = "id long, n long, hi long, lo long, s0 long, s1 long, s2 long, s3 long"
+_FEATURES = "id long, n long, hi long, lo long, s0 long, s1 long, s2 long, s3 long, wide array<bigint>"
 
 
 def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, rows = batch.column(0), []
+        ids, rows, wide = batch.column(0), [], []
         for _, texts in blocks(batch.column(1).to_pylist()):
             for s in shingle_sets(texts, k):
                 rows.append((len(s), *set_name(s), *parity_sketch(s)))
+                wide.append(wide_sketch(s))
         if rows:
             columns = [pa.array(np.array(c, np.int64)) for c in zip(*rows, strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, *columns], ["id", "n", "hi", "lo", "s0", "s1", "s2", "s3"])
+            columns.append(pa.array(wide, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([ids, *columns], ["id", "n", "hi", "lo", "s0", "s1", "s2", "s3", "wide"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -262,6 +274,19 @@ def _may_link(num: int, den: int, a: Callable[[str], Column], b: Callable[[str],
     return sizes & (apart * (den + num) <= (a("n") + b("n")) * (den - num))
 
 
+def _may_link_wide(num: int, den: int, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """The same test on the wide sketches.  The halves of the longer one, XORed, are a sketch of the other's width."""
+    one, two = a("wide"), b("wide")
+    width = F.least(F.size(one), F.size(two))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    halved = lambda s: F.zip_with(F.slice(s, 1, width), F.slice(s, width + 1, width), xor)
+    folded = lambda s: F.when(F.size(s) > width, halved(s)).otherwise(s)
+    bits = F.zip_with(folded(one), folded(two), lambda x, y: F.bit_count(xor(x, y)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    far = F.greatest(F.size(one), F.size(two)) > 2 * width  # sizes of low similarities: no test
+    return far | (apart * (den + num) <= (a("n") + b("n")) * (den - num))
+
+
 def _named(side: str) -> Callable[[str], Column]:
     return lambda column: F.col(f"{column}_{side}")
 
@@ -288,7 +313,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``: numbers of classes) whose texts are linked."""
-    pairs = settled(pairs, "pairs")
+    for side in "ab":
+        pairs = pairs.join(classes.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"wide_{side}")), side)
+    pairs = settled(pairs.where(_may_link_wide(num, den, _named("a"), _named("b"))).select("a", "b"), "pairs")
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     wanted = classes.select("rep", F.col("low").alias("id")).join(wanted, "rep").select("id").distinct()
     texts = docs.join(wanted.hint("shuffle_hash"), "id", "left_semi").select("text")
@@ -339,7 +366,7 @@ def near_duplicates(
     classes = (
         features.where("n > 0 and id is not null")
         .groupBy("hi", "lo")
-        .agg(F.min("id").alias("low"), *[F.first(c).alias(c) for c in ("n", *SKETCH)])
+        .agg(F.min("id").alias("low"), *[F.first(c).alias(c) for c in ("n", *SKETCH, "wide")])
     )
     classes = settled(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     ids_in = _ids_in_classes(features, classes)
@@ -366,12 +393,14 @@ def near_duplicates(
     labels = grouped.select(F.col("id").alias("rep"), "component")
     members = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     parted = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    members = settled(members.join(parted.where("low < high").select("key"), "key", "left_semi"), "apart")
+    members = members.join(parted.where("low < high").select("key"), "key", "left_semi")
+    members = settled(members.join(classes.select("rep", "wide"), "rep"), "apart")
     one, two = (
-        members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", *SKETCH)]) for s in ("a", "b")
+        members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", *SKETCH, "wide")]) for s in ("a", "b")
     )
     apart = (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b"))
-    rest = one.join(two, apart & _may_link(num, den, _named("a"), _named("b")))
+    sides = (num, den, _named("a"), _named("b"))
+    rest = one.join(two, apart & _may_link(*sides) & _may_link_wide(*sides))
     rest = _ordered(rest).join(first_pairs, ["a", "b"], "left_anti")
     more = _links(rest, docs, classes, k, num, den)
     labels = joined_components(grouped, more).withColumnRenamed("id", "rep")

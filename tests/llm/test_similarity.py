@@ -79,6 +79,46 @@ def test_sketches_bound_the_difference():
         assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+def test_wide_sketches_of_unlike_widths_bound_the_difference(spark):
+    """Sets around a change of width: the folded distance never exceeds the difference, so no link is lost."""
+    draw, rows = np.random.default_rng(7), []
+    for size in (200, 250, 260, 500, 515, 1000, 1030, 2050):
+        for part in (0.8, 0.9, 1.0):
+            pool = np.unique(draw.integers(0, 1 << 63, 2 * size).astype(np.uint64))
+            draw.shuffle(pool)
+            a, b = pool[:size], pool[size - int(size * part) : size + 9]
+            rows.append((parity_join.wide_sketch(a), parity_join.wide_sketch(b), len(a), len(b), len(set(a.tolist()) ^ set(b.tolist()))))
+    df = spark.createDataFrame(rows, "wide_a array<long>, wide_b array<long>, n_a long, n_b long, differ long")
+    for num, den in ((9, 10), (4, 5), (1, 2)):
+        passed = parity_join._may_link_wide(num, den, parity_join._named("a"), parity_join._named("b"))
+        linked = F.col("differ") * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num)
+        assert df.where(linked & ~passed).count() == 0
+        assert num * 2 == den or df.where(linked).count() > 0
+
+
+@pytest.mark.parametrize("half", [150, 900])
+def test_unlike_documents_with_one_shared_passage_are_hardly_compared(spark, monkeypatch, half):
+    """400 documents share half of their words and have no link: far fewer than all 79,800 pairs reach the texts."""
+    passage = " ".join(f"p{k}" for k in range(half))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}.{k}" for k in range(half))) for i in range(400)]
+    pairs, packed = [], parity_join._verified
+
+    def counted(name):
+        def settle(df, label):
+            found = parity_join_settled(df, label)
+            if label == name:
+                pairs.append(found.count())
+            return found
+
+        return settle
+
+    parity_join_settled = parity_join.settled
+    monkeypatch.setattr(parity_join, "settled", counted("pairs"))
+    found = parity_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=5, num=4, den=5)
+    assert found.where("component <> id").count() == 0
+    assert pairs[-1] < 800 and packed is parity_join._verified
+
+
 @pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5), (1, 2)])
 def test_linked_sets_share_a_segment(num, den):
     """Pigeonhole: over all sizes, sets at the edge of the similarity agree in a segment of a common band."""
