@@ -143,7 +143,8 @@ def rank_documents(
     for more in survivors[1:]:
         rest = rest.unionByName(more)
     rest = settled(rest, "survivors")
-    later = plan.groupBy("item").agg(F.collect_list(F.struct("at", "term", "w")).alias("plan"))  # an item's own terms
+    # an item's own terms; written, so that Spark can split the survivors of one item when it joins them
+    later = settled(plan.groupBy("item").agg(F.collect_list(F.struct("at", "term", "w")).alias("plan")), "later")
     asked = rest.join(later, "item").select("item", "doc", "after", F.explode("plan").alias("t")).where("t.at > after")
     asked = asked.select("item", "doc", F.col("t.term").alias("term"), F.col("t.w").alias("w"))
     added = asked.join(postings, ["doc", "term"]).select("item", "doc", (F.col("w") * F.col("part")).alias("score"))
