@@ -163,6 +163,7 @@ def row_duplicate_policy(df: DataFrame, policy: DuplicatePolicy) -> tuple[DataFr
     if policy is DuplicatePolicy.REJECT:
         counted = df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
         surplus = counted.select(*cols(df.columns), (F.col("_copies") - 1).alias("_copies"))
-        return counted.drop("_copies"), stamped(expand_copies(surplus, "_copies"))
+        # asking for the count keeps it in both plans, so that they are the same up to there
+        return counted.filter("_copies > 0").drop("_copies"), stamped(expand_copies(surplus, "_copies"))
     kept = drop_duplicates(df) if policy is DuplicatePolicy.DROP else df
     return kept, stamped(df.limit(0))
