@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +38,16 @@ from landflow.llm.parity_join import set_name, shingle_sets
 _U = np.uint64
 #: Minwise tokens of a signature, and longs of its sketch (four bits of each token).
 TOKENS, WORDS = 128, 8
-#: Standard deviations by which a sketch may underestimate the similarity: 3 in 100,000 pairs exceed it.
-SLACK = 4.0
+#: Standard deviations by which a sketch may underestimate the similarity: 13 in 10,000 pairs right at the
+#: threshold exceed it, and hardly any above (each tree and the links of neighbours give further chances).
+SLACK = 3.0
 #: Depth for which the number of trees is reckoned.
 DEPTH = 8
 #: Pairs between components that a leaf may hold for each of its members.
-SMALL = 16
-#: Pivots of a node that its members are compared with, in two rounds.
+SMALL = 64
+#: Bytes of text that are compared at once.
+BLOCK = 1 << 19
+#: Pivots of a node that its members are compared with: below the roots in two rounds, deeper in one.
 PIVOTS = ((0,), (1, 2, 3))
 
 _FACTORS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | _U(1)
@@ -115,16 +118,20 @@ def _confirmed(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) ->
     held: tuple = (None, None)
     for batch in batches:
         trim_memory()
-        keep = []
+        keep: list[bool] = []
         a, left, right = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
-        for first in range(0, batch.num_rows, 256):
-            rows = range(first, min(first + 256, batch.num_rows))
-            own = [row for row in rows if a[row] != (a[row - 1] if row > first else held[0])]
-            texts = [unpack.decompress(left[row].as_py()) for row in own]
-            sets = iter(shingle_sets([*texts, *[unpack.decompress(right[row].as_py()) for row in rows]], k))
-            lefts = {row: next(sets) for row in own}
-            for row, other in zip(rows, sets, strict=True):
-                held = (a[row], lefts[row]) if row in lefts else held
+        while len(keep) < batch.num_rows:
+            first, texts, lefts, size = len(keep), [], [], 0
+            while first + len(lefts) < batch.num_rows and size < BLOCK:
+                row = first + len(lefts)
+                lefts.append(a[row] != (a[row - 1] if lefts else held[0]))
+                for side in (left, right) if lefts[-1] else (right,):
+                    texts.append(unpack.decompress(side[row].as_py()))
+                    size += len(texts[-1])
+            sets = iter(shingle_sets(texts, k))
+            for row, is_new in enumerate(lefts, first):
+                held = (a[row], next(sets)) if is_new else held
+                other = next(sets)
                 both = len(np.intersect1d(held[1], other, assume_unique=True))
                 keep.append(den * both >= num * (len(held[1]) + len(other) - both))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -170,14 +177,10 @@ class _Links:
         return rows.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (``a < b``) that may be linked and are in different components."""
+        """Those of ``pairs`` (``a < b``) that may be linked."""
         for side in "ab":
             pairs = pairs.join(_side(self.classes, side), F.col(side) == F.col(f"rep_{side}"))
-        pairs = pairs.where(_may_link(self.num, self.den)).select("a", "b")
-        for side in "ab":
-            named = self.labels.select(F.col("id").alias(side), F.col("component").alias(f"component_{side}"))
-            pairs = pairs.join(named, side, "left")
-        return pairs.where("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b")
+        return pairs.where(_may_link(self.num, self.den)).select("a", "b")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Compare the full sets of ``pairs``, each pair once, and join the components of linked ones."""
@@ -211,7 +214,7 @@ def _children(entries: DataFrame, classes: DataFrame, num: int, den: int) -> Dat
 
 def _unfinished(entries: DataFrame, links: _Links) -> DataFrame:
     """The entries of nodes with more than one component, with ``component`` and the nodes' numbers."""
-    named = links.with_component(entries)
+    named = links.with_component(entries.select("key", "rep"))
     groups = named.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("c"))
     nodes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("within"))
     nodes = nodes.where("parts > 1").select("key", "members", ((F.col("members") * F.col("members") - F.col("within")) / 2).alias("between"))
@@ -219,10 +222,11 @@ def _unfinished(entries: DataFrame, links: _Links) -> DataFrame:
 
 
 def _pivots(entries: DataFrame, slots: tuple[int, ...]) -> DataFrame:
-    """Pairs of members and pivots: for each slot the member with the least hash."""
-    least = [F.min(F.struct(F.xxhash64("rep", "key", F.lit(slot)).alias("h"), "rep")).getField("rep") for slot in slots]
-    chosen = entries.groupBy("key").agg(F.array_distinct(F.array(*least)).alias("pivots"))
-    pairs = entries.select("key", "rep").join(chosen, "key").select("rep", F.explode("pivots").alias("pivot"))
+    """Pairs of members and pivots of different components: for each slot the member with the least hash."""
+    least = [F.min(F.struct(F.xxhash64("rep", "key", F.lit(slot)).alias("h"), "rep", "component")) for slot in slots]
+    chosen = entries.groupBy("key").agg(F.array(*least).alias("pivots"))
+    other = F.filter("pivots", lambda p: p["component"] != F.col("component"))
+    pairs = entries.join(chosen, "key").select("rep", F.explode(F.transform(other, lambda p: p["rep"])).alias("pivot"))
     return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).where("a < b").distinct()
 
 
@@ -272,19 +276,19 @@ def near_duplicates(
 
     entries, leaves = _roots(classes, trees_for(recall, num, den)), []
     while True:
-        entries = settled(_unfinished(entries, links).select("key", "rep"), "nodes")
+        entries = settled(_unfinished(entries, links).select("key", "rep", "component"), "nodes")
         if entries.isEmpty():
             break
-        for slots in PIVOTS:
+        for slots in PIVOTS if not leaves else [sum(PIVOTS, ())]:
             links.confirm(links.candidates(_pivots(entries, slots)))
             entries = settled(_unfinished(entries, links), "nodes")
             small = F.col("between") <= SMALL * F.col("members")
             leaf, branching = entries.where(small).select("key", "rep"), entries.where(~small).select("key", "rep")
-            entries = entries.select("key", "rep")
+            entries = entries.select("key", "rep", "component")
         leaves.append(leaf)
         entries = _children(branching, classes, num, den)
-    for leaf in leaves:
-        links.confirm(_within_leaves(leaf, links))
+    if leaves:
+        links.confirm(_within_leaves(reduce(DataFrame.union, leaves), links))
 
     labels = links.labels.withColumnRenamed("id", "rep")
     least = classes.select("rep", "low").join(labels, "rep").groupBy("component").agg(F.min("low").alias("least"))
