@@ -15,7 +15,8 @@ while unlike ones part quickly and a group that is unlike inside does not multip
 
 Independent trees are repeated until a pair at the threshold meets, in nodes that are ``DEPTH`` levels
 deep, with the probability ``recall``; at one level less than one in 10**12 is missed.
-Documents with equal sets are one class from the start (128-bit name of the set).
+Documents with equal sets are one class from the start (128-bit name of the set).  The classes are a
+table in buckets, so that a comparison moves pairs and the texts of pairs, not all texts.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landflow.llm.common import settled
+from landflow.llm.common import bucketed, settled
 from landflow.llm.components import components, joined_components
 from landflow.llm.hashing import blocks, mix, trim_memory
 from landflow.llm.parity_join import set_name, shingle_sets
@@ -47,6 +48,8 @@ DEPTH = 8
 SMALL = 64
 #: Bytes of text that are compared at once.
 BLOCK = 1 << 19
+#: Pairs of one hub (a pivot, mostly) that are confirmed in one task.
+PIECE = 1024
 #: Pivots of a node that its members are compared with: below the roots in two rounds, deeper in one.
 PIVOTS = ((0,), (1, 2, 3))
 
@@ -113,24 +116,24 @@ def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Those of the pairs whose full sets are linked; pairs of one ``a`` stand next to one another."""
+    """Those of the pairs whose full sets are linked; pairs of one hub stand next to one another."""
     unpack = zstandard.ZstdDecompressor()
     held: tuple = (None, None)
     for batch in batches:
         trim_memory()
         keep: list[bool] = []
-        a, left, right = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
+        hub, left, right = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
         while len(keep) < batch.num_rows:
-            first, texts, lefts, size = len(keep), [], [], 0
-            while first + len(lefts) < batch.num_rows and size < BLOCK:
-                row = first + len(lefts)
-                lefts.append(a[row] != (a[row - 1] if lefts else held[0]))
-                for side in (left, right) if lefts[-1] else (right,):
+            first, texts, is_new, size = len(keep), [], [], 0
+            while first + len(is_new) < batch.num_rows and size < BLOCK:
+                row = first + len(is_new)
+                is_new.append(hub[row] != (hub[row - 1] if is_new else held[0]))
+                for side in (left, right) if is_new[-1] else (right,):
                     texts.append(unpack.decompress(side[row].as_py()))
                     size += len(texts[-1])
             sets = iter(shingle_sets(texts, k))
-            for row, is_new in enumerate(lefts, first):
-                held = (a[row], next(sets)) if is_new else held
+            for row, new in enumerate(is_new, first):
+                held = (hub[row], next(sets)) if new else held
                 other = next(sets)
                 both = len(np.intersect1d(held[1], other, assume_unique=True))
                 keep.append(den * both >= num * (len(held[1]) + len(other) - both))
@@ -177,25 +180,41 @@ class _Links:
         return rows.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (``a < b``) that may be linked."""
-        for side in "ab":
-            pairs = pairs.join(_side(self.classes, side), F.col(side) == F.col(f"rep_{side}"))
-        return pairs.where(_may_link(self.num, self.den)).select("a", "b")
+        """Those of ``pairs`` (``member``, ``hub``) that may be linked; a hub can have a large share of them."""
+        members = pairs.join(_side(self.classes, "a"), F.col("member") == F.col("rep_a"))
+        hubs = pairs.select("hub").distinct().join(_side(self.classes, "b"), F.col("hub") == F.col("rep_b"))
+        return members.join(hubs, "hub").where(_may_link(self.num, self.den)).select("member", "hub")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Compare the full sets of ``pairs``, each pair once, and join the components of linked ones."""
-        pairs = pairs.distinct()
+        pairs = pairs.select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b"), "hub")
+        pairs = pairs.groupBy("a", "b").agg(F.min("hub").alias("hub"))
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = settled(pairs, "pairs")
         if pairs.isEmpty():
             return
-        self.tried = pairs if self.tried is None else self.tried.union(pairs)
-        body = lambda side, name: self.classes.select(F.col("rep").alias(side), F.col("body").alias(name))
-        both = pairs.join(body("b", "right"), "b").join(body("a", "left"), "a").select("a", "b", "left", "right")
-        found = both.mapInArrow(partial(_confirmed, k=self.k, num=self.num, den=self.den), "a long, b long")
+        tried = pairs.select("a", "b")
+        self.tried = tried if self.tried is None else self.tried.union(tried)
+        found = self._with_texts(pairs).mapInArrow(partial(_confirmed, k=self.k, num=self.num, den=self.den), "a long, b long")
         self.labels = joined_components(self.labels, settled(found, "links"))
 
+    def _with_texts(self, pairs: DataFrame) -> DataFrame:
+        """``hub, member, left, right``; the text of a hub of many pairs is sent to a task for each piece of them."""
+        body = lambda side, name: self.classes.select(F.col("rep").alias(side), F.col("body").alias(name))
+        sizes = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PIECE)
+        large = settled(sizes.select("hub", F.ceil(F.col("n") / PIECE).alias("pieces")), "hubs")
+        other = F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+        named = pairs.select("hub", other.alias("member")).join(large, "hub", "left")
+        rows = named.join(body("member", "right"), "member")
+        few = rows.where("pieces is null").join(body("hub", "left"), "hub")
+        texts = large.join(body("hub", "left"), "hub")
+        texts = texts.select("hub", "left", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+        piece = F.pmod(F.xxhash64("member"), F.col("pieces"))
+        many = rows.where("pieces is not null").withColumn("piece", piece).join(texts, ["hub", "piece"])
+        columns = ["hub", "member", "left", "right"]
+        return few.select(*columns).union(many.sortWithinPartitions("hub").select(*columns))
+
 
 def _roots(classes: DataFrame, trees: int) -> DataFrame:
     """``key, rep``: the two children of each tree's root that a class goes to."""
@@ -227,7 +246,7 @@ def _pivots(entries: DataFrame, slots: tuple[int, ...]) -> DataFrame:
     chosen = entries.groupBy("key").agg(F.array(*least).alias("pivots"))
     other = F.filter("pivots", lambda p: p["component"] != F.col("component"))
     pairs = entries.join(chosen, "key").select("rep", F.explode(F.transform(other, lambda p: p["rep"])).alias("pivot"))
-    return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).where("a < b").distinct()
+    return pairs.select(F.col("rep").alias("member"), F.col("pivot").alias("hub")).where("member != hub").distinct()
 
 
 def _within_leaves(leaves: DataFrame, links: _Links) -> DataFrame:
@@ -237,7 +256,7 @@ def _within_leaves(leaves: DataFrame, links: _Links) -> DataFrame:
     one, two = (_side(members, side, "key", F.col("component").alias(f"component_{side}")) for side in "ab")
     apart = (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b"))
     pairs = one.join(two, apart & _may_link(links.num, links.den))
-    return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+    return pairs.select(F.greatest("rep_a", "rep_b").alias("member"), F.least("rep_a", "rep_b").alias("hub"))
 
 
 # ------------------------------------------------------------------ the join
@@ -262,11 +281,14 @@ def near_duplicates(
     returned as often as they come; other columns don't matter; an empty table gives an empty result.
     """
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    features = settled(rows.mapInArrow(partial(_features, k=k), _FEATURES), "features")
+    features = rows.mapInArrow(partial(_features, k=k), _FEATURES).withColumn("row", F.monotonically_increasing_id())
+    features = settled(features, "features")
     facts = ["n", "tokens", *SKETCH, "body"]
-    classes = features.where("n > 0 and id is not null").groupBy("hi", "lo")
-    classes = classes.agg(F.min("id").alias("low"), F.first(F.struct(*facts)).alias("f")).select("hi", "lo", "low", "f.*")
-    classes = settled(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    least = F.min(F.struct("id", "row")).alias("least")
+    chosen = features.where("n > 0 and id is not null").groupBy("hi", "lo").agg(least)
+    chosen = chosen.select(F.col("least.row").alias("row"), F.col("least.id").alias("low"))
+    classes = features.select("row", "hi", "lo", *facts).join(chosen, "row").withColumnRenamed("row", "rep")
+    classes = bucketed(classes, "rep", "classes")
     names = features.select("id", "n", "hi", "lo")
     ids = names.where("n > 0 and id is not null").select("id", "hi", "lo").distinct()
     many = ids.groupBy("id").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("id")

@@ -35,6 +35,19 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``df`` written as a table in buckets of ``key``: joins on ``key`` move the other side only.
+
+    There are as many buckets as shuffle partitions, and each is one file.
+    """
+    spark = df.sparkSession
+    parts, path = shuffle_partitions(spark), scratch_path(spark, label)
+    name = "llm_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    rows = df.repartition(parts, key).write.bucketBy(parts, key)
+    rows.option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
