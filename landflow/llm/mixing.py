@@ -106,7 +106,8 @@ def with_epochs(
     """``docs`` with the number of times that the mix uses each document (0: not at all).
 
     Tokens are words between white space.  A null domain, language or source is the name ``""``; a
-    null or empty text has no tokens and is used whenever its leaf takes part in the last epoch.  A
+    null or empty text has no tokens and is used whenever its leaf takes part in the last epoch.  No
+    document is used more than ``mix.epochs`` times: a leaf that is used up begins no further epoch.  A
     leaf without tokens or grant uses its documents 0 times.  Rows that share an id share its place, so
     repeated rows are used alike; rows without an id share one place.  Other columns are kept (those
     named like ``into`` replaced); an empty table stays empty.
@@ -143,7 +144,8 @@ def with_epochs(
     cut = inner.unionByName(through).groupBy(*path).agg(F.max("key").alias("__cut"))
     table = settled(grants.join(cut, path, "left").select(*path, F.col("whole").alias("__whole"), "__cut"), "mix-cuts")
     key = order_key(mix, F.col("__whole") + 1, F.col(f"`{id_column}`"))
-    used = F.col("__whole") + F.when(key <= F.col("__cut"), 1).otherwise(0)
+    another = (F.col("__whole") < mix.epochs) & (key <= F.col("__cut"))
+    used = F.col("__whole") + F.when(another, 1).otherwise(0)
     return keyed.join(table, path).withColumn(into, used.cast("int")).drop(*path, "__whole", "__cut")
 
 
@@ -190,4 +192,4 @@ def mix_sql(mix: Mix, domain: str) -> str:
               FROM slim JOIN e USING ({levels})),
         s AS (SELECT *, sum(tokens) OVER (PARTITION BY {levels} ORDER BY key) AS upto FROM k)
         SELECT doc_id, domain, lang, source, tokens AS n_tokens,
-               CAST(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS INTEGER) AS epochs FROM s"""
+               CAST(whole + CASE WHEN upto <= rest AND whole < {mix.epochs} THEN 1 ELSE 0 END AS INTEGER) AS epochs FROM s"""

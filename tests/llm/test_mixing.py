@@ -51,7 +51,7 @@ def brute(rows, mix):
         whole = grants[leaf] // tokens[leaf] if tokens[leaf] else 0
         key = lambda x, w=whole: hashlib.md5(f"{mix.seed}|{w + 1}|{'null' if x is None else x}".encode()).hexdigest()
         upto = sum(m for j, other, m in docs if other == leaf and key(j) <= key(i))
-        out.append((i, whole + (upto <= grants[leaf] - whole * tokens[leaf])))
+        out.append((i, whole + (whole < mix.epochs and upto <= grants[leaf] - whole * tokens[leaf])))
     return in_order(out)
 
 
@@ -73,6 +73,13 @@ def test_a_shortage_goes_to_siblings_before_ancestors(spark):
     assert granted == {"s1": 10, "s3": 390, "s4": 400}
 
 
+@pytest.mark.parametrize("epochs", [1, 3])
+def test_no_document_exceeds_the_epochs(documents, epochs):
+    """Every leaf is used up; texts without tokens get no epoch of their own."""
+    found = mixing.with_epochs(documents, mixing.Mix(num=9, den=1, epochs=epochs), F.expr(DOMAIN))
+    assert {r["epochs"] for r in found.select("epochs").distinct().collect()} <= {0, epochs}
+
+
 def test_rows_are_repeated(documents):
     mixed = mixing.with_epochs(documents, mixing.Mix(num=3, den=1, epochs=3), F.expr(DOMAIN), into="times")
     out = mixing.repeated(mixed, "times")
