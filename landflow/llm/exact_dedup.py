@@ -60,7 +60,7 @@ def merged_runs(entries: DataFrame, rounds: int, keep: str = "max") -> DataFrame
         step = (_digit(goal, place) - _digit(F.col("node"), place)) * ARITY**place
         runs = (
             runs.withColumn("node", F.col("node") + step)
-            .repartition(ARITY**rounds, "node")
+            .repartitionById(ARITY**rounds, F.col("node").cast("int"))  # a node is a partition
             .sortWithinPartitions("node", *DIGEST)
             .groupBy("node", *DIGEST)
             .agg(pick("keep_id").alias("keep_id"), F.sum("n").alias("n"))

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from landflow.llm import exact_dedup, sharding
 from tests.llm.conftest import answers, in_order
@@ -36,6 +37,17 @@ def test_merging_does_not_depend_on_the_number_of_rounds(documents):
     assert results[0] == results[1] == results[2]
 
 
+def test_nodes_are_partitions(spark):
+    """After the last round every node holds its own digests, none shares a task with another."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id div 2) AS text")
+    entries = exact_dedup.digest_entries(docs, "doc_id", "text")
+    runs = exact_dedup.merged_runs(entries, 2)
+    goal = F.pmod("check", F.lit(exact_dedup.ARITY**2))
+    seen = runs.select(goal.alias("node"), F.spark_partition_id().alias("part"), "n").distinct().collect()
+    assert sorted((r["node"], r["part"]) for r in seen) == [(k, k) for k in range(16)]
+    assert {r["n"] for r in seen} == {2}
+
+
 def test_built_in_functions_only(documents):
     plan = exact_dedup.label_duplicates(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
