@@ -122,7 +122,8 @@ def fit(
 ) -> Ranker:
     """Learns from the labelled rows of ``docs``, at most ``sample`` of them (a documented bound).
 
-    Labels other than 0 and 1 and null ids are left out; of contradicting labels the lower counts.
+    Labels other than 0 and 1 and null ids are left out; of contradicting labels the lower counts.  An
+    id that several rows have teaches with one of its texts, the one whose hash is least.
     """
     known = (
         labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").alias("label"))
@@ -134,7 +135,9 @@ def fit(
     )
     body = docs.select(F.col(f"`{id_column}`").alias("id"), text_of(text).alias("text"))
     chosen = body.join(F.broadcast(known), "id")  # at most ``sample`` ids
-    rows = chosen.select("id", "label", _features_of("text").alias("x")).orderBy("id", "label").limit(2 * sample).collect()
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    chosen = chosen.groupBy("id", "label").agg(one)
+    rows = chosen.select("id", "label", _features_of("text").alias("x")).orderBy("id", "label").collect()
     if not rows:
         return fit_rows(np.zeros((0, WIDTH)), np.zeros(0))
     return fit_rows(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows]), pairs)
