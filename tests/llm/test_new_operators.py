@@ -44,6 +44,16 @@ def test_large_group_of_near_copies_with_outsiders(spark):
     assert answers(found, "id", "n_shingles", "component") == in_order(brute_components(docs, 2, 4, 5))
 
 
+def test_texts_of_a_large_hub_go_out_in_pieces(spark, documents, rows, monkeypatch):
+    monkeypatch.setattr(chosen_path, "PIECE", 2)
+    found = chosen_path.near_duplicates(documents, k=4, num=4, den=5)
+    assert answers(found, "id", "n_shingles", "component") == in_order(brute_components(rows, 4, 4, 5))
+    same = " ".join(f"w{x}" for x in range(60))
+    docs = [(n, f"{same} end{n}") for n in range(40)] + [(99, "unlike all the others, by far")]
+    found = chosen_path.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=4, num=4, den=5)
+    assert {r["id"]: r["component"] for r in found.collect()} == {n: 0 for n in range(40)} | {99: 99}
+
+
 def test_trees_follow_the_recall():
     assert chosen_path.trees_for(0.9, 4, 5) < chosen_path.trees_for(0.999, 4, 5) < chosen_path.trees_for(0.99999, 4, 5)
 
