@@ -59,8 +59,8 @@ def merged_runs(entries: DataFrame, rounds: int, keep: str = "max") -> DataFrame
     for place in range(rounds):
         step = (_digit(goal, place) - _digit(F.col("node"), place)) * ARITY**place
         runs = (
-            runs.withColumn("node", F.col("node") + step)
-            .repartitionById(ARITY**rounds, F.col("node").cast("int"))  # a node is a partition
+            runs.withColumn("node", (F.col("node") + step).cast("int"))
+            .repartitionById(ARITY**rounds, "node")  # a node is a partition
             .sortWithinPartitions("node", *DIGEST)
             .groupBy("node", *DIGEST)
             .agg(pick("keep_id").alias("keep_id"), F.sum("n").alias("n"))
