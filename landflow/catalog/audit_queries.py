@@ -80,7 +80,7 @@ def audit_latest_status(spark, d):
     f"""WITH {AUDIT_SQL}, v AS (SELECT batchid, filename, executionstatus, executionendtime, CAST(pipelinerunid AS BIGINT) AS run_no FROM audit
           WHERE processname = 'FileValidation'),
         u AS (SELECT batchid, filename, executionstatus, executionendtime, CAST(pipelinerunid AS BIGINT) AS run_no FROM audit
-          WHERE processname = 'DataValidation'),
+          WHERE processname <> 'FileValidation'),
         both_logs AS (SELECT *, 0 AS r FROM v UNION ALL SELECT *, 1 AS r FROM u),
         newest AS (SELECT *, row_number() OVER (PARTITION BY batchid, filename ORDER BY r DESC, executionendtime DESC, run_no DESC) AS rn FROM both_logs)
         SELECT batchid, filename, CASE WHEN EXISTS (SELECT 1 FROM v WHERE v.batchid = newest.batchid AND v.filename = newest.filename
@@ -91,7 +91,7 @@ def status_transition(spark, d):
     rows = audit_rows(spark, d).withColumn("run_no", F.col("pipelinerunid").cast("bigint"))
     return A.status_transition(
         rows.filter("processname = 'FileValidation'"),
-        rows.filter("processname = 'DataValidation'"),
+        rows.filter("processname <> 'FileValidation'"),
         ["batchid", "filename"],
         ["executionendtime", "run_no"],
     )

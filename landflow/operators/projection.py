@@ -44,3 +44,12 @@ def drop_unnamed(df: DataFrame) -> DataFrame:
 def remove_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     dropped = set(names)
     return df.select(*cols(c for c in df.columns if c not in dropped))
+
+
+def evaluated(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed here once.
+
+    Conditions on the columns stay above; pushed below, each would compute the columns it names again, and
+    the condition's code would outgrow what the JVM compiles.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols(df.columns)))))

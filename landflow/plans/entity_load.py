@@ -24,7 +24,7 @@ from landflow.operators.duplicates import (
     row_duplicate_policy,
 )
 from landflow.operators.filters import drop_null_subset
-from landflow.operators.projection import cols, quoted
+from landflow.operators.projection import cols, evaluated, quoted
 from landflow.plans import cleaning
 from landflow.sources.readers import MALFORMED, SOURCE_FILE, SOURCE_PATH
 
@@ -77,13 +77,14 @@ def check_entity(
 
 def _check_declared(raw: DataFrame, config: EntityConfig, keep_copies: bool) -> CheckedEntity:
     text = cleaning.clean_declared(raw, config)
+    once = evaluated(text)
     if config.dq_checks.row_duplicate_check and not keep_copies:
-        text = drop_duplicates(text)
+        text, once = drop_duplicates(text), drop_duplicates(once)
     rules = entity_rules(config, text.columns)
     checked = R.apply_rules(text, rules)
     return CheckedEntity(
         checked=checked,
-        clean=cleaning.cast_declared(R.passing(text, rules), config).drop(MALFORMED),
+        clean=cleaning.cast_declared(R.passing(once, rules), config).drop(MALFORMED),
         rejects=R.failed(checked),
         counts=R.step_counts(checked),
         typed=lambda rows: cleaning.cast_declared(rows, config).drop(MALFORMED),

@@ -17,7 +17,7 @@ from landflow.functions import clean, enrich
 from landflow.operators.filters import business_exclusions
 from landflow.operators.history import HistorySpec, merge_history, one_per_key
 from landflow.operators.joins import calendar_lookup
-from landflow.operators.projection import quoted
+from landflow.operators.projection import cols, quoted
 from landflow.operators.report import report_rollup
 
 
@@ -84,6 +84,21 @@ def deduplicate(curated: DataFrame, spec: RegionalSpec) -> DataFrame:
     return one_per_key(curated.withColumns(ids), spec.history, order, rest)
 
 
+def in_scope(curated: DataFrame, spec: RegionalSpec, regions: Sequence[Region]) -> DataFrame:
+    """Rows of keys that ``admitted`` can keep, so that no others are shuffled.
+
+    Only what all rows of a normalised key share decides here: a missing id counts as blank, and columns
+    that are not in the key are left to ``admitted``.
+    """
+    texts = {n: clean.normalized_key(F.col(quoted(n))) for n in spec.keys if n not in spec.date_keys}
+    marked = curated.withColumns({f"_{n}": c for n, c in texts.items() if n in (spec.segment, spec.order_id, spec.line_id)})
+    if spec.segment in texts:
+        marked = marked.filter(F.col(quoted(f"_{spec.segment}")).isin([r.segment for r in regions]))
+    if spec.order_id in texts and spec.line_id in texts:
+        marked = business_exclusions(marked, f"_{spec.order_id}", f"_{spec.line_id}")
+    return marked.select(*cols(curated.columns))
+
+
 def admitted(rows: DataFrame, spec: RegionalSpec, regions: Sequence[Region]) -> DataFrame:
     """Rows of the given regions that pass their filters, with the region's constants."""
     segment = F.trim(F.col(quoted(spec.segment)))
@@ -108,7 +123,7 @@ def regional_batch(
 ) -> DataFrame:
     """Rows a batch brings to the published table, before comparison with it."""
     spec = spec or RegionalSpec()
-    rows = admitted(deduplicate(curated, spec), spec, regions)
+    rows = admitted(deduplicate(in_scope(curated, spec, regions), spec), spec, regions)
     with_quarter = calendar_lookup(rows, calendar, spec.batch_date)
     key = enrich.concat_key(F.col(quoted(spec.order_id)), F.col(quoted(spec.line_id)))
     return with_quarter.withColumn("sap_order_key", key)

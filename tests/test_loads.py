@@ -11,6 +11,7 @@ from landflow.config import ConfigError, EntityConfig
 from landflow.functions.enrich import ProcessorRegistry
 from landflow.operators.history import HistorySpec, first_load
 from landflow.operators.projection import MissingColumnsError
+from landflow.operators.projection import evaluated
 from landflow.plans import entity_load, publish, regional
 from landflow.streaming import micro_batch as M
 from tests.conftest import rows
@@ -219,6 +220,30 @@ def test_regions_differ_only_in_constants_and_filters(spark):
     assert {r.region for r in only.collect()} == {"AMS"}
 
 
+def test_keys_out_of_scope_go_before_rows_are_reduced(spark):
+    """Whole keys go, judged by their normalised text; a null id stays with the blank one until ``admitted``."""
+    spec = regional.RegionalSpec()
+    lines = [
+        ("1", "1", " EMEA", -5, 1), ("1", "1", "EMEA ", 5, 1), ("1", "1", "Moon", 5, 1), ("1", "1", None, 5, 1),
+        ("Grand 1", "1", "EMEA", 5, 1), ("?", "1", "EMEA", 5, 1), ("1", "?", "EMEA", 5, 1), (None, "1", "EMEA", 5, 1), ("", "1", "EMEA", 5, 1),
+    ]
+    rows = curated(spark, lines)
+    left = regional.in_scope(rows, spec, regional.REGIONS)
+    assert left.columns == rows.columns
+    found = [(r.sales_order_identifier, r.segment) for r in left.collect()]
+    assert sorted(found, key=str) == sorted([("1", " EMEA"), ("1", "EMEA "), (None, "EMEA"), ("", "EMEA")], key=str)
+    assert regional.in_scope(rows.limit(0), spec, regional.REGIONS).count() == 0
+
+
+def test_evaluated_columns_are_computed_once(spark):
+    df = spark.createDataFrame([("a1", None), (None, "b")], "`x (y)` string, z string")
+    cleaned = df.select(F.regexp_replace("`x (y)`", "[0-9]", "").alias("x (y)"), "z")
+    got = evaluated(cleaned)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=str) == [("a", None), (None, "b")]
+    plan = got.filter("`x (y)` <> 'q' AND length(`x (y)`) > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
 def test_filtered_rows_do_not_expire_published_ones(spark):
     """Filters come before the comparison, so a rejected update leaves the key's current row alone."""
     calendar = spark.createDataFrame([], "date date, fiscal_year string, fiscal_year_quarter string")
