@@ -36,6 +36,11 @@ def drop_duplicates(df: DataFrame, names: Sequence[str] | None = None) -> DataFr
     return df.dropDuplicates(list(names)) if names else df.distinct()
 
 
+def counted_copies(df: DataFrame, copies: str) -> DataFrame:
+    """The distinct rows, each with the number of its copies."""
+    return df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias(copies))
+
+
 def _repeat(df: DataFrame, count: Column) -> DataFrame:
     """Every row ``count`` times."""
     return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), count)))
@@ -161,7 +166,7 @@ def row_duplicate_policy(df: DataFrame, policy: DuplicatePolicy) -> tuple[DataFr
         )
 
     if policy is DuplicatePolicy.REJECT:
-        counted = df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+        counted = counted_copies(df, "_copies")
         surplus = counted.select(*cols(df.columns), (F.col("_copies") - 1).alias("_copies"))
         # asking for the count keeps it in both plans, so that they are the same up to there
         return counted.filter("_copies > 0").drop("_copies"), stamped(expand_copies(surplus, "_copies"))

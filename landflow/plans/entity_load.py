@@ -19,6 +19,7 @@ from landflow.operators import rules as R
 from landflow.operators.duplicates import (
     DuplicatePolicy,
     choose_policy,
+    counted_copies,
     drop_duplicates,
     priority_dedup,
     row_duplicate_policy,
@@ -29,10 +30,16 @@ from landflow.plans import cleaning
 from landflow.sources.readers import MALFORMED, SOURCE_FILE, SOURCE_PATH
 
 
+#: Rows that landed for one checked row, where copies have been dropped.
+LANDED = "_landed"
+
+
 @dataclass(frozen=True)
 class CheckedEntity:
     """``checked`` holds every row with its failures; the rest are views of it.
 
+    Where equal copies are dropped, ``LANDED`` says how many rows one of ``checked`` stands for.
+
     ``typed`` turns passing rows of a written ``checked`` into ``clean`` ones, so that a run reads and
     cleans the raw data once.
     """
@@ -79,13 +86,13 @@ def _check_declared(raw: DataFrame, config: EntityConfig, keep_copies: bool) ->
     text = cleaning.clean_declared(raw, config)
     once = evaluated(text)
     if config.dq_checks.row_duplicate_check and not keep_copies:
-        text, once = drop_duplicates(text), drop_duplicates(once)
+        text, once = counted_copies(text, LANDED), drop_duplicates(once)
     rules = entity_rules(config, text.columns)
     checked = R.apply_rules(text, rules)
     return CheckedEntity(
         checked=checked,
         clean=cleaning.cast_declared(R.passing(once, rules), config).drop(MALFORMED),
-        rejects=R.failed(checked),
+        rejects=R.failed(checked.drop(LANDED)),
         counts=R.step_counts(checked),
         typed=lambda rows: cleaning.cast_declared(rows, config).drop(MALFORMED),
     )
@@ -96,7 +103,7 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
     policy = choose_policy(region, config.duplicate_policy, config.allow_duplicates)
     kept, surplus = row_duplicate_policy(text, policy)
     rules = entity_rules(config, kept.columns)
-    checked = R.apply_rules(kept, rules)
+    checked = R.apply_rules(counted_copies(text, LANDED) if policy is DuplicatePolicy.DROP else kept, rules)
     if policy is DuplicatePolicy.REJECT:
         copies = surplus.select(
             *cols(c for c in text.columns if c != R.HEADER_FAULTS),
@@ -110,7 +117,7 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
     return CheckedEntity(
         checked=checked,
         clean=cleaning.standardize_times(R.passing(kept, rules), config).drop(MALFORMED),
-        rejects=R.failed(checked),
+        rejects=R.failed(checked.drop(LANDED)),
         counts=R.step_counts(checked),
         typed=lambda rows: cleaning.standardize_times(rows, config).drop(MALFORMED),
     )

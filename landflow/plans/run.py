@@ -149,12 +149,12 @@ def run_entity(
             rows.write.parquet(once)  # looked at twice: the raw data is read once
             rows = R.key_unique_rule(spark.read.schema(rows.schema).parquet(once), config.keys)
         seen, failing = Observation("checked"), F.size(R.REJECTS) > 0
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("landed"), F.count_if(failing).alias("rejected"))
-        checked = sinks.stage_overwrite(rows, f"{root}/checked/{name}")
+        copies = F.col(entity_load.LANDED) if entity_load.LANDED in rows.columns else F.lit(1)
+        rows = rows.observe(seen, F.coalesce(F.sum(copies), F.lit(0)).alias("landed"), F.count_if(~failing).alias("passed"))
+        checked = sinks.stage_overwrite(rows.drop(entity_load.LANDED), f"{root}/checked/{name}")
         R.failed(checked).write.mode("overwrite").parquet(f"{root}/rejects/{name}/batch={batch}")
-        landed, rejected = seen.get["landed"], seen.get["rejected"]
+        landed, kept = seen.get["landed"], seen.get["passed"]
         passed = R.passed(checked)
-        kept = landed - rejected
         if config.reject_files:
             per_file = R.file_verdict(R.step_counts(checked, [readers.SOURCE_PATH]))
             verdicts = per_file.withColumn("file_name", admission.file_name(F.col(readers.SOURCE_PATH)))
