@@ -105,14 +105,14 @@ def _check_listed(raw: DataFrame, config: EntityConfig, region: str) -> CheckedE
     rules = entity_rules(config, kept.columns)
     checked = R.apply_rules(counted_copies(text, LANDED) if policy is DuplicatePolicy.DROP else kept, rules)
     if policy is DuplicatePolicy.REJECT:
-        copies = surplus.select(
-            *cols(c for c in text.columns if c != R.HEADER_FAULTS),
-            F.array(
-                F.struct(
-                    F.col("reject_reason").alias("reason"), F.col("rejected_column").alias("column")
-                )
-            ).alias(R.REJECTS),
-        )
+        copy = F.struct(F.col("reject_reason").alias("reason"), F.col("rejected_column").alias("column"))
+        copies = surplus.select(*cols(text.columns), F.array(copy).alias("_copy"))
+        if R.HEADER_FAULTS in text.columns:
+            # columns of such a file are missing or unsure, so equal rows are no copies: each has its own failures
+            copies = copies.withColumn("_copy", F.when(F.size(R.HEADER_FAULTS) == 0, F.col("_copy")))
+            copies = R.apply_rules(copies, rules).withColumn(R.REJECTS, F.coalesce("_copy", R.REJECTS)).drop("_copy")
+        else:
+            copies = copies.withColumnRenamed("_copy", R.REJECTS)
         checked = checked.unionByName(copies)
     return CheckedEntity(
         checked=checked,
