@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landflow.session import configure
+from landflow.session import configure, size_shuffles
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,7 @@ def query(name: str, operators: str, sql: str | None = None) -> Callable[[Build]
 
     def add(build: Build) -> Build:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(configure(spark), sf_dir)
+            return build(size_shuffles(configure(spark)), sf_dir)
 
         if name in REGISTRY:
             raise ValueError(f"query registered twice: {name}")

@@ -150,7 +150,7 @@ def merge_history(
 
 
 def versions_of_batch(
-    current: DataFrame, staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime
+    current: DataFrame, staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime, spread: Sequence[str] = ()
 ) -> DataFrame:
     """Every row that ``current`` and a batch with any number of rows per key lead to.
 
@@ -165,22 +165,29 @@ def versions_of_batch(
 
     No row of the batch is left out.  ``_brought`` tells the batch's rows from the current ones.
     Both sides have the same columns, besides those that :meth:`HistorySpec.generated` names.
+
+    Rows are shuffled and sorted once: all windows share one order.  ``spread`` may name columns of both sides,
+    functions of the normalised key, by which the rows are shuffled instead of the key, and stay.
     """
     keys = list(key_columns(spec.keys))
     types = spec.generated()
     names = [c for c in current.columns if c not in keys]
-    old = with_keys(current, spec.keys, spec.date_keys).withColumn("_brought", F.lit(False))
-    new = with_keys(staging, spec.keys, spec.date_keys).withColumns(
+    old = current.withColumn("_brought", F.lit(False))
+    new = staging.withColumns(
         {**{name: F.lit(None).cast(kind) for name, kind in types.items()}, "_brought": F.lit(True)}
     )
-    order = F.col(quoted(spec.order_column)) if spec.order_column else F.lit(0)
     marker = F.col(quoted(spec.change_column))
-    family = Window.partitionBy(*keys)
-    line = family.orderBy("_brought", order.asc_nulls_first(), marker.asc_nulls_first())
-    rows = old.unionByName(new)
-    if spec.order_column:
-        held = F.max(F.when(~F.col("_brought"), order)).over(family)
-        late = F.col("_brought") & F.coalesce(order <= held, F.lit(False))
+    if spread:
+        rows = _spread_out(old.drop(*keys).unionByName(new.drop(*keys)), spec.change_column, spread)
+        rows = with_keys(rows, spec.keys, spec.date_keys)  # key texts are not shuffled
+    else:
+        rows = with_keys(old, spec.keys, spec.date_keys).unionByName(with_keys(new, spec.keys, spec.date_keys))
+    order = [F.col(quoted(spec.order_column))] if spec.order_column else []
+    line = Window.partitionBy(*cols(spread), *keys).orderBy("_brought", *[c.asc_nulls_first() for c in [*order, marker]])
+    family = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if order:
+        held = F.max(F.when(~F.col("_brought"), order[0])).over(family)
+        late = F.col("_brought") & F.coalesce(order[0] <= held, F.lit(False))
         held_marker = F.max(F.when(~F.col("_brought"), F.struct(marker))).over(family)
         refused = F.when(late & F.struct(marker).eqNullSafe(held_marker), "unchanged").when(late, "stale")
     else:
@@ -191,33 +198,33 @@ def versions_of_batch(
         )
         refused = F.when(F.col("_brought") & F.coalesce(unlike, F.lit(False)), "conflict")
     rows = rows.withColumn("_refused", refused)
-    # refused rows stand apart, so that they are nobody's predecessor
-    own = Window.partitionBy(*keys, F.col("_refused").isNotNull())
-    line = own.orderBy("_brought", order.asc_nulls_first(), marker.asc_nulls_first())
-    first = F.row_number().over(line) == 1
-    same = ~first & F.lag(marker).over(line).eqNullSafe(marker)
-    rows = rows.withColumn("_same", same)
+    # refused rows are nobody's predecessor
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(F.when(F.col("_refused").isNull(), F.struct(marker)), ignorenulls=True).over(earlier)
+    rows = rows.withColumn("_same", before.isNotNull() & before.eqNullSafe(F.struct(marker)))
     accepted = F.col("_refused").isNull() & ~F.col("_same")
     # among the versions of a key: number, and start of the next one
-    chain = Window.partitionBy(*keys, accepted).orderBy("_brought", order.asc_nulls_first(), marker.asc_nulls_first())
     start = moment(run_ts)
     if spec.start_from:
         start = F.coalesce(F.col(quoted(spec.start_from)).cast("timestamp"), start)
     begins = F.when(F.col("_brought"), start).otherwise(F.col(quoted(spec.start)))
-    following = F.lead(begins).over(chain)
-    last = F.row_number().over(chain) == F.count(F.lit(1)).over(Window.partitionBy(*keys, accepted))
+    rows = rows.withColumns({"_begins": begins, "_next": F.when(accepted, F.struct(begins.alias("at")))})
+    rows = rows.withColumns(
+        {
+            "_next": F.expr("lead(_next) IGNORE NULLS").over(line),
+            "_at": F.sum(accepted.cast("int")).over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"),
+            **({"_base": F.max(F.when(~F.col("_brought"), F.col(quoted(spec.version)))).over(family)} if spec.version else {}),
+        }
+    )
     values = {
         "_kind": F.when(F.col("_refused").isNotNull(), F.col("_refused"))
         .when(F.col("_same"), "unchanged")
-        .when(last, "current")
+        .when(F.col("_next").isNull(), "current")
         .otherwise("closed"),
-        "_begins": begins,
-        "_ends": following,
-        "_at": F.row_number().over(chain),
+        "_ends": F.col("_next")["at"],
     }
     if spec.version:
-        base = F.max(F.when(~F.col("_brought"), F.col(quoted(spec.version)))).over(Window.partitionBy(*keys, accepted))
-        values["_number"] = F.when(base.isNotNull(), base + F.row_number().over(chain) - 1).otherwise(F.row_number().over(chain))
+        values["_number"] = F.coalesce(F.col("_base") - 1, F.lit(0)) + F.col("_at")
     rows = rows.withColumns(values)
     is_version = F.col("_kind").isin("current", "closed")
     on = F.when(F.col("_kind") == "current", F.lit(spec.flag_on)).otherwise(F.lit(spec.flag_off))
@@ -235,6 +242,16 @@ def versions_of_batch(
     return rows.select(*cols(names), "_kind", "_brought")
 
 
+def _spread_out(rows: DataFrame, marker: str, by: Sequence[str]) -> DataFrame:
+    """The rows shuffled by these columns; markers of 64 hexadecimal digits travel as the 32 bytes they stand for."""
+    if dict(rows.dtypes)[marker] != "string":
+        return rows.repartition(*cols(by))
+    text, names = F.col(quoted(marker)), rows.columns
+    packed = F.when(text.rlike("^[0-9a-f]{64}$"), F.unhex(text))
+    rows = rows.withColumns({"_packed": packed, marker: F.when(packed.isNull(), text)}).repartition(*cols(by))
+    return rows.withColumn(marker, F.coalesce(F.lower(F.hex("_packed")), text)).select(*cols(names))
+
+
 def split_merged(merged: DataFrame, spec: HistorySpec) -> tuple[DataFrame, DataFrame]:
     """``(current, newly closed)``."""
     on = F.col(quoted(spec.flag)) == F.lit(spec.flag_on)
