@@ -137,7 +137,7 @@ def run_entity(
     def raw_rows() -> DataFrame:
         if lines is None:
             return readers.read_entity(spark, landing, config, state["admitted"])
-        wanted = lines if state["admitted"] is None else lines.join(state["admitted"], "path", "left_semi")
+        wanted = lines if state["admitted"] is None else readers.join_files(lines, state["admitted"], "left_semi")
         return readers.rows_of_lines(wanted, config)
 
     def check() -> Mapping[str, int]:

@@ -20,6 +20,9 @@ SOURCE_FILE, SOURCE_PATH = "_source_file", "_source_path"
 #: Column with the text of a record that has more or fewer fields than declared.
 MALFORMED = "_malformed"
 
+#: Pieces that a file's lines are dealt into where they meet what is known of the file.
+PIECES = 64
+
 # How missing values print in extracts made by dataframe tools.
 MISSING_TEXTS = ("nan", "NaT")
 
@@ -127,6 +130,16 @@ def number_lines(lines: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def join_files(lines: DataFrame, files: DataFrame, how: str) -> DataFrame:
+    """Lines (``path, value``) joined to a row a file, in pieces: no task gets the whole of a large file.
+
+    Joined by the path alone, the lines would stay dealt by file for what follows, such as their de-duplication.
+    """
+    piece = F.pmod(F.xxhash64("value"), F.lit(PIECES)).cast("int")
+    pieces = files.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    return lines.withColumn("_piece", piece).join(pieces, ["path", "_piece"], how).drop("_piece")
+
+
 def skip_header_rows(lines: DataFrame, header_row: int) -> DataFrame:
     """Lines after the header in line ``header_row`` (counted from 0)."""
     return lines.filter(F.col("line") > header_row)
@@ -229,7 +242,7 @@ def by_header(
         "path", "header", header_faults(counted, names, unknown).alias(HEADER_FAULTS),
         *[F.array_position(counted, F.lit(n)).cast("int").alias(f"_at{k}") for k, n in enumerate(names)],
     )
-    joined = lines.join(other, "path", "left")
+    joined = join_files(lines, other, "left")
     as_declared = F.col("header").isNull()
     rows = joined.select(
         F.when(as_declared, _parsed(names, sep)).alias("_r"),
@@ -265,7 +278,7 @@ def read_entity(
     declared order whatever the header says.  ``columns_to_select`` lets only the first columns of a file
     count; ``unknown_columns`` says whether one that is not declared is a fault (``reject``) or left out (``drop``).
     """
-    wanted = lambda lines: lines if only is None else lines.join(only, "path", "left_semi")
+    wanted = lambda lines: lines if only is None else join_files(lines, only, "left_semi")
     names, sep, encoding = config.columns, config.delimiter, config.encoding
     if config.header_row_number_to_select or config.remove_trailer_rows:
         return rows_of_lines(wanted(numbered_lines(spark, path)), config)

@@ -281,3 +281,20 @@ def test_fields_of_a_line(spark):
     got = spark.createDataFrame([(x,) for x in lines], "v string").select(readers.fields_of(F.col("v"), ","))
     want = [["a", "b"], ["", ""], [""], ['x,"y"', "z"], ['a"b', "c"], ['"ab"c', "d"], ["", "", "x"], ['"open', "b"], ["é", "😀"]]
     assert [r[0] for r in got.collect()] == want
+
+
+def test_no_task_gets_all_lines_of_a_file(spark):
+    """configured_file_verdict, stream_entity: joined by path, a file's lines were de-duplicated in one task."""
+    lines = spark.range(2000).select(F.lit("one").alias("path"), F.concat(F.col("id"), F.lit(",x")).alias("value"))
+    heads = spark.createDataFrame([("one", ["b", "a"])], "path string, header array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = readers.by_header(lines, heads, ["a", "b"]).drop(readers.HEADER_FAULTS).distinct()
+        share = found.groupBy(F.spark_partition_id().alias("task")).count()
+        assert found.count() == 2000
+        assert max(r["count"] for r in share.collect()) < 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])

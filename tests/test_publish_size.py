@@ -51,7 +51,7 @@ def test_many_changed_keys_are_merged_as_few_are(spark, tmp_path, monkeypatch):
 
 
 def test_shares_of_a_shuffle_do_not_grow_with_it(spark):
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")}
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")}
     try:
         size_shuffles(configure(spark))
         assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "32"
