@@ -95,3 +95,20 @@ def test_run_refuses_whole_files_and_stops_if_none_is_left(spark, tmp_path):
     assert rows(publish.read_published(spark, f"{root}/published_entity").select("id")) == [("c",)]
     errors = run.audit_of(spark, root).where("executionstatus = 'Failed'").select("batchid", "errormessage")
     assert rows(errors) == [("b1", "Full File Rejected as we have 1 rejection records"), ("b1", run.ALL_REJECTED), ("b2", "Full File Rejected as we have 1 rejection records")]
+
+
+def test_replays_share_state_by_hour(spark, tmp_path):
+    """2,000 keys of two hours in two files: state is looked up for shares of an hour, not for each key, and each key is fresh once."""
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    data = [(str(n), at(1 + n % 2), n) for n in range(2000)]
+    land(spark, landing, *data, *data[:500])
+    land(spark, landing, *data[1000:], *[(str(n), at(1), n) for n in range(2000, 2500)])
+    stream = M.file_stream(spark, landing, schema, "parquet", files_per_trigger=1)
+    marked = replay.mark_replays(stream, ["k"], "ts", NOW, dt.timedelta(hours=48))
+    query = M.run_available(marked, lambda df, epoch: replay.write_outcomes(df, epoch, out), str(tmp_path / "checkpoint"))
+    found = {o: rows(replay.read_outcome(spark, out, o, schema).select("v")) for o in ("fresh", "replayed")}
+    assert found["fresh"] == sorted([(n,) for n in range(2500)], key=lambda r: str(r[0]))
+    assert found["replayed"] == sorted([(n,) for n in [*range(500), *range(1000, 2000)]], key=lambda r: str(r[0]))
+    kept = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert 0 < kept <= 2 * 2 * 2 * replay.DEALT  # a fingerprint list for each share of an hour and micro-batch, not one for each key
