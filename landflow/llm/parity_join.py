@@ -15,6 +15,7 @@ lower bound of their symmetric difference.
   passage in common fail as well, and are then verified on the texts.
 * Members of a bucket that are still in different components are paired with one another, tested
   and verified too, so no link is lost; a group of copies costs a few pairs a member, not all pairs.
+  A pair that meets in many buckets is made in the first of them only.
 
 Documents with equal sets are one class from the start (128-bit hash of the set).  Pairs and links
 are between classes, which have numbers of their own: an id can be in several classes, if its rows
@@ -43,6 +44,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BAND = 1.5
 #: Segments beyond the pigeonhole's need, so that empty ones can nearly always be left out.
 SPARE = 1.1
+#: Least keys of a member that tell in which bucket a pair meets first.
+FIRST_KEYS = 32
 #: Classes a task remembers so as not to send a copy's segments again; beyond it, it forgets all.
 SEEN = 200_000
 
@@ -287,6 +290,21 @@ def _may_link_wide(num: int, den: int, a: Callable[[str], Column], b: Callable[[
     return far | (apart * (den + num) <= (a("n") + b("n")) * (den - num))
 
 
+def with_first_keys(members: DataFrame) -> DataFrame:
+    """Rows of ``key`` and ``rep`` with ``firsts``, the least keys of the row's ``rep``."""
+    firsts = F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS)
+    return members.join(members.groupBy("rep").agg(firsts.alias("firsts")), "rep")
+
+
+def meets_first(key: Column) -> Column:
+    """Whether two sides have no key in common that is less than ``key``, among their least keys.
+
+    The least key that they have in common always passes, so no pair is lost; a pair can pass more than
+    once only if none of the least keys are in common.
+    """
+    return F.coalesce(F.array_min(F.array_intersect("firsts_a", "firsts_b")) >= key, F.lit(True))
+
+
 def _named(side: str) -> Callable[[str], Column]:
     return lambda column: F.col(f"{column}_{side}")
 
@@ -394,13 +412,13 @@ def near_duplicates(
     members = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     parted = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     members = members.join(parted.where("low < high").select("key"), "key", "left_semi")
-    members = settled(members.join(classes.select("rep", "wide"), "rep"), "apart")
+    members = settled(with_first_keys(members).join(classes.select("rep", "wide"), "rep"), "apart")
     one, two = (
-        members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", *SKETCH, "wide")]) for s in ("a", "b")
+        members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", *SKETCH, "wide", "firsts")]) for s in ("a", "b")
     )
     apart = (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b"))
     sides = (num, den, _named("a"), _named("b"))
-    rest = one.join(two, apart & _may_link(*sides) & _may_link_wide(*sides))
+    rest = one.join(two, apart & _may_link(*sides) & _may_link_wide(*sides) & meets_first(one["key"]))
     rest = _ordered(rest).join(first_pairs, ["a", "b"], "left_anti")
     more = _links(rest, docs, classes, k, num, den)
     labels = joined_components(grouped, more).withColumnRenamed("id", "rep")

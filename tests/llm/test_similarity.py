@@ -96,6 +96,22 @@ def test_wide_sketches_of_unlike_widths_bound_the_difference(spark):
         assert num * 2 == den or df.where(linked).count() > 0
 
 
+def test_a_pair_is_made_in_its_first_bucket_only(spark):
+    """Near copies meet in most of their buckets: made in each of them, a pair was a row 40 times."""
+    draw = np.random.default_rng(3)
+    keys = {rep: set(draw.integers(-(1 << 62), 1 << 62, 100).tolist()) for rep in range(12)}
+    common = draw.integers(-(1 << 62), 1 << 62, 90).tolist()
+    for rep in range(8):
+        keys[rep] |= set(common[rep * 5 :])
+    keys[11] |= {max(keys[10])}  # one key in common, and not among the least
+    rows = [(key, rep) for rep, of in keys.items() for key in of]
+    members = parity_join.with_first_keys(spark.createDataFrame(rows, "key long, rep long"))
+    one, two = (members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "firsts")]) for s in "ab")
+    met = one.join(two, (one["key"] == two["key"]) & (F.col("rep_a") < F.col("rep_b")) & parity_join.meets_first(one["key"]))
+    found = sorted(tuple(r) for r in met.select("rep_a", "rep_b").collect())
+    assert found == sorted([(a, b) for a in range(8) for b in range(a + 1, 8)] + [(10, 11)])
+
+
 @pytest.mark.parametrize("half", [150, 900])
 def test_unlike_documents_with_one_shared_passage_are_hardly_compared(spark, monkeypatch, half):
     """400 documents share half of their words and have no link: far fewer than all 79,800 pairs reach the texts."""
