@@ -8,7 +8,7 @@ while unlike ones part quickly and a group that is unlike inside does not multip
 
 * A node whose members are all in one component already has nothing left to find and is dropped.
 * A node with few pairs of members of different components, for its size, is small: it becomes a
-  leaf, in which they are compared exhaustively.  The others branch again.
+  leaf, in which they are compared exhaustively, a pair in the first of its leaves only.  The others branch again.
 * Before that, members of a node are compared with a few of its members as pivots.  Large groups of
   near copies become one component in this way, and cost a few comparisons a member, not all pairs.
 * A comparison looks at sizes and at a sketch of the signature, then confirms on the full sets.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from landflow.llm.common import bucketed, settled
 from landflow.llm.components import components, joined_components
 from landflow.llm.hashing import blocks, mix, trim_memory
-from landflow.llm.parity_join import set_name, shingle_sets
+from landflow.llm.parity_join import meets_first, set_name, shingle_sets, with_first_keys
 
 _U = np.uint64
 #: Minwise tokens of a signature, and longs of its sketch (four bits of each token).
@@ -44,8 +44,9 @@ TOKENS, WORDS = 128, 8
 SLACK = 3.0
 #: Depth for which the number of trees is reckoned.
 DEPTH = 8
-#: Pairs between components that a leaf may hold for each of its members.
-SMALL = 64
+#: Pairs between components that a leaf may hold for each of its members.  A pair costs eight bit counts, a level of
+#: branching a shuffle; near copies that are not linked part slowly, and would branch some ten levels for a tenth of it.
+SMALL = 512
 #: Bytes of text that are compared at once.
 BLOCK = 1 << 19
 #: Pairs of one hub (a pivot, mostly) that are confirmed in one task.
@@ -252,10 +253,12 @@ def _pivots(entries: DataFrame, slots: tuple[int, ...]) -> DataFrame:
 def _within_leaves(leaves: DataFrame, links: _Links) -> DataFrame:
     """All pairs of a leaf's members that are in different components and may be linked."""
     facts = links.classes.select("rep", "n", *SKETCH)
-    members = links.with_component(leaves.join(facts, "rep"))
-    one, two = (_side(members, side, "key", F.col("component").alias(f"component_{side}")) for side in "ab")
+    members = with_first_keys(settled(links.with_component(leaves), "leaves"))
+    members = settled(members.join(facts, "rep"), "members")
+    more = ("component", "firsts")
+    one, two = (_side(members, side, "key", *[F.col(c).alias(f"{c}_{side}") for c in more]) for side in "ab")
     apart = (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b"))
-    pairs = one.join(two, apart & _may_link(links.num, links.den))
+    pairs = one.join(two, apart & _may_link(links.num, links.den) & meets_first(one["key"]))
     return pairs.select(F.greatest("rep_a", "rep_b").alias("member"), F.least("rep_a", "rep_b").alias("hub"))
 
 
