@@ -11,7 +11,8 @@ while unlike ones part quickly and a group that is unlike inside does not multip
   leaf, in which they are compared exhaustively, a pair in the first of its leaves only.  The others branch again.
 * Before that, members of a node are compared with a few of its members as pivots.  Large groups of
   near copies become one component in this way, and cost a few comparisons a member, not all pairs.
-* A comparison looks at sizes and at a sketch of the signature, then confirms on the full sets.
+* A comparison looks at sizes and at a sketch of the signature, in leaves at a parity sketch of a bit or more for each
+  shingle too (see ``parity_join``; it refuses no linked pair), then confirms on the full sets.
 
 Independent trees are repeated until a pair at the threshold meets, in nodes that are ``DEPTH`` levels
 deep, with the probability ``recall``; at one level less than one in 10**12 is missed.
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from landflow.llm.common import bucketed, settled
 from landflow.llm.components import components, joined_components
 from landflow.llm.hashing import blocks, mix, trim_memory
-from landflow.llm.parity_join import meets_first, set_name, shingle_sets, with_first_keys
+from landflow.llm.parity_join import _may_link_wide, _named, meets_first, set_name, shingle_sets, wide_sketch, with_first_keys
 
 _U = np.uint64
 #: Minwise tokens of a signature, and longs of its sketch (four bits of each token).
@@ -89,7 +90,7 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(nibbles[:, 0::2] | (nibbles[:, 1::2] << 4)).view(np.int64)
 
 
-_FEATURES = f"id long, n long, hi long, lo long, tokens array<int>, {', '.join(f'{s} long' for s in SKETCH)}, body binary"
+_FEATURES = f"id long, n long, hi long, lo long, tokens array<int>, {', '.join(f'{s} long' for s in SKETCH)}, wide array<bigint>, body binary"
 
 
 def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -111,9 +112,10 @@ def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                 *[pa.array(np.ascontiguousarray(names[:, c])) for c in range(2)],
                 listed,
                 *[pa.array(c) for c in np.ascontiguousarray(sketches(tokens).T)],
+                pa.array([wide_sketch(s) for s in sets], pa.list_(pa.int64())),
                 pa.array([press.compress(t) if len(s) else None for t, s in zip(texts, sets, strict=True)], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "hi", "lo", "tokens", *SKETCH, "body"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "hi", "lo", "tokens", *SKETCH, "wide", "body"])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -252,13 +254,14 @@ def _pivots(entries: DataFrame, slots: tuple[int, ...]) -> DataFrame:
 
 def _within_leaves(leaves: DataFrame, links: _Links) -> DataFrame:
     """All pairs of a leaf's members that are in different components and may be linked."""
-    facts = links.classes.select("rep", "n", *SKETCH)
+    facts = links.classes.select("rep", "n", *SKETCH, "wide")
     members = with_first_keys(settled(links.with_component(leaves), "leaves"))
     members = settled(members.join(facts, "rep"), "members")
-    more = ("component", "firsts")
+    more = ("component", "firsts", "wide")
     one, two = (_side(members, side, "key", *[F.col(c).alias(f"{c}_{side}") for c in more]) for side in "ab")
     apart = (one["key"] == two["key"]) & (F.col("component_a") < F.col("component_b"))
-    pairs = one.join(two, apart & _may_link(links.num, links.den) & meets_first(one["key"]))
+    wide = _may_link_wide(links.num, links.den, _named("a"), _named("b"))
+    pairs = one.join(two, apart & _may_link(links.num, links.den) & meets_first(one["key"]) & wide)
     return pairs.select(F.greatest("rep_a", "rep_b").alias("member"), F.least("rep_a", "rep_b").alias("hub"))
 
 
@@ -286,7 +289,7 @@ def near_duplicates(
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     features = rows.mapInArrow(partial(_features, k=k), _FEATURES).withColumn("row", F.monotonically_increasing_id())
     features = settled(features, "features")
-    facts = ["n", "tokens", *SKETCH, "body"]
+    facts = ["n", "tokens", *SKETCH, "wide", "body"]
     least = F.min(F.struct("id", "row")).alias("least")
     chosen = features.where("n > 0 and id is not null").groupBy("hi", "lo").agg(least)
     chosen = chosen.select(F.col("least.row").alias("row"), F.col("least.id").alias("low"))
