@@ -11,8 +11,9 @@ while unlike ones part quickly and a group that is unlike inside does not multip
   leaf, in which they are compared exhaustively, a pair in the first of its leaves only.  The others branch again.
 * Before that, members of a node are compared with a few of its members as pivots.  Large groups of
   near copies become one component in this way, and cost a few comparisons a member, not all pairs.
-* A comparison looks at sizes and at a sketch of the signature, in leaves at a parity sketch of a bit or more for each
-  shingle too (see ``parity_join``; it refuses no linked pair), then confirms on the full sets.
+* A comparison looks at sizes, at 256 parity bits of the shingles and at a sketch of the signature, in leaves at a parity
+  sketch of a bit or more for each shingle too (see ``parity_join``; parities refuse no linked pair), then confirms on the
+  full sets.
 
 Independent trees are repeated until a pair at the threshold meets, in nodes that are ``DEPTH`` levels
 deep, with the probability ``recall``; at one level less than one in 10**12 is missed.
@@ -45,9 +46,9 @@ TOKENS, WORDS = 128, 8
 SLACK = 3.0
 #: Depth for which the number of trees is reckoned.
 DEPTH = 8
-#: Pairs between components that a leaf may hold for each of its members.  A pair costs eight bit counts, a level of
-#: branching a shuffle; near copies that are not linked part slowly, and would branch some ten levels for a tenth of it.
-SMALL = 512
+#: Pairs between components that a leaf may hold for each of its members.  A pair costs twelve bit counts, a level of
+#: branching a shuffle; near copies that are not linked part slowly: a level leaves seven eighths of their pairs.
+SMALL = 4096
 #: Bytes of text that are compared at once.
 BLOCK = 1 << 19
 #: Pairs of one hub (a pivot, mostly) that are confirmed in one task.
@@ -58,6 +59,8 @@ PIVOTS = ((0,), (1, 2, 3))
 _FACTORS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | _U(1)
 _OFFSETS = mix(np.arange(TOKENS + 1, 2 * TOKENS + 1, dtype=np.uint64))
 SKETCH = [f"s{k}" for k in range(WORDS)]
+#: The parity sketch folded to 256 bits, which are compared in compiled code.
+PARITY = [f"p{k}" for k in range(4)]
 
 
 def trees_for(recall: float, num: int, den: int, depth: int = DEPTH) -> int:
@@ -90,7 +93,7 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(nibbles[:, 0::2] | (nibbles[:, 1::2] << 4)).view(np.int64)
 
 
-_FEATURES = f"id long, n long, hi long, lo long, tokens array<int>, {', '.join(f'{s} long' for s in SKETCH)}, wide array<bigint>, body binary"
+_FEATURES = f"id long, n long, hi long, lo long, tokens array<int>, {', '.join(f'{s} long' for s in SKETCH + PARITY)}, wide array<bigint>, body binary"
 
 
 def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -106,16 +109,19 @@ def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             listed = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(sets) + 1, dtype=np.int32) * TOKENS), pa.array(tokens.view(np.int32).ravel())
             )
+            wide = [wide_sketch(s) for s in sets]
+            folded = np.array([np.bitwise_xor.reduce(np.array(w, np.int64).reshape(-1, len(PARITY))) for w in wide]).reshape(-1, len(PARITY))
             columns = [
                 batch.column(0).slice(first, len(texts)),
                 pa.array(np.array([len(s) for s in sets], np.int64)),
                 *[pa.array(np.ascontiguousarray(names[:, c])) for c in range(2)],
                 listed,
                 *[pa.array(c) for c in np.ascontiguousarray(sketches(tokens).T)],
-                pa.array([wide_sketch(s) for s in sets], pa.list_(pa.int64())),
+                *[pa.array(c) for c in np.ascontiguousarray(folded.T)],
+                pa.array(wide, pa.list_(pa.int64())),
                 pa.array([press.compress(t) if len(s) else None for t, s in zip(texts, sets, strict=True)], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "hi", "lo", "tokens", *SKETCH, "wide", "body"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "hi", "lo", "tokens", *SKETCH, *PARITY, "wide", "body"])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -158,16 +164,18 @@ def _unequal_tokens(a: str, b: str) -> Column:
 
 
 def _may_link(num: int, den: int) -> Column:
-    """Sizes allow a link, and the sketches don't speak against it."""
+    """Sizes allow a link, and the sketches don't speak against it; the parity sketch refuses no linked pair."""
     alike = num / den
     agree = alike + (1 - alike) / 16
     most = TOKENS * (1 - agree) + SLACK * math.sqrt(TOKENS * agree * (1 - agree))
     sizes = F.expr(f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
-    return sizes & (_unequal_tokens("a", "b") <= int(most))
+    odd = " + ".join(f"bit_count({p}_a ^ {p}_b)" for p in PARITY)
+    parity = F.expr(f"({odd}) * {den + num} <= (n_a + n_b) * {den - num}")
+    return sizes & parity & (_unequal_tokens("a", "b") <= int(most))
 
 
 def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
-    return rows.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", *SKETCH)])
+    return rows.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", *SKETCH, *PARITY)])
 
 
 class _Links:
@@ -254,7 +262,7 @@ def _pivots(entries: DataFrame, slots: tuple[int, ...]) -> DataFrame:
 
 def _within_leaves(leaves: DataFrame, links: _Links) -> DataFrame:
     """All pairs of a leaf's members that are in different components and may be linked."""
-    facts = links.classes.select("rep", "n", *SKETCH, "wide")
+    facts = links.classes.select("rep", "n", *SKETCH, *PARITY, "wide")
     members = with_first_keys(settled(links.with_component(leaves), "leaves"))
     members = settled(members.join(facts, "rep"), "members")
     more = ("component", "firsts", "wide")
@@ -289,7 +297,7 @@ def near_duplicates(
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     features = rows.mapInArrow(partial(_features, k=k), _FEATURES).withColumn("row", F.monotonically_increasing_id())
     features = settled(features, "features")
-    facts = ["n", "tokens", *SKETCH, "wide", "body"]
+    facts = ["n", "tokens", *SKETCH, *PARITY, "wide", "body"]
     least = F.min(F.struct("id", "row")).alias("least")
     chosen = features.where("n > 0 and id is not null").groupBy("hi", "lo").agg(least)
     chosen = chosen.select(F.col("least.row").alias("row"), F.col("least.id").alias("low"))

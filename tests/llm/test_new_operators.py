@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
@@ -22,6 +24,26 @@ def test_components_equal_brute_force(documents, rows, k, num, den):
     assert answers(found, "id", "n_shingles", "component") == in_order(brute_components(rows, k, num, den))
 
 
+def test_parities_refuse_near_copies_before_their_texts(spark):
+    """op11_chosen_path: pairs of similarity 0.74 pass the sketch of the signature, and had their texts compared."""
+    dice, words = random.Random(3), [f"w{n}" for n in range(80)]
+
+    def copies(changes):
+        for n in range(40):
+            text = list(words)
+            for at in dice.sample(range(0, 80, 2), changes):
+                text[at] = f"x{n}y{at}"
+            yield n, " ".join(text)
+
+    def passing(changes):
+        rows = spark.createDataFrame(list(copies(changes)), "doc_id long, text string").mapInArrow(partial(chosen_path._features, k=2), chosen_path._FEATURES)
+        rows = rows.withColumnRenamed("id", "rep").cache()
+        one, two = (chosen_path._side(rows, side) for side in "ab")
+        return one.join(two, chosen_path._may_link(4, 5) & (one["rep_a"] < two["rep_b"])).count()
+
+    assert passing(3) < 80 < 700 < passing(1) == 780
+
+
 def test_whole_table_equals_brute_force(spark, sf_dir):
     texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = answers(BUILDS["op11_chosen_path"](spark, sf_dir), "doc_id", "n_shingles", "component_id", "kept")
