@@ -33,7 +33,7 @@ def query(name: str, operators: str, sql: str | None = None) -> Callable[[Build]
 
     def add(build: Build) -> Build:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(size_shuffles(configure(spark)), sf_dir)
+            return build(size_shuffles(configure(spark), sf_dir), sf_dir)
 
         if name in REGISTRY:
             raise ValueError(f"query registered twice: {name}")

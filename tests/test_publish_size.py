@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from landflow import session
 from landflow.operators.history import HistorySpec, versions_of_batch
 from landflow.plans import publish
 from landflow.session import configure, size_shuffles
@@ -59,3 +60,19 @@ def test_shares_of_a_shuffle_do_not_grow_with_it(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shuffles_of_larger_tables_begin_with_more_partitions(spark, tmp_path, monkeypatch):
+    """publish_key_conflicts, configured_snapshot, minus_all: a fixed number of partitions grew with the tables."""
+    spark.range(5000).write.parquet(str(tmp_path / "t.parquet"))
+    name, held = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", sum(f.stat().st_size for f in (tmp_path / "t.parquet").glob("*.parquet"))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", name)}
+    try:
+        size_shuffles(configure(spark), str(tmp_path))
+        assert spark.conf.get(name) == "32"
+        monkeypatch.setattr(session, "TABLE_SHARE", 100)
+        size_shuffles(configure(spark), str(tmp_path))
+        assert int(spark.conf.get(name)) == -(-held // 100) > 32
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
