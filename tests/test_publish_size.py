@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landflow import session
+from landflow.catalog import run_queries
 from landflow.operators.history import HistorySpec, versions_of_batch
 from landflow.plans import publish
 from landflow.session import configure, size_shuffles
@@ -76,3 +77,12 @@ def test_shuffles_of_larger_tables_begin_with_more_partitions(spark, tmp_path, m
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_files_are_named_without_a_pattern_for_each_line(spark, tmp_path):
+    """configured_admission: patterns on the path of every line, in four scans, took longer than reading the lines."""
+    for n in (1, 5):
+        spark.createDataFrame([("id",), (str(n),)], "value string").coalesce(1).write.text(str(tmp_path / f"n={n}"))
+    found = run_queries._by_folder(spark, str(tmp_path / "*"))
+    assert {r["path"] for r in found.collect()} == {"landing/orders1_20240301053000.csv", "landing/orders5.csv"}
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
