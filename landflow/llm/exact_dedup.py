@@ -16,11 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landflow.llm.common import shuffle_partitions, text_of
+from landflow.llm.common import settled, shuffle_partitions, text_of
 
 #: Runs that meet in one merge.
 ARITY = 4
 DIGEST = ["digest", "bytes", "check"]
+#: Digests of rows to drop, of about a hundred bytes each, that are broadcast at most.
+FEW_ROWS = 100_000
 
 
 def rounds_for(partitions: int) -> int:
@@ -97,16 +99,24 @@ def label_duplicates(
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, each text once, all columns unchanged.
 
-    Rows that repeat id and text are reduced to one.
+    Rows that repeat id and text are reduced to one.  The digests of the rows that go are written first: Spark
+    broadcasts up to ``FEW_ROWS`` of them, so whole rows stay where they are; with more, rows are shuffled once and pass
+    a hash table of these digests.  Whole rows are sorted only where id and text repeat.
     """
     rounds = rounds_for(shuffle_partitions(docs.sparkSession))
     name = lambda c: F.coalesce(F.col(f"`{c}`").cast("long").cast("string"), F.lit(""))
-    gone = (
-        label_duplicates(docs, id_column, text, keep, rounds)
-        .where(~F.col("kept"))
-        .select(name("id").alias("__name"), F.col("text_sha256").alias("__digest"))
-        .distinct()
-    )
-    rows = docs.withColumns({"__name": name(id_column), "__digest": F.sha2(text_of(text).cast("binary"), 256)})
     keys = ["__name", "__digest"]  # of a repeated row only; a large group of copies has as many keys as rows
-    return rows.join(gone, keys, "left_anti").dropDuplicates(keys).select(*[f"`{c}`" for c in docs.columns])
+    copies = label_duplicates(docs, id_column, text, keep, rounds).where("group_size > 1")
+    named = copies.select(name("id").alias("__name"), F.col("text_sha256").alias("__digest"), "kept")
+    # a copy goes, or stays but is there more than once
+    told = named.groupBy(*keys).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1 OR NOT stays")
+    told = settled(told.drop("n"), "copies")
+    many, repeating = told.agg(F.count(F.lit(1)), F.count_if("stays")).first()
+    how = "broadcast" if many <= FEW_ROWS else "shuffle_hash"
+    digest = F.coalesce(F.sha2(text_of(text).cast("binary"), 256), F.lit(""))  # not null: both joins can read one shuffle
+    rows = docs.withColumns({"__name": name(id_column), "__digest": digest})
+    found = rows.join(told.select(*keys).hint(how), keys, "left_anti")
+    if repeating:
+        again = rows.join(told.where("stays").select(*keys).hint(how), keys, "left_semi").dropDuplicates(keys)
+        found = found.unionAll(again)
+    return found.select(*[f"`{c}`" for c in docs.columns])

@@ -32,6 +32,22 @@ def test_every_text_stays_once(documents, rows):
     assert sorted(texts) == sorted({t or "" for _, t in rows})
 
 
+@pytest.mark.parametrize("few", [exact_dedup.FEW_ROWS, 0])
+def test_whole_rows_are_not_sorted(documents, rows, monkeypatch, few):
+    """pipeline: sorts of whole texts, for a join and for an aggregation, took the memory of an executor."""
+    monkeypatch.setattr(exact_dedup, "FEW_ROWS", few)
+    best = {}
+    for i, t in rows:
+        best[t or ""] = max(best.get(t or "", -1), -1 if i is None else i)
+    found = exact_dedup.drop_duplicates(documents).select("doc_id", "text").collect()
+    assert {r["text"] or "": -1 if r["doc_id"] is None else r["doc_id"] for r in found} == best and len(found) == len(best)
+    single = documents.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).localCheckpoint()
+    frame = exact_dedup.drop_duplicates(single)
+    assert frame.count() == single.select(F.coalesce("text", F.lit(""))).distinct().count()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and plan.count("Exchange hashpartitioning") == (0 if few else 2)
+
+
 def test_merging_does_not_depend_on_the_number_of_rounds(documents):
     results = [answers(exact_dedup.label_duplicates(documents, rounds=r), "id", "keep_id", "group_size") for r in (1, 2, 4)]
     assert results[0] == results[1] == results[2]
