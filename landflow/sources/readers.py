@@ -325,7 +325,9 @@ def list_landing(spark: SparkSession, path: str | list[str], glob: str = "*", sl
 
 def file_path() -> Column:
     """The file a row was read from, named as listings name it."""
-    return _same_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    path = F.col("_metadata.file_path")
+    # asked for each line: most names hold no coded character
+    return _same_path(F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path))
 
 
 def line_columns() -> list[Column]:
@@ -335,7 +337,8 @@ def line_columns() -> list[Column]:
 
 def _same_path(c: Column) -> Column:
     """Local paths are written with one or three slashes; settle for one."""
-    return F.regexp_replace(c, "^file:/+", "file:/")
+    three = c.startswith("file:///") & ~c.startswith("file:////")  # what Spark writes, without a pattern
+    return F.when(three, F.concat(F.lit("file:/"), c.substr(F.lit(9), F.length(c)))).otherwise(F.regexp_replace(c, "^file:/+", "file:/"))
 
 
 def read_manifest(

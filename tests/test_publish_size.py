@@ -13,6 +13,7 @@ from landflow.catalog import run_queries
 from landflow.operators.history import HistorySpec, versions_of_batch
 from landflow.plans import publish
 from landflow.session import configure, size_shuffles
+from landflow.sources import readers
 from tests.conftest import rows
 
 RUN = dt.datetime(2024, 3, 1, 6, tzinfo=dt.timezone.utc)
@@ -86,3 +87,17 @@ def test_files_are_named_without_a_pattern_for_each_line(spark, tmp_path):
     found = run_queries._by_folder(spark, str(tmp_path / "*"))
     assert {r["path"] for r in found.collect()} == {"landing/orders1_20240301053000.csv", "landing/orders5.csv"}
     assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_plain_paths_are_not_matched_for_each_line(spark, tmp_path):
+    """configured_scd2: each line's path was decoded and matched with a pattern, whatever it held."""
+    folder = tmp_path / "100% +a"
+    spark.createDataFrame([("h",), ("x",)], "value string").coalesce(1).write.text(str(folder))
+    found = readers.text_lines(spark, str(folder))
+    listed = {r["path"] for r in readers.list_landing(spark, str(folder)).collect()}
+    assert {r["path"] for r in found.collect()} == {p for p in listed if p.endswith(".txt")}
+    assert "StartsWith(" in found._jdf.queryExecution().optimizedPlan().toString() and "Contains(" in found._jdf.queryExecution().optimizedPlan().toString()
+    given = ["file:/a", "file://a", "file:///a", "file:////a/b", "hdfs://n/a", "/a", None]
+    paths = spark.createDataFrame([(p,) for p in given], "p string")
+    plain = paths.select(readers._same_path(F.col("p")), F.regexp_replace("p", "^file:/+", "file:/"))
+    assert all(r[0] == r[1] for r in plain.collect())
