@@ -252,6 +252,15 @@ def _spread_out(rows: DataFrame, marker: str, by: Sequence[str]) -> DataFrame:
     return rows.withColumn(marker, F.coalesce(F.lower(F.hex("_packed")), text)).select(*cols(names))
 
 
+def versions_alone(staging: DataFrame, spec: HistorySpec, run_ts: dt.datetime) -> DataFrame:
+    """What :func:`versions_of_batch` makes of rows whose key no other row has, current or new: all are in force."""
+    rows = first_load(staging, spec, run_ts)
+    if spec.start_from:
+        start = F.coalesce(F.col(quoted(spec.start_from)).cast("timestamp"), moment(run_ts))
+        rows = rows.withColumn(spec.start, start.cast(spec.generated()[spec.start]))
+    return rows.withColumns({"_kind": F.lit("current"), "_brought": F.lit(True)})
+
+
 def split_merged(merged: DataFrame, spec: HistorySpec) -> tuple[DataFrame, DataFrame]:
     """``(current, newly closed)``."""
     on = F.col(quoted(spec.flag)) == F.lit(spec.flag_on)

@@ -35,6 +35,30 @@ def with_keys(df: DataFrame, keys: Sequence[str], date_keys: Iterable[str] = ())
     return df if set(wanted) <= set(df.columns) else df.withColumns(wanted)
 
 
+#: Bits of a bitmap, as Spark's bitmap functions make them.
+BITMAP = 1 << 15
+
+
+def bit_filter(hashes: DataFrame, name: str, size: int) -> DataFrame:
+    """A bit for each 64-bit hash, of ``size`` in all (a power of two, a bitmap's at least), as rows of bitmaps."""
+    at = F.col(name).bitwiseAND(F.lit(size - 1))
+    placed = hashes.select(F.floor(at / BITMAP).alias("_bitmap"), (at % BITMAP).alias("_at"))
+    return placed.repartition("_bitmap").groupBy("_bitmap").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+
+
+def by_bit(df: DataFrame, bits: DataFrame, size: int, hashed: Column, is_set: bool) -> DataFrame:
+    """Rows whose hash has its bit in a :func:`bit_filter` set, or the others.
+
+    Equal hashes are always on the same side; an unlike one may share the bit of one that was put in.  The bitmaps
+    are broadcast: ``size`` bits at most.
+    """
+    at = hashed.bitwiseAND(F.lit(size - 1))
+    placed = df.withColumns({"_bitmap": F.floor(at / BITMAP), "_at": (at % BITMAP).cast("int")})
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, F.col("_at") % 8) == 1, F.lit(False))
+    return placed.join(F.broadcast(bits), "_bitmap", "left").where(found if is_set else ~found).select(*cols(df.columns))
+
+
 def _current(target: DataFrame, flag: str) -> DataFrame:
     return target.filter(F.trim(F.col(quoted(flag))) == "Y")
 

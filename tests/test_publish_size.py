@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from landflow import session
 from landflow.catalog import run_queries
+from landflow.operators import joins
 from landflow.operators.history import HistorySpec, versions_of_batch
 from landflow.plans import publish
 from landflow.session import configure, size_shuffles
@@ -53,6 +54,48 @@ def test_many_changed_keys_are_merged_as_few_are(spark, tmp_path, monkeypatch):
     assert found[0] == found[1] and found[0][0][2][1] > 0 and found[0][0][2][3] > 0
 
 
+@pytest.mark.parametrize("order", [None, "v"])
+def test_rows_alone_with_their_key_are_not_shuffled(spark, tmp_path, monkeypatch, order):
+    """entity_published, entity_report: whole rows of a large batch were shuffled, though most met no other of their key."""
+    spec = HistorySpec(keys=("k", "d"), change_column="h", date_keys=("d",), order_column=order, start_from="at" if order else None)
+    day, text = dt.date(2024, 1, 1), "k string, d date, h string, v int, at timestamp, extra string"
+
+    def batch(keys, mark, v, *more):
+        plain = [(f"k{n}", day, mark, v, RUN + dt.timedelta(minutes=v), "x") for n in keys]
+        return spark.createDataFrame([*plain, *more], text)
+
+    odd = [(None, None, "a", 1, RUN, None), ("  ", dt.date(1900, 1, 1), "b", 2, RUN, None), ("once", None, None, None, None, "y"), (" k7 ", day, "a", 3, RUN, "z")]
+    batches = [batch(range(60), "a", 1, *odd), batch(range(50, 120), "b", 5, ("k2", day, "a", 9, RUN, "x")).drop("extra"), batch(range(50, 55), "b", 5)]
+    given, found = [], []
+
+    def counted(theirs, offered, *more):
+        given.append((theirs.count(), offered.count()))
+        return versions_of_batch(theirs, offered, *more)
+
+    monkeypatch.setattr(publish, "versions_of_batch", counted)
+    for few in (10**6, 50, -1):
+        monkeypatch.setattr(publish, "FEW_KEYS", few)
+        path, counts = str(tmp_path / str(few)), []
+        for n, rows_of in enumerate(batches):
+            done = publish.publish_history(rows_of, path, spec, RUN + dt.timedelta(hours=n), f"b{n}", parts=3)
+            counts.append((done.inserted, done.updated, done.versions, done.unchanged, done.stale, done.conflicts, done.previous, rows(publish.read_refused(spark, done))))
+        found.append((counts, rows(publish.read_published(spark, path))))
+    assert found[0] == found[1] == found[2] and found[0][0][2][:4] == (0, 0, 0, 5)
+    # two rows of k7 and two of the blank key; then k50 to k59 and k2 with their current rows.; all rows before
+    assert given[-2:] == [(0, 4), (11, 11)]
+
+
+def test_bits_tell_hashes_apart(spark):
+    """entity_published: a hash that was put in is found whatever its bit, and the two sides are all rows."""
+    size = 2 * joins.BITMAP
+    rows_of = spark.range(4000).select(F.when(F.col("id") > 0, F.xxhash64("id")).alias("x"), "id")
+    bits = joins.bit_filter(rows_of.where("id % 3 = 0"), "x", size)
+    found, others = (joins.by_bit(rows_of, bits, size, F.coalesce("x", F.lit(0)), hit).collect() for hit in (True, False))
+    held = {(r["x"] or 0) & (size - 1) for r in rows_of.collect() if r["id"] % 3 == 0 and r["x"] is not None}
+    assert sorted(r["id"] for r in [*found, *others]) == list(range(4000)) and len(found) < 1600
+    assert all(((r["x"] or 0) & (size - 1) in held) == hit for side, hit in ((found, True), (others, False)) for r in side)
+
+
 def test_shares_of_a_shuffle_do_not_grow_with_it(spark):
     before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")}
     try:
